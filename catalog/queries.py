@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from punctua.operators.cleaning import (
 from punctua.operators.dedup import dedup, duplicate_keys
 from punctua.plans import month as month_plan
 from punctua.plans import silver as silver_plan
+from punctua.session import tune
 from punctua.sources import delimited, files, tables
 from punctua.sources.storage import scratch_path, staged
 
@@ -28,7 +30,12 @@ QUERIES: dict[str, Query] = {}
 
 def query(function: Query) -> Query:
     """Register under the function's name; a trailing underscore only avoids a clash here."""
-    QUERIES[function.__name__.rstrip("_")] = function
+
+    @functools.wraps(function)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return function(tune(spark), sf)
+
+    QUERIES[function.__name__.rstrip("_")] = run
     return function
 
 
@@ -66,6 +73,10 @@ def _route_stats(spark, sf):
     return kpi.flight_stats(B.bind(spark, sf, B.FACT), kpi.ROUTE_GRAIN)
 
 
+def _staged_route_stats(spark, sf):
+    return staged(_route_stats(spark, sf), "stats")
+
+
 def _airport_kpi(spark, sf):
     return kpi.airport_kpi(_route_stats(spark, sf), B.bind(spark, sf, B.DIM_AIRPORT))
 
@@ -86,12 +97,20 @@ def _airlines(spark, sf):
 
 
 def _airports(spark, sf, operation):
-    rows = reaggregate.operation_rows(_airport_kpi(spark, sf), operation)
+    return _combined_airports(_airport_kpi(spark, sf), operation)
+
+
+def _combined_airports(monthly, operation):
+    rows = reaggregate.operation_rows(monthly, operation)
     return reaggregate.aggregate_periods(rows, AIRPORT_GROUP, AIRPORT_MEASURES)
 
 
 def _routes(spark, sf):
-    return reaggregate.aggregate_periods(_route_kpi(spark, sf), ROUTE_GROUP, ROUTE_MEASURES)
+    return _combined_routes(_route_kpi(spark, sf))
+
+
+def _combined_routes(monthly):
+    return reaggregate.aggregate_periods(monthly, ROUTE_GROUP, ROUTE_MEASURES)
 
 
 def _flagged(spark, sf):
@@ -422,15 +441,17 @@ ROUTE_TOTAL = {"origin_city": "All Routes", "dest_city": "All Routes", "route":
 
 @query
 def carrier_totals(spark, sf):
-    return reaggregate.with_total(_airlines(spark, sf), AIRLINE_TOTAL, AIRLINE_MEASURES, "skip")
+    airlines = staged(_airlines(spark, sf), "airlines")
+    return reaggregate.with_total(airlines, AIRLINE_TOTAL, AIRLINE_MEASURES, "skip")
 
 
 @query
 def airport_totals(spark, sf):
+    monthly = staged(_airport_kpi(spark, sf), "airports")
     rows = None
     for operation in ("DEP", "ARR"):
         part = reaggregate.with_total(
-            _airports(spark, sf, operation), AIRPORT_TOTAL, AIRPORT_MEASURES, "keep"
+            _combined_airports(monthly, operation), AIRPORT_TOTAL, AIRPORT_MEASURES, "keep"
         ).withColumn("operation", F.lit(operation))
         rows = part if rows is None else rows.unionByName(part)
     return rows
@@ -438,7 +459,7 @@ def airport_totals(spark, sf):
 
 @query
 def route_totals(spark, sf):
-    routes = _routes(spark, sf).withColumn("route", labels.route_label())
+    routes = staged(_routes(spark, sf), "routes").withColumn("route", labels.route_label())
     return reaggregate.with_total(routes, ROUTE_TOTAL, ROUTE_MEASURES, "keep")
 
 
@@ -450,7 +471,7 @@ def select_entities(spark, sf):
 
 @query
 def min_share(spark, sf):
-    return reaggregate.min_share(_routes(spark, sf), 0.002)
+    return reaggregate.min_share(staged(_routes(spark, sf), "routes"), 0.002)
 
 
 @query
@@ -465,7 +486,7 @@ def route_pick(spark, sf):
 
 @query
 def route_options(spark, sf):
-    routes = _routes(spark, sf)
+    routes = staged(_routes(spark, sf), "routes")
 
     def options(role):
         rows = geo.route_options(routes, role)
@@ -504,7 +525,9 @@ def top_airports(spark, sf):
 
 @query
 def entity_sort(spark, sf):
-    airports, routes = _airports(spark, sf, "DEP"), _routes(spark, sf)
+    stats, dim = _staged_route_stats(spark, sf), B.bind(spark, sf, B.DIM_AIRPORT)
+    airports = staged(_combined_airports(kpi.airport_kpi(stats, dim), "DEP"), "airports")
+    routes = staged(_combined_routes(kpi.route_kpi(stats, dim)), "routes")
     rows = None
     for mode in ranking.SORT_MODES:
         source = airports if mode.startswith("airport") else routes
@@ -539,7 +562,7 @@ def rank_with_total(spark, sf):
 @query
 def kpi_trend(spark, sf):
     return trend.kpi_trend(
-        _airline_kpi(spark, sf), "airline_name", AIRLINE_MEASURES, "All Airlines"
+        staged(_airline_kpi(spark, sf), "monthly"), "airline_name", AIRLINE_MEASURES, "All Airlines"
     )
 
 
@@ -563,10 +586,7 @@ def reliability_band_(spark, sf):
         "on_time": "on_time_rate_pct", "delay": "avg_delay_minutes",
         "cancellation": "cancellation_rate_pct", "diversion": "diversion_rate_pct",
     }
-    rows = reaggregate.operation_rows(_airport_kpi(spark, sf), "ARR").unionByName(
-        reaggregate.operation_rows(_airport_kpi(spark, sf), "DEP")
-    )
-    return rows.select(
+    return _airport_kpi(spark, sf).select(
         "year", "month", "operation", "airport_id",
         *[reliability_band(F.col(columns[m]), m).alias(f"{m}_band") for m in BANDS],
     )
@@ -575,9 +595,11 @@ def reliability_band_(spark, sf):
 
 @query
 def scale_size(spark, sf):
-    dim = B.bind(spark, sf, B.DIM_AIRPORT)
-    airports = geo.with_known_coordinates(geo.airport_coordinates(_airports(spark, sf, "ARR"), dim))
-    routes = geo.with_known_coordinates(geo.route_coordinates(_routes(spark, sf), dim))
+    stats, dim = _staged_route_stats(spark, sf), B.bind(spark, sf, B.DIM_AIRPORT)
+    airports = geo.airport_coordinates(_combined_airports(kpi.airport_kpi(stats, dim), "ARR"), dim)
+    airports = staged(geo.with_known_coordinates(airports), "airports")
+    routes = geo.route_coordinates(_combined_routes(kpi.route_kpi(stats, dim)), dim)
+    routes = staged(geo.with_known_coordinates(routes), "routes")
     markers = geo.marker_size(airports).select(
         F.lit("airport").alias("kind"), F.col("airport_code").alias("entity"),
         "flights", F.col("marker_size").alias("size"),
@@ -599,10 +621,11 @@ def geo_points(spark, sf):
 
 # ---- quality ----------------------------------------------------------------------------
 def _quality_inputs(spark, sf):
-    fact = B.bind(spark, sf, B.FACT)
+    fact = staged(B.bind(spark, sf, B.FACT), "fact")
     airlines = B.bind(spark, sf, B.DIM_AIRLINE_PARTIAL)
     airports = B.bind(spark, sf, B.DIM_AIRPORT)
-    return fact, airlines, airports, kpi.kpi_tables(fact, airlines, airports)
+    stats = staged(kpi.flight_stats(fact, kpi.FLIGHT_GRAIN), "stats")
+    return fact, airlines, airports, kpi.kpi_tables_from_stats(stats, airlines, airports)
 
 
 @query

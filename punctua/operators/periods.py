@@ -5,12 +5,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctua.functions.labels import period_label, period_ordinal
 
 
+# Only ever used on distinct periods: one row per month of history.
+ALL_PERIODS = Window.partitionBy()
+
+
 def month_bounds(year: int, month: int) -> tuple[dt.date, dt.date]:
     """First day of the month and of the next one."""
     following = (year + 1, 1) if month == 12 else (year, month + 1)
@@ -25,13 +29,12 @@ def month_slice(df: DataFrame, date_column: str, year: int, month: int) -> DataF
 
 def period_catalog(df: DataFrame) -> DataFrame:
     """Distinct periods, newest first: ``year, month, label, is_default`` (the newest one)."""
-    periods = df.select("year", "month").distinct().withColumns(
-        {"label": period_label(), "_ordinal": period_ordinal()}
-    )
-    newest = periods.agg(F.max("_ordinal")).scalar()
+    ordinal = period_ordinal()
     return (
-        periods.withColumn("is_default", F.col("_ordinal") == newest)
-        .drop("_ordinal")
+        df.select("year", "month").distinct()
+        .withColumns({
+            "label": period_label(), "is_default": ordinal == F.max(ordinal).over(ALL_PERIODS),
+        })
         .orderBy(F.desc("year"), F.desc("month"))
     )
 
@@ -47,20 +50,22 @@ def period_range(
     A missing end defaults to the first/last selected month if the catalog has it, else to the
     first/last month of the catalog.
     """
-    periods = catalog.select("year", "month").distinct().withColumn("_ordinal", period_ordinal())
     chosen = sorted(year * 100 + month for year, month in selected)
-    ordinal = F.col("_ordinal")
+    ordinal = period_ordinal()
 
     def bound(given, default, fallback):
         if given is not None:
             return F.lit(given[0] * 100 + given[1])
-        known = F.max(F.when(ordinal == default, ordinal)) if default is not None else F.lit(None)
-        return periods.agg(F.coalesce(known, fallback(ordinal))).scalar()
+        known = F.max(F.when(ordinal == F.lit(default), ordinal)).over(ALL_PERIODS)
+        return F.coalesce(known, fallback(ordinal).over(ALL_PERIODS))
 
-    low = bound(start, chosen[0] if chosen else None, F.min)
-    high = bound(end, chosen[-1] if chosen else None, F.max)
     return (
-        periods.where((ordinal >= low) & (ordinal <= high))
+        catalog.select("year", "month").distinct()
+        .withColumns({
+            "_low": bound(start, chosen[0] if chosen else None, F.min),
+            "_high": bound(end, chosen[-1] if chosen else None, F.max),
+        })
+        .where((ordinal >= F.col("_low")) & (ordinal <= F.col("_high")))
         .select("year", "month", period_label().alias("label"))
         .orderBy("year", "month")
     )

@@ -120,13 +120,19 @@ def total_row(
 def with_total(
     df: DataFrame, labels: dict[str, str | None], weighted_columns: list[str], null_weight: str = "skip"
 ) -> DataFrame:
-    """Entity rows plus their total row, told apart by ``is_total`` (sort on it to place it)."""
+    """Entity rows plus their total row, told apart by ``is_total`` (sort on it to place it).
+
+    ``df`` is evaluated twice; stage it when it is costly.
+    """
     total = total_row(df, labels, weighted_columns, null_weight).withColumn("is_total", F.lit(True))
     return df.withColumn("is_total", F.lit(False)).unionByName(total, allowMissingColumns=True)
 
 
 def min_share(df: DataFrame, share: float) -> DataFrame:
-    """Entities with more than this share of all flights (strict)."""
+    """Entities with more than this share of all flights (strict).
+
+    ``df`` is evaluated twice; stage it when it is costly.
+    """
     least = df.agg(F.sum("flights") * F.lit(share)).scalar()
     return df.where(F.col("flights") > least)
 

@@ -10,9 +10,11 @@ from punctua.operators import quality
 from punctua.operators.kpi import FLIGHT_GRAIN, flight_stats, kpi_tables_from_stats
 from punctua.operators.star import build_dim_airline, build_dim_airport, build_fact
 from punctua.plans.silver import FLIGHTS
-from punctua.sources.storage import staged
+from punctua.session import tune
+from punctua.sources.storage import read_if_present, staged
 from punctua.sources.tables import (
-    evolve, merge_snapshot, replace_period, scan_period, write_periods,
+    ensure_table, evolve, merge_snapshot, replace_period, scan_period, with_surrogate_key,
+    write_periods,
 )
 
 FACT, DIM_AIRLINE, DIM_AIRPORT = "star/fact_flight", "star/dim_airline", "star/dim_airport"
@@ -23,6 +25,22 @@ def _with_period(fact: DataFrame) -> DataFrame:
     return fact.withColumns({"year": F.year("flight_date"), "month": F.month("flight_date")})
 
 
+def _next_flight_id(spark: SparkSession, root: str) -> int:
+    """One more than the highest key in the fact: replaced months get new keys."""
+    fact = read_if_present(spark, f"{root}/{FACT}")
+    highest = fact.agg(F.max("flight_id")).first()[0] if fact is not None else None
+    return (highest or 0) + 1
+
+
+def ensure_tables(spark: SparkSession, root: str) -> None:
+    """Create the star and KPI tables that do not exist yet, empty."""
+    for path, schema in {
+        FACT: S.FACT_FLIGHT, DIM_AIRLINE: S.DIM_AIRLINE, DIM_AIRPORT: S.DIM_AIRPORT,
+        **{f"{GOLD}/{table}": S.KPI_SCHEMAS[d] for d, table in S.KPI_TABLES.items()},
+    }.items():
+        ensure_table(spark, f"{root}/{path}", schema)
+
+
 def load_star_from(
     flights: DataFrame, airlines: DataFrame, airport_ids: DataFrame, coordinates: DataFrame,
     root: str, period: tuple[int, int] | None = None,
@@ -34,7 +52,10 @@ def load_star_from(
         spark, f"{root}/{DIM_AIRPORT}", build_dim_airport(flights, airport_ids, coordinates),
         ["airport_id"],
     )
-    fact = _with_period(build_fact(flights))
+    rows = _with_period(build_fact(flights))
+    fact = with_surrogate_key(
+        rows, [F.col(c) for c in S.FACT_BUSINESS_KEY], "flight_id", _next_flight_id(spark, root)
+    )
     if period is None:
         write_periods(fact, f"{root}/{FACT}")
     else:
@@ -87,6 +108,7 @@ def gold_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 def run_month(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:
     """Star, KPI tables, quality gate and presence check of one month; returns the check rows."""
     period = (year, month)
+    tune(spark)
     load_star(spark, root, year, month)
     fact, dim_airline, dim_airport = star_tables(spark, root)
     month_fact = scan_period(spark, f"{root}/{FACT}", year, month, "fact")

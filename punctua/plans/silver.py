@@ -14,6 +14,7 @@ from punctua.operators.cleaning import clean_coordinates, clean_flights, clean_l
 from punctua.operators.rules import (
     PERIOD, period_rules, validation_report, valid_unique, with_flags,
 )
+from punctua.session import tune
 from punctua.sources.delimited import scan_csv, scan_flight_csv
 from punctua.sources.storage import staged
 from punctua.sources.tables import replace_period, write_periods
@@ -36,6 +37,7 @@ def silver_rows(flagged: DataFrame) -> DataFrame:
 
 def build_silver(raw: DataFrame, root: str, period: tuple[int, int] | None = None) -> None:
     """Write the cleaned flights and the validation report of one period, or of all in ``raw``."""
+    tune(raw.sparkSession)
     flagged = staged(flag_flights(raw), "flagged")
     report = validation_report(flagged, period_rules()).withColumnsRenamed(
         dict(zip(PERIOD, ("year", "month")))

@@ -91,6 +91,22 @@ FACT_SOURCES = {
     "security_delay": "SecurityDelay",
     "late_aircraft_delay": "LateAircraftDelay",
 }
+FACT_FLIGHT = T.StructType([
+    T.StructField("flight_id", T.LongType(), False),
+    T.StructField("flight_date", T.DateType(), False),
+    *[T.StructField(c, T.IntegerType(), False) for c in
+      ("airline_id", "flight_number", "origin_airport_id", "dest_airport_id")],
+    T.StructField("day_of_week", T.IntegerType()),
+    T.StructField("dep_time_block", T.StringType()),
+    T.StructField("dep_delay_minutes", T.IntegerType()),
+    T.StructField("arr_delay_minutes", T.IntegerType()),
+    T.StructField("cancelled", T.IntegerType(), False),
+    T.StructField("diverted", T.IntegerType(), False),
+    *[T.StructField(f"{c}_delay", T.IntegerType()) for c in
+      ("carrier", "weather", "nas", "security", "late_aircraft")],
+    T.StructField("year", T.IntegerType()),
+    T.StructField("month", T.IntegerType()),
+])
 FACT_BUSINESS_KEY = [
     "flight_date", "airline_id", "flight_number", "origin_airport_id", "dest_airport_id",
 ]

@@ -38,7 +38,7 @@ def scan_csv(
         raise
     # Empty files carry neither header nor rows.
     heads = delimited_heads(files).where("length > 0")
-    layouts = heads.groupBy("header").agg(F.count("*").alias("files")).limit(MAX_LAYOUTS + 1).collect()
+    layouts = heads.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()
     if not layouts:
         raise FileNotFoundError(f"{name}: no CSV file with a header under {path}")
     if len(layouts) > MAX_LAYOUTS:
@@ -101,7 +101,7 @@ def scan_zipped_csv(
     )
     lines = archive_lines(members)
     layouts = (
-        lines.where("is_header").groupBy(F.col("line").alias("header")).agg(F.count("*").alias("members"))
+        lines.where("is_header").select(F.col("line").alias("header")).distinct()
         .limit(MAX_LAYOUTS + 1).collect()
     )
     if not layouts:
