@@ -766,7 +766,7 @@ FROM r
 ORACLES["geo_points"] = f"""
 {ctes(**WITH_ROUTES, r=_PLACED_ROUTES)}
 SELECT code, name, lat, lon FROM (
-    SELECT *, row_number() OVER (PARTITION BY code ORDER BY flights DESC, o DESC, d DESC, place DESC) AS n
+    SELECT *, row_number() OVER (PARTITION BY code ORDER BY flights, o, d, place DESC) AS n
     FROM (
         SELECT origin_airport_code AS code, origin_airport_name AS name, origin_latitude AS lat,
             origin_longitude AS lon, flights, origin_airport_code AS o, dest_airport_code AS d, 0 AS place FROM r

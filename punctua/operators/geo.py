@@ -35,8 +35,8 @@ def with_known_coordinates(df: DataFrame) -> DataFrame:
 def route_end_points(routes: DataFrame, order: list[str]) -> DataFrame:
     """One point ``code, name, lat, lon`` per airport code of the shown routes.
 
-    An airport seen several times keeps its last appearance: routes in descending ``order`` (the
-    destination after the origin of the same route).
+    An airport seen several times keeps its last appearance, with the routes listed in descending
+    ``order`` and the destination after the origin of the same route.
     """
     points = F.inline(F.array(*[
         F.struct(
@@ -49,7 +49,7 @@ def route_end_points(routes: DataFrame, order: list[str]) -> DataFrame:
         for place, role in enumerate(("origin", "dest"))
     ]))
     seen = routes.select(*[F.col(c).alias(f"_by_{c}") for c in order], points)
-    last_first = [F.desc_nulls_last(f"_by_{c}") for c in order] + [F.desc("_place")]
+    last_first = [F.asc_nulls_first(f"_by_{c}") for c in order] + [F.desc("_place")]
     return dedup(seen, ["code"], last_first).select("code", "name", "lat", "lon")
 
 

@@ -5,14 +5,15 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctua.functions.labels import period_label, period_ordinal
 
 
-# Only ever used on distinct periods: one row per month of history.
-ALL_PERIODS = Window.partitionBy()
+def _over_all(value: Column) -> Column:
+    """Over all rows; only used on distinct periods, one row per month of history."""
+    return value.over(Window.partitionBy())
 
 
 def month_bounds(year: int, month: int) -> tuple[dt.date, dt.date]:
@@ -33,7 +34,7 @@ def period_catalog(df: DataFrame) -> DataFrame:
     return (
         df.select("year", "month").distinct()
         .withColumns({
-            "label": period_label(), "is_default": ordinal == F.max(ordinal).over(ALL_PERIODS),
+            "label": period_label(), "is_default": ordinal == _over_all(F.max(ordinal)),
         })
         .orderBy(F.desc("year"), F.desc("month"))
     )
@@ -56,8 +57,8 @@ def period_range(
     def bound(given, default, fallback):
         if given is not None:
             return F.lit(given[0] * 100 + given[1])
-        known = F.max(F.when(ordinal == F.lit(default), ordinal)).over(ALL_PERIODS)
-        return F.coalesce(known, fallback(ordinal).over(ALL_PERIODS))
+        known = _over_all(F.max(F.when(ordinal == F.lit(default), ordinal)))
+        return F.coalesce(known, _over_all(fallback(ordinal)))
 
     return (
         catalog.select("year", "month").distinct()

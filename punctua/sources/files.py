@@ -37,16 +37,48 @@ def _opener():
     """
 
     def open_uri(uri: str):
+        import io
         import re
 
         from pyarrow import fs
 
+        class Stream(io.RawIOBase):
+            """Arrow's file with Python's errors: a seek before the start is an OSError."""
+
+            def __init__(self, file):
+                self.file = file
+
+            def readable(self):
+                return True
+
+            def seekable(self):
+                return True
+
+            def readinto(self, buffer):
+                return self.file.readinto(buffer)
+
+            def tell(self):
+                return self.file.tell()
+
+            def seek(self, offset, whence=0):
+                start = (0, self.file.tell(), self.file.size())[whence]
+                if start + offset < 0:
+                    raise OSError("seek before the start of the file")
+                return self.file.seek(start + offset)
+
+            def close(self):
+                if not self.closed:
+                    self.file.close()
+                super().close()
+
         uri = re.sub(r"^s3[an]:", "s3:", uri)
         local = re.match(r"^file:/*(/.*)$", uri)
         if local:
-            return fs.LocalFileSystem().open_input_file(local.group(1))
-        file_system, location = fs.FileSystem.from_uri(uri)
-        return file_system.open_input_file(location)
+            file = fs.LocalFileSystem().open_input_file(local.group(1))
+        else:
+            file_system, location = fs.FileSystem.from_uri(uri)
+            file = file_system.open_input_file(location)
+        return io.BufferedReader(Stream(file))
 
     return open_uri
 
@@ -70,7 +102,8 @@ def delimited_heads(files: DataFrame) -> DataFrame:
             for path in batch["path"]:
                 header, has_rows, decodable = [], False, True
                 with open_uri(path) as stream:
-                    length = stream.size()
+                    length = stream.seek(0, 2)
+                    stream.seek(0)
                     try:
                         text = io.TextIOWrapper(stream, encoding="utf-8-sig", newline="")
                         records = (record for record in csv.reader(text) if record)
@@ -134,13 +167,12 @@ def archive_members(files: DataFrame) -> DataFrame:
             for path in batch["path"]:
                 is_zip, names = False, []
                 with open_uri(path) as stream:
-                    length = stream.size()
+                    length = stream.seek(0, 2)
                     try:
                         with zipfile.ZipFile(stream) as archive:
                             is_zip = True
                             names = [i.filename for i in archive.infolist() if not i.is_dir()]
-                    # Arrow reports a seek before the start of a tiny file as ValueError.
-                    except (zipfile.BadZipFile, ValueError):
+                    except zipfile.BadZipFile:
                         pass
                 rows += [(path, length, name, is_zip) for name in names or [None]]
             yield pd.DataFrame(rows, columns=["path", "length", "member", "is_zip"])
