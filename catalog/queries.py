@@ -338,7 +338,8 @@ def rejected_rows(spark, sf):
 
 @query
 def validation_report(spark, sf):
-    return rules.validation_report(_flagged(spark, sf), rules.period_rules())
+    flagged = staged(_flagged(spark, sf), "flagged")
+    return rules.validation_report(flagged, rules.period_rules())
 
 
 @query

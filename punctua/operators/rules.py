@@ -224,7 +224,8 @@ def validation_report(
 ) -> DataFrame:
     """The whole report as rows ``*by, section, metric, value``: rule counts plus the ledger.
 
-    With ``by=()`` an input without rows gives a report of zeros.
+    With ``by=()`` an input without rows gives a report of zeros. ``flagged`` is read twice; stage
+    it when it is costly.
     """
     by = list(by)
     ledger = row_ledger(flagged, rules, keys, by).withColumnsRenamed(

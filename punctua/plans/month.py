@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from punctua import schemas as S
 from punctua.operators import quality
 from punctua.operators.kpi import FLIGHT_GRAIN, flight_stats, kpi_tables_from_stats
 from punctua.operators.star import build_dim_airline, build_dim_airport, build_fact
+from punctua.plans.jobs import together
 from punctua.plans.silver import FLIGHTS
 from punctua.session import tune
 from punctua.sources.storage import read_if_present, staged
@@ -47,19 +50,26 @@ def load_star_from(
 ) -> None:
     """Upsert both dimensions and replace the fact of one month, or of every month in ``flights``."""
     spark = flights.sparkSession
-    merge_snapshot(spark, f"{root}/{DIM_AIRLINE}", build_dim_airline(airlines), ["airline_id"])
-    merge_snapshot(
-        spark, f"{root}/{DIM_AIRPORT}", build_dim_airport(flights, airport_ids, coordinates),
-        ["airport_id"],
-    )
-    rows = _with_period(build_fact(flights))
-    fact = with_surrogate_key(
-        rows, [F.col(c) for c in S.FACT_BUSINESS_KEY], "flight_id", _next_flight_id(spark, root)
+
+    def write_fact() -> None:
+        rows = _with_period(build_fact(flights))
+        fact = with_surrogate_key(
+            rows, [F.col(c) for c in S.FACT_BUSINESS_KEY], "flight_id", _next_flight_id(spark, root)
+        )
+        if period is None:
+            write_periods(fact, f"{root}/{FACT}")
+        else:
+            replace_period(fact, f"{root}/{FACT}", *period)
+
+    airports = build_dim_airport(flights, airport_ids, coordinates)
+    together(
+        spark,
+        lambda: merge_snapshot(
+            spark, f"{root}/{DIM_AIRLINE}", build_dim_airline(airlines), ["airline_id"]
+        ),
+        lambda: merge_snapshot(spark, f"{root}/{DIM_AIRPORT}", airports, ["airport_id"]),
+        write_fact,
     )
-    if period is None:
-        write_periods(fact, f"{root}/{FACT}")
-    else:
-        replace_period(fact, f"{root}/{FACT}", *period)
 
 
 def load_star(spark: SparkSession, root: str, year: int, month: int) -> None:
@@ -89,7 +99,8 @@ def build_gold(
     folder, and the four tables are roll-ups of those.
     """
     stats = staged(flight_stats(fact, FLIGHT_GRAIN), "stats")
-    for dataset, table in kpi_tables_from_stats(stats, dim_airline, dim_airport).items():
+
+    def write(dataset: str, table: DataFrame) -> None:
         target = f"{root}/{S.KPI_TABLES[dataset]}"
         shaped = evolve(table, S.KPI_SCHEMAS[dataset])
         if period is None:
@@ -97,6 +108,9 @@ def build_gold(
         else:
             replace_period(shaped, target, *period)
 
+    tables = kpi_tables_from_stats(stats, dim_airline, dim_airport)
+    together(stats.sparkSession, *[partial(write, *item) for item in tables.items()])
+
 
 def gold_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {

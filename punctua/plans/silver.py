@@ -14,6 +14,7 @@ from punctua.operators.cleaning import clean_coordinates, clean_flights, clean_l
 from punctua.operators.rules import (
     PERIOD, period_rules, validation_report, valid_unique, with_flags,
 )
+from punctua.plans.jobs import together
 from punctua.session import tune
 from punctua.sources.delimited import scan_csv, scan_flight_csv
 from punctua.sources.storage import staged
@@ -42,12 +43,18 @@ def build_silver(raw: DataFrame, root: str, period: tuple[int, int] | None = Non
     report = validation_report(flagged, period_rules()).withColumnsRenamed(
         dict(zip(PERIOD, ("year", "month")))
     ).withColumn("dataset", F.lit("flights"))
-    if period is None:
-        write_periods(silver_rows(flagged), f"{root}/{FLIGHTS}")
-        write_periods(report, f"{root}/{FLIGHT_REPORT}")
-    else:
-        replace_period(silver_rows(flagged), f"{root}/{FLIGHTS}", *period)
-        replace_period(report, f"{root}/{FLIGHT_REPORT}", *period)
+
+    def write(df: DataFrame, target: str) -> None:
+        if period is None:
+            write_periods(df, f"{root}/{target}")
+        else:
+            replace_period(df, f"{root}/{target}", *period)
+
+    together(
+        raw.sparkSession,
+        lambda: write(silver_rows(flagged), FLIGHTS),
+        lambda: write(report, FLIGHT_REPORT),
+    )
 
 
 def build_silver_month(spark: SparkSession, bronze: str, root: str, year: int, month: int) -> None:
