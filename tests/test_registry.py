@@ -6,6 +6,8 @@ from compare import connect, differences
 import __spark_entry__ as entry_points
 
 SF_DIR = "/root/testdata/sf0.001"
+# In the smallest tables no route has more than one flight a month, and no flight leaves "NCX".
+MAY_BE_EMPTY = {"min_volume", "route_pick"}
 QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 
 
@@ -20,7 +22,8 @@ def test_every_query_has_a_counterpart():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, name):
-    assert differences(QUERIES[name](spark, SF_DIR), duck, ORACLES[name]) == []
+    found = differences(QUERIES[name](spark, SF_DIR), duck, ORACLES[name], name in MAY_BE_EMPTY)
+    assert found == []
 
 
 def test_entry(spark):
