@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from punctua.operators.cleaning import require_columns
-from punctua.sources.files import archive_lines, archive_members, delimited_heads, list_files
+from punctua.sources.files import (
+    archive_headers, archive_lines, archive_members, delimited_heads, list_files,
+)
 
 # A header lists at most a few layouts; more than this means the folder holds unrelated files.
 MAX_LAYOUTS = 50
@@ -92,37 +94,24 @@ def scan_zipped_csv(
 ) -> DataFrame:
     """Rows of the CSV members of all archives under ``path``, required columns as text.
 
-    Lines are cut in Python streams; parsing is Spark's own. Members may differ in column order.
+    Members may differ in column order: those with the same header line are read together, each
+    exactly once. Lines are cut in Python streams; parsing is Spark's own.
     """
-    members = (
-        archive_members(list_files(spark, path, pattern))
-        .where(F.col("member").endswith(".csv"))
-        .select("path", "member")
-    )
-    lines = archive_lines(members)
-    layouts = (
-        lines.where("is_header").select(F.col("line").alias("header")).distinct()
-        .limit(MAX_LAYOUTS + 1).collect()
-    )
+    members = archive_members(list_files(spark, path, pattern)).where(F.col("member").endswith(".csv"))
+    heads = archive_headers(members)
+    layouts = heads.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()
     if not layouts:
         raise FileNotFoundError(f"no CSV member in any archive under {path}")
     if len(layouts) > MAX_LAYOUTS:
         raise ValueError(f"more than {MAX_LAYOUTS} different headers under {path}")
 
-    parsed = []
+    rows = None
     for layout in layouts:
-        schema = text_schema(next(iter(_csv_records([layout.header]))))
+        schema = text_schema(next(_csv_records([layout.header]), []))
         require_columns(schema.names, required, "archive member")
-        parsed.append((layout.header, schema))
-    if len(parsed) == 1:
-        rows = _parse_lines(lines.where("NOT is_header"), parsed[0][1], required)
-    else:
-        headers = lines.where("is_header").select("path", "member", F.col("line").alias("header"))
-        tagged = lines.where("NOT is_header").join(headers, ["path", "member"])
-        rows = None
-        for header, schema in parsed:
-            part = _parse_lines(tagged.where(F.col("header") == header), schema, required)
-            rows = part if rows is None else rows.unionByName(part)
+        lines = archive_lines(heads.where(F.col("header") == layout.header))
+        part = _parse_lines(lines, schema, required)
+        rows = part if rows is None else rows.unionByName(part)
     return rows
 
 
@@ -133,7 +122,7 @@ def _csv_records(lines: list[str]):
 
 
 def _parse_lines(lines: DataFrame, schema: T.StructType, required: list[str]) -> DataFrame:
-    record = F.from_csv("line", schema.simpleString()[len("struct<"):-1].replace(":", " "))
+    record = F.from_csv("line", ", ".join(f"`{name}` string" for name in schema.names))
     return lines.where("line <> ''").select(record.alias("r")).select(
         *[F.col("r").getField(c).alias(c) for c in required]
     )

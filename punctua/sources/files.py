@@ -232,8 +232,31 @@ def verify_archives(spark: SparkSession, path: str | list[str], pattern: str = "
     )
 
 
+def archive_headers(members: DataFrame) -> DataFrame:
+    """First line of each archive member: ``path, member, header``. Reads only its beginning."""
+    open_uri = _opener()
+
+    def read_headers(batches: Iterable) -> Iterator:
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        for batch in batches:
+            headers = []
+            for path, member in zip(batch["path"], batch["member"]):
+                with open_uri(path) as stream, zipfile.ZipFile(stream) as archive:
+                    with archive.open(member) as raw, io.TextIOWrapper(raw, "utf-8-sig") as text:
+                        headers.append(text.readline().rstrip("\r\n"))
+            yield pd.DataFrame({"path": batch["path"], "member": batch["member"], "header": headers})
+
+    return members.select("path", "member").mapInPandas(
+        read_headers, "path string, member string, header string"
+    )
+
+
 def archive_lines(members: DataFrame) -> DataFrame:
-    """Text lines of archive members, header line marked: ``path, member, is_header, line``.
+    """Text lines of archive members after their header line: ``line``.
 
     Members are decompressed as streams and emitted in bounded batches.
     """
@@ -249,19 +272,9 @@ def archive_lines(members: DataFrame) -> DataFrame:
         for batch in batches:
             for path, member in zip(batch["path"], batch["member"]):
                 with open_uri(path) as stream, zipfile.ZipFile(stream) as archive:
-                    with archive.open(member) as raw, io.TextIOWrapper(
-                        raw, encoding="utf-8-sig"
-                    ) as text:
-                        first = True
+                    with archive.open(member) as raw, io.TextIOWrapper(raw, "utf-8-sig") as text:
+                        text.readline()
                         while chunk := list(itertools.islice(text, 20000)):
-                            lines = pd.Series(chunk).str.rstrip("\r\n")
-                            out = pd.DataFrame({"path": path, "member": member, "is_header": False,
-                                                "line": lines})
-                            if first:
-                                out.loc[0, "is_header"] = True
-                                first = False
-                            yield out
-
-    return _spread(members.select("path", "member")).mapInPandas(
-        read_lines, "path string, member string, is_header boolean, line string"
-    )
+                            yield pd.DataFrame({"line": pd.Series(chunk).str.rstrip("\r\n")})
+
+    return _spread(members.select("path", "member")).mapInPandas(read_lines, "line string")

@@ -28,8 +28,7 @@ def test_columns_are_matched_by_name_in_every_file(spark, tmp_path):
         tmp_path, a='A,B,\n1,"x, y",\n', b="B,C,A\nq,9,2\n", c=b"\xef\xbb\xbfA,B,\n3,\n", d="A,B,\n", e="",
     )
     scan = delimited.scan_csv(spark, folder, ["A", "B"])
-    assert rows_of(scan.fillna("NULL")) == [("1", "x, y"), ("2", "q"), ("3", "NULL")] or \
-        {(r.A, r.B) for r in scan.collect()} == {("1", "x, y"), ("2", "q"), ("3", None)}
+    assert {(r.A, r.B) for r in scan.collect()} == {("1", "x, y"), ("2", "q"), ("3", None)}
 
 
 def test_only_selected_cells_are_parsed(spark, tmp_path):
@@ -90,7 +89,7 @@ def make_zip(path, **members):
 
 
 def test_archives(spark, tmp_path):
-    make_zip(tmp_path / "a.zip", one_csv="A,B\r\n1,x\r\n2,\"y, z\"\r\n", two_csv="B,A\nq,3\n", note_txt="hi")
+    make_zip(tmp_path / "a.zip", one_csv="A,B,C d,\r\n1,x,,\r\n2,\"y, z\",u,\r\n", two_csv="B,A\nq,3\n", note_txt="hi")
     make_zip(tmp_path / "b.zip", one_csv="﻿A,B\n" + "".join(f"{i},w\n" for i in range(50_000)))
     scan = delimited.scan_zipped_csv(spark, str(tmp_path), ["A", "B"])
     assert scan.count() == 50_003
