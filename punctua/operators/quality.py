@@ -144,7 +144,7 @@ def quality_gate(results: DataFrame) -> None:
     )
     if first:
         raise ValueError(
-            "Data quality check failed: "
+            "Failed checks: "
             + "; ".join(f"{r.check_name} = {r.error_count} for {r.year}-{r.month:02d}" for r in first)
         )
 
@@ -184,6 +184,6 @@ def require_presence(presence: DataFrame) -> None:
     missing = presence.where("NOT present").orderBy(*PERIOD, "table_name").limit(10).collect()
     if missing:
         raise ValueError(
-            "Pipeline check failed: "
+            "Tables without rows: "
             + "; ".join(f"{r.table_name} contains no data for {r.year}-{r.month:02d}" for r in missing)
         )
