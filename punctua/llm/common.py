@@ -156,3 +156,46 @@ def windows(hashes: np.ndarray, length: int) -> np.ndarray:
     for i in range(length):
         total += hashes[i:i + count] * factors[i]
     return mixed(total)
+
+
+def whole_keys(batches, key: str):
+    """Arrow tables of whole keys from batches that are sorted by ``key``; the last key is held back
+    until it is complete, so memory holds one batch and one key."""
+    import pyarrow as pa
+
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        keys = rows.column(key).to_numpy()
+        start = int(np.searchsorted(keys, keys[-1]))
+        if start:
+            yield rows.slice(0, start)
+        held = rows.slice(start)
+    if held is not None:
+        yield held
+
+
+def key_bounds(keys: np.ndarray) -> np.ndarray:
+    """Positions at which a run of equal sorted keys begins, and the end."""
+    return np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]))
+
+
+class Sets:
+    """Disjoint sets of 0..n-1."""
+
+    def __init__(self, count: int):
+        self.parent = list(range(count))
+
+    def find(self, i: int) -> int:
+        while self.parent[i] != i:
+            self.parent[i] = self.parent[self.parent[i]]
+            i = self.parent[i]
+        return i
+
+    def join(self, i: int, j: int) -> bool:
+        i, j = self.find(i), self.find(j)
+        self.parent[max(i, j)] = min(i, j)
+        return i != j
