@@ -19,6 +19,7 @@ interchangeable; an empty table gives an empty result; other columns are ignored
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -31,6 +32,18 @@ from punctua.sources.storage import staged
 
 CAPACITY = 2048
 END_ID = 0
+LATIN_END = "\u0250"
+
+
+def byte_signs() -> dict[int, str]:
+    """The sign that stands for each byte in a byte-level vocabulary: printable Latin-1 for itself,
+    the other bytes for the code points from 256 on, in order."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+BYTE_SIGNS = byte_signs()
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, place long"
 
 
@@ -47,7 +60,7 @@ class ChunkIds(dict):
     so a text may be cut there, and the ids of its chunks are the ids of the text.
     """
 
-    LIMIT = 200_000
+    LIMIT = 400_000
     CUT = re.compile(r" (?=\S)")
     ODD = re.compile(r" (?=\s|$)")
 
@@ -56,14 +69,35 @@ class ChunkIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.model = self.tokenizer.model
 
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= self.LIMIT:
             self.clear()
-        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        found = self[chunk] = np.array(ids, "<u4").tobytes()
+        found = self[chunk] = self.parted(chunk)
         return found
 
+    def parted(self, chunk: str) -> bytes:
+        """The ids of a chunk, from parts that recur more often where the text may be cut: around a
+        single line break between visible characters, and between a letter and a final mark."""
+        if "\n" in chunk:
+            lines = chunk.split("\n")
+            if all(line and not line[-1].isspace() and not line.isspace() for line in lines) and not any(
+                    line[0].isspace() for line in lines[1:]):
+                return self["\n"].join([self[line] for line in lines])
+        elif len(chunk) > 2 and chunk[-1] in ".,;:!?" and chunk[-2].isalpha():
+            return self[chunk[:-1]] + self[chunk[-1]]
+        return self.encoded(chunk)
+
+    def encoded(self, chunk: str) -> bytes:
+        word = chunk[1:] if chunk[:1] == " " else chunk
+        if word.isalpha() and max(word) < LATIN_END:
+            # One word of letters is one unit to the tokenizer: its model alone gives the same ids.
+            ids = [token.id for token in self.model.tokenize(chunk.encode().decode("latin-1").translate(BYTE_SIGNS))]
+        else:
+            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def of(self, text: str) -> bytes:
         """The ids of a whole text."""
         chunks = self.CUT.split(text) if self.ODD.search(text) else text.split(" ")
