@@ -38,7 +38,7 @@ def lines_of(html: Column) -> Column:
     text = F.coalesce(html, F.lit(""))
     for pattern, by in ((HIDDEN, " "), (BREAKS, "\n"), (TAGS, ""), (SPACES, " ")):
         text = F.regexp_replace(text, pattern, by)
-    return F.filter(F.transform(F.split(text, "\n"), F.trim), lambda line: line != "")
+    return F.filter(F.transform(F.split(text, "\n"), lambda line: F.trim(line)), lambda line: line != "")
 
 
 def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:

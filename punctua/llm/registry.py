@@ -11,6 +11,9 @@ from punctua.llm import (
     substring_dedup, toxicity,
 )
 from punctua.llm.common import table
+from punctua.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,5 +73,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
-
-ORACLES: dict[str, str] = {}
