@@ -184,22 +184,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a one-file table to all cores; a file with one row group is otherwise one task.
-
-    A table of many files is left alone: its scan is parallel as it is.
-    """
-    if len(df.inputFiles()) > 1:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def bind(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """The input described by one of the texts above."""
     used = {name: table(spark, sf_dir, name) for name in TABLES if "{" + name + "}" in text}
-    if text is BRONZE:
-        # Rendering and cleaning 47 text cells per row is worth a shuffle of a single file.
-        used["lineitem"] = spread(used["lineitem"])
     return spark.sql(text, **used)
 
 

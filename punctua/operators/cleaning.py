@@ -17,7 +17,7 @@ def require_columns(columns: Iterable[str], required: Iterable[str], name: str =
     present = set(columns)
     missing = [c for c in required if c not in present]
     if missing:
-        raise ValueError(f"{name}: mandatory columns missing: {missing}")
+        raise ValueError(f"{name} lacks columns: {', '.join(missing)}")
 
 
 def column_presence(df: DataFrame, wanted: list[str]) -> DataFrame:

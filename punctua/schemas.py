@@ -40,6 +40,7 @@ FLIGHT_BUSINESS_KEY = [
 ]
 
 # ---- lookup and coordinate files --------------------------------------------------------
+# Columns of the lookup files.
 LOOKUP_COLUMNS = ["Code", "Description"]
 
 # Lookup files, how their code is typed, and the names of the cleaned columns.
@@ -49,12 +50,14 @@ LOOKUPS = {
     "airport_ids": {"code_type": "integer", "code_name": "AirportID", "description_name": "AirportName"},
 }
 
+# Columns of the coordinate file that are used.
 COORDINATE_COLUMNS = [
     "AIRPORT_ID", "AIRPORT", "DISPLAY_AIRPORT_NAME", "DISPLAY_AIRPORT_CITY_NAME_FULL",
     "AIRPORT_STATE_NAME", "LATITUDE", "LONGITUDE", "AIRPORT_IS_LATEST",
 ]
 
 # ---- star schema ------------------------------------------------------------------------
+# Columns of the star schema, in table order.
 DIM_AIRLINE = T.StructType([
     T.StructField("airline_id", T.IntegerType(), False),
     T.StructField("airline_name", T.StringType(), False),

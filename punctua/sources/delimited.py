@@ -8,18 +8,17 @@ from pyspark.sql import types as T
 
 from punctua.operators.cleaning import require_columns
 from punctua.sources.files import (
-    archive_headers, archive_lines, archive_members, delimited_heads, list_files,
+    CSV_PATTERN, ZIP_PATTERN, UnusableFiles, delimited_heads, list_files, listed_members, member_rows,
 )
+from punctua.sources.storage import staged
 
-# A header lists at most a few layouts; more than this means the folder holds unrelated files.
-MAX_LAYOUTS = 50
 
+def text_schema(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
-def text_schema(header: list[str]) -> T.StructType:
-    """All-string schema of a header; unnamed columns (trailing comma) get a positional name."""
-    return T.StructType([
-        T.StructField(name.strip() or f"_c{i}", T.StringType()) for i, name in enumerate(header)
-    ])
+
+def _one_spelling(uri: Column) -> Column:
+    return F.regexp_replace(uri, "^file:/+", "file:/")
 
 
 def scan_csv(
@@ -27,46 +26,44 @@ def scan_csv(
 ) -> DataFrame:
     """Scan all CSV files under ``path`` and return the required columns as text.
 
-    Columns are matched by header name in every file, also when layouts differ between files:
-    files that share a layout are read together, without an inference pass over the data. Raises
-    ``FileNotFoundError`` when there is no file and ``ValueError`` naming the missing columns.
-    Select other columns from the result before the scan runs and only those are parsed.
+    Columns are matched by header name in every file. One pass reads the headers, a task per few
+    files, and is written once. Where all files share a header, they are read by it, and only
+    selected cells are parsed. Otherwise all files are read in one scan by position, and each row
+    picks its cells through the header of its file, however many different headers there are.
+    Raises ``FileNotFoundError`` when there is no file and ``ValueError`` naming the missing columns.
     """
     try:
-        files = list_files(spark, path, "*.csv")
+        files = list_files(spark, path, CSV_PATTERN)
     except Exception as error:
         if getattr(error, "getCondition", lambda: None)() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"{name}: no such path: {path}") from error
         raise
     # Empty files carry neither header nor rows.
-    heads = delimited_heads(files).where("length > 0")
-    layouts = heads.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()
-    if not layouts:
+    heads = staged(delimited_heads(files).where("length > 0").select("uri", "header"), "heads")
+    size, common, other = heads.agg(
+        F.max(F.size("header")), F.min("header"), F.max("header")).first()
+    if not size:
         raise FileNotFoundError(f"{name}: no CSV file with a header under {path}")
-    if len(layouts) > MAX_LAYOUTS:
-        raise ValueError(f"{name}: more than {MAX_LAYOUTS} different headers under {path}")
-
-    parts = []
-    for layout in layouts:
-        schema = text_schema(layout.header)
-        require_columns(schema.names, required, name)
-        source: str | list[str] = path
-        if len(layouts) > 1:
-            source = [
-                row.path for row in heads
-                .where(F.col("header") == F.array(*[F.lit(c) for c in layout.header]))
-                .select("path").collect()
-            ]
-        parts.append(
-            spark.read.schema(schema).option("header", True)
-            .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-            .csv(source)
-            .select(*required, F.col("_metadata.file_path").alias("source_file"))
+    lacking = heads.where(F.size(F.array_except(F.array(*map(F.lit, required)), "header")) > 0)
+    for row in lacking.limit(1).collect():
+        require_columns(row.header, required, name)
+
+    def read(names: list[str]) -> DataFrame:
+        return (
+            spark.read.schema(text_schema(names)).option("header", True)
+            .option("recursiveFileLookup", True).option("pathGlobFilter", CSV_PATTERN).csv(path)
         )
-    scan = parts[0]
-    for part in parts[1:]:
-        scan = scan.unionByName(part)
-    return scan
+
+    source = F.col("_metadata.file_path").alias("source_file")
+    if common == other and len(set(common)) == len(common):
+        return read(common).select(*required, source)
+    cells = [f"_{i}" for i in range(size)]
+    rows = read(cells).select(source, F.array(*cells).alias("cells"))
+    # A row per file against all rows: Spark broadcasts the headers as long as they are small.
+    placed = rows.join(heads, _one_spelling(rows["source_file"]) == _one_spelling(heads["uri"]))
+    return placed.select(
+        *[F.element_at("cells", F.array_position("header", c).cast("int")).alias(c) for c in required], "source_file"
+    )
 
 
 def period_of_path(path: str = "source_file") -> tuple[Column, Column]:
@@ -90,39 +87,33 @@ def scan_flight_csv(
 
 
 def scan_zipped_csv(
-    spark: SparkSession, path: str | list[str], required: list[str], pattern: str = "*.zip"
+    spark: SparkSession, path: str | list[str], required: list[str], pattern: str = ZIP_PATTERN,
+    skip_bad: bool = False,
 ) -> DataFrame:
     """Rows of the CSV members of all archives under ``path``, required columns as text.
 
-    Members may differ in column order: those with the same header line are read together, each
-    exactly once. Lines are cut in Python streams; parsing is Spark's own.
+    Each member is read exactly once and written to the scratch folder together with the verdicts of
+    that pass. Archives that are empty, no archives, damaged or without a required column raise
+    ``UnusableFiles`` naming all of them; with ``skip_bad`` they are left out, all rows of a damaged
+    archive included, and ``bad_archives`` of the same path lists them.
     """
-    members = archive_members(list_files(spark, path, pattern)).where(F.col("member").endswith(".csv"))
-    heads = archive_headers(members)
-    layouts = heads.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()
-    if not layouts:
+    members = listed_members(spark, path, pattern)
+    rows = staged(member_rows(members, required), "members")
+    bad = rows.where("problem IS NOT NULL").select("path", "problem").distinct()
+    found = [tuple(row) for row in bad.orderBy("path", "problem").collect()]
+    if found and not skip_bad:
+        raise UnusableFiles("archives", found)
+    good = rows.where("problem IS NULL")
+    if found:
+        good = good.join(bad.select("path").distinct(), "path", "left_anti")
+    if rows.isEmpty() and members.where(F.lower("member").endswith(".csv")).isEmpty():
         raise FileNotFoundError(f"no CSV member in any archive under {path}")
-    if len(layouts) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} different headers under {path}")
-
-    rows = None
-    for layout in layouts:
-        schema = text_schema(next(_csv_records([layout.header]), []))
-        require_columns(schema.names, required, "archive member")
-        lines = archive_lines(heads.where(F.col("header") == layout.header))
-        part = _parse_lines(lines, schema, required)
-        rows = part if rows is None else rows.unionByName(part)
-    return rows
-
+    return good.select(*required)
 
-def _csv_records(lines: list[str]):
-    import csv
 
-    return csv.reader(lines)
-
-
-def _parse_lines(lines: DataFrame, schema: T.StructType, required: list[str]) -> DataFrame:
-    record = F.from_csv("line", ", ".join(f"`{name}` string" for name in schema.names))
-    return lines.where("line <> ''").select(record.alias("r")).select(
-        *[F.col("r").getField(c).alias(c) for c in required]
-    )
+def bad_archives(
+    spark: SparkSession, path: str | list[str], required: list[str], pattern: str = ZIP_PATTERN
+) -> DataFrame:
+    """``path, member, problem`` of what ``scan_zipped_csv`` cannot read."""
+    return member_rows(listed_members(spark, path, pattern), required).where("problem IS NOT NULL").select(
+        "path", "member", "problem")

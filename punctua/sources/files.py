@@ -1,7 +1,9 @@
 """Whole-file checks: one verdict row per file, reading only what the verdict needs.
 
-Files are listed by Spark and opened inside tasks through Arrow's file-system layer, so nothing
-passes through the driver and a file is never held in memory as a whole.
+Spark's file index lists the files on the driver, as it does for any scan; they are opened inside
+tasks through Arrow's file-system layer, and none is held in memory as a whole. Lists of files and
+of archive members are dealt to an explicit number of partitions, which adaptive execution leaves
+alone: their rows are tiny, but each stands for a file to be read.
 """
 
 from __future__ import annotations
@@ -12,18 +14,34 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from punctua.sources.storage import staged
+
+CSV_PATTERN, ZIP_PATTERN = "*.[cC][sS][vV]", "*.[zZ][iI][pP]"
+
+
+class UnusableFiles(ValueError):
+    """Input files that fail their check; ``files`` has ``(path, verdict)`` of all of them."""
+
+    def __init__(self, name: str, found: list[tuple[str, str]]):
+        self.files = found
+        super().__init__(f"{name}: {len(found)} unusable: " + "; ".join(f"{path}: {verdict}" for path, verdict in found))
+
+
+def spread_out(df: DataFrame, rows: int) -> DataFrame:
+    """Deal rows that stand for files to many tasks: one each, up to four per core."""
+    return df.repartition(max(1, min(rows, 4 * df.sparkSession.sparkContext.defaultParallelism)))
+
 
 def list_files(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> DataFrame:
     """``path`` of every file below ``path``, empty ones included; contents are not read.
 
-    Spark's file index already holds the listing. A scan would leave out empty files, which are
-    just what a file check has to see.
+    A scan would leave out empty files, which are just what a file check has to see.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    paths = [(unquote(uri),) for uri in reader.load(path).inputFiles()]
-    return spark.createDataFrame(paths, "path string").repartition("path")
+    paths = [(unquote(uri), uri) for uri in reader.load(path).inputFiles()]
+    return spread_out(spark.createDataFrame(paths, "path string, uri string"), len(paths))
 
 
 def file_name(path: str = "path"):
@@ -83,11 +101,17 @@ def _opener():
     return open_uri
 
 
+def normal_header(names: list[str]) -> list[str]:
+    """Column names of a header line: trimmed; unnamed ones (trailing comma) get a positional name."""
+    return [name.strip() or f"_c{i}" for i, name in enumerate(names)]
+
+
 def delimited_heads(files: DataFrame) -> DataFrame:
     """Header and presence of a first data row of each delimited file.
 
-    Output: ``path, length, header (array), has_rows, decodable``. A byte-order mark is dropped.
-    Only the first buffer of each file is read.
+    Output: ``path, uri, length, header (array), has_rows, decodable``. A byte-order mark is
+    dropped, names are trimmed. Only the first buffer of each file is read; bytes that are no UTF-8
+    are replaced, as Spark's reader does, and make the file not ``decodable``.
     """
     open_uri = _opener()
 
@@ -99,24 +123,26 @@ def delimited_heads(files: DataFrame) -> DataFrame:
 
         for batch in batches:
             rows = []
-            for path in batch["path"]:
+            for path, uri in zip(batch["path"], batch["uri"]):
                 header, has_rows, decodable = [], False, True
                 with open_uri(path) as stream:
                     length = stream.seek(0, 2)
                     stream.seek(0)
+                    text = io.TextIOWrapper(stream, encoding="utf-8-sig", errors="replace", newline="")
                     try:
-                        text = io.TextIOWrapper(stream, encoding="utf-8-sig", newline="")
                         records = (record for record in csv.reader(text) if record)
                         header = next(records, [])
-                        has_rows = next(records, None) is not None
-                    except (UnicodeDecodeError, csv.Error):
+                        first = next(records, None)
+                        has_rows = first is not None
+                        decodable = not any("\ufffd" in cell for cell in [*header, *(first or [])])
+                    except csv.Error:
                         decodable = False
-                rows.append((path, length, header, has_rows, decodable))
-            yield pd.DataFrame(rows, columns=["path", "length", "header", "has_rows", "decodable"])
+                rows.append((path, uri, length, normal_header(header), has_rows, decodable))
+            yield pd.DataFrame(rows, columns=["path", "uri", "length", "header", "has_rows", "decodable"])
 
     return files.mapInPandas(
         read_heads,
-        "path string, length long, header array<string>, has_rows boolean, decodable boolean",
+        "path string, uri string, length long, header array<string>, has_rows boolean, decodable boolean",
     )
 
 
@@ -142,11 +168,11 @@ def profile_files(
     )
 
 
-def require_good_files(verdicts: DataFrame) -> None:
-    """Raise on the first few files whose verdict is not ``ok``."""
-    bad = verdicts.where("verdict <> 'ok'").orderBy("path").limit(10).collect()
+def require_good_files(verdicts: DataFrame, name: str = "input files") -> None:
+    """Raise on files whose verdict is not ``ok``, naming all of them."""
+    bad = verdicts.where("verdict <> 'ok'").select("path", "verdict").orderBy("path").collect()
     if bad:
-        raise ValueError("unusable files: " + "; ".join(f"{r.path}: {r.verdict}" for r in bad))
+        raise UnusableFiles(name, [tuple(row) for row in bad])
 
 
 def archive_members(files: DataFrame) -> DataFrame:
@@ -182,12 +208,14 @@ def archive_members(files: DataFrame) -> DataFrame:
     )
 
 
-def _spread(members: DataFrame) -> DataFrame:
-    """One task per few members: a large archive is read by many tasks, not by one."""
-    return members.repartition("path", "member")
+def listed_members(spark: SparkSession, path: str | list[str], pattern: str = ZIP_PATTERN) -> DataFrame:
+    """The members of all archives below ``path``, one task per few members: a large archive is
+    read by many tasks, not by one. The short list is written once, so its size is known."""
+    members = staged(archive_members(list_files(spark, path, pattern)), "members")
+    return spread_out(members, members.count())
 
 
-def verify_archives(spark: SparkSession, path: str | list[str], pattern: str = "*.zip") -> DataFrame:
+def verify_archives(spark: SparkSession, path: str | list[str], pattern: str = ZIP_PATTERN) -> DataFrame:
     """Verdict per archive: ``path, members, verdict`` (``empty``, ``not_zip``, ``corrupt``, ``ok``).
 
     Every member is decompressed once, in a stream, to check its checksum.
@@ -218,8 +246,7 @@ def verify_archives(spark: SparkSession, path: str | list[str], pattern: str = "
                 "is_zip": batch["is_zip"], "good": good,
             })
 
-    members = archive_members(list_files(spark, path, pattern))
-    checked = _spread(members).mapInPandas(
+    checked = listed_members(spark, path, pattern).mapInPandas(
         check, "path string, length long, member string, is_zip boolean, good boolean"
     )
     return checked.groupBy("path").agg(
@@ -232,49 +259,54 @@ def verify_archives(spark: SparkSession, path: str | list[str], pattern: str = "
     )
 
 
-def archive_headers(members: DataFrame) -> DataFrame:
-    """First line of each archive member: ``path, member, header``. Reads only its beginning."""
-    open_uri = _opener()
+def member_rows(members: DataFrame, required: list[str]) -> DataFrame:
+    """Cells of the CSV members of archives: ``path, member, problem`` and the required columns.
 
-    def read_headers(batches: Iterable) -> Iterator:
-        import io
-        import zipfile
-
-        import pandas as pd
-
-        for batch in batches:
-            headers = []
-            for path, member in zip(batch["path"], batch["member"]):
-                with open_uri(path) as stream, zipfile.ZipFile(stream) as archive:
-                    with archive.open(member) as raw, io.TextIOWrapper(raw, "utf-8-sig") as text:
-                        headers.append(text.readline().rstrip("\r\n"))
-            yield pd.DataFrame({"path": batch["path"], "member": batch["member"], "header": headers})
-
-    return members.select("path", "member").mapInPandas(
-        read_headers, "path string, member string, header string"
-    )
-
-
-def archive_lines(members: DataFrame) -> DataFrame:
-    """Text lines of archive members after their header line: ``line``.
-
-    Members are decompressed as streams and emitted in bounded batches.
+    Each member is decompressed once, as a stream, and cut by its own header, so members may differ
+    in their columns. What cannot be read is a row with a ``problem`` (``empty``, ``not_zip``,
+    ``corrupt``, ``missing_columns``) in place of cells; bytes that are no UTF-8 are replaced.
     """
     open_uri = _opener()
+    wanted = list(required)
 
-    def read_lines(batches: Iterable) -> Iterator:
+    def read_member(archive, member: str):
+        import csv
         import io
         import itertools
         import zipfile
+        import zlib
+
+        try:
+            with archive.open(member) as raw, io.TextIOWrapper(raw, "utf-8-sig", errors="replace", newline="") as text:
+                records = (record for record in csv.reader(text) if record)
+                header = [name.strip() or f"_c{i}" for i, name in enumerate(next(records, []))]
+                if not set(wanted) <= set(header):
+                    yield [], "missing_columns" if header else None
+                    return
+                places = [header.index(name) for name in wanted]
+                while chunk := list(itertools.islice(records, 20000)):
+                    yield [[row[i] if i < len(row) and row[i] != "" else None for i in places] for row in chunk], None
+        except (zipfile.BadZipFile, zlib.error, EOFError, csv.Error):
+            yield [], "corrupt"
+
+    def read_rows(batches: Iterable) -> Iterator:
+        import zipfile
 
         import pandas as pd
 
+        columns = ["path", "member", "problem", *wanted]
         for batch in batches:
-            for path, member in zip(batch["path"], batch["member"]):
-                with open_uri(path) as stream, zipfile.ZipFile(stream) as archive:
-                    with archive.open(member) as raw, io.TextIOWrapper(raw, "utf-8-sig") as text:
-                        text.readline()
-                        while chunk := list(itertools.islice(text, 20000)):
-                            yield pd.DataFrame({"line": pd.Series(chunk).str.rstrip("\r\n")})
-
-    return _spread(members.select("path", "member")).mapInPandas(read_lines, "line string")
+            for path, length, member, is_zip in zip(batch["path"], batch["length"], batch["member"], batch["is_zip"]):
+                if not isinstance(member, str):
+                    problem = "empty" if length == 0 else None if is_zip else "not_zip"
+                    if problem:
+                        yield pd.DataFrame([[path, None, problem, *[None] * len(wanted)]], columns=columns)
+                elif member.lower().endswith(".csv"):
+                    with open_uri(path) as stream, zipfile.ZipFile(stream) as archive:
+                        for rows, problem in read_member(archive, member):
+                            rows = [[path, member, problem, *[None] * len(wanted)]] if problem else [
+                                [path, member, None, *row] for row in rows]
+                            yield pd.DataFrame(rows, columns=columns, dtype="object")
+
+    cells = ", ".join(f"`{name}` string" for name in wanted)
+    return members.mapInPandas(read_rows, f"path string, member string, problem string, {cells}")

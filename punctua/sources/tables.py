@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
+from punctua.operators.geo import airport_coordinates, route_coordinates
 from punctua.schemas import KPI_SCHEMAS, KPI_TABLES
-from punctua.sources.storage import data_files, read_if_present, scratch_path
+from punctua.sources.storage import data_files, has_data, read_if_present, remove, staged
 
 Period = tuple[int, int]
 PERIOD_COLUMNS = ["year", "month"]
@@ -33,8 +34,8 @@ def require_period(spark: SparkSession, root: str, year: int, month: int, name:
     table = read_if_present(spark, root)
     if table is None:
         raise FileNotFoundError(f"{name} not found: {root}")
-    if not any(data_files(spark, p) for p in _leaves(root, year, month)):
-        raise FileNotFoundError(f"{name} not found for {year}-{month:02d}: {root}")
+    if not any(has_data(spark, p) for p in _leaves(root, year, month)):
+        raise FileNotFoundError(f"{name} has no files for {year}-{month:02d}: {root}")
     return table
 
 
@@ -46,14 +47,34 @@ def _leaves(root: str, year: int, month: int) -> list[str]:
     return names
 
 
-def write_periods(df: DataFrame, root: str) -> None:
+def unify_months(spark: SparkSession, root: str) -> None:
+    """Give zero-padded month folders the spelling that this module writes, so that a period has one
+    folder. Folders only: their number is that of the months."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    base = path(root)
+    file_system = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in file_system.globStatus(path(f"{root}/year=*/month=0*")) or []:
+        padded = status.getPath()
+        plain = path(padded.getParent(), f"month={int(padded.getName().split('=')[1])}")
+        if not file_system.exists(plain):
+            file_system.rename(padded, plain)
+            continue
+        for file in file_system.listStatus(padded):
+            if not file.getPath().getName().startswith("_"):
+                file_system.rename(file.getPath(), path(plain, file.getPath().getName()))
+        file_system.delete(padded, True)
+
+
+def write_periods(df: DataFrame, root: str, one: bool = False) -> None:
     """Overwrite exactly the periods present in ``df``; all other periods stay as they are.
 
     The rebalance hint lets adaptive execution cut a hot month into several files and merge the
-    small ones.
+    small ones. ``one`` says that all rows are of one period: they are then dealt out evenly instead
+    of by their period, which would be a single key.
     """
+    unify_months(df.sparkSession, root)
     (
-        df.hint("rebalance", *[F.col(c) for c in PERIOD_COLUMNS])
+        df.hint("rebalance", *([] if one else [F.col(c) for c in PERIOD_COLUMNS]))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PERIOD_COLUMNS)
@@ -68,12 +89,12 @@ def replace_period(df: DataFrame, root: str, year: int, month: int) -> None:
     in every write, so an unchanged listing means exactly that, and the period is then emptied.
     """
     spark = df.sparkSession
-    before = {leaf: data_files(spark, leaf) for leaf in _leaves(root, year, month)}
-    write_periods(df.where(period_filter([(year, month)])), root)
-    empty = spark.createDataFrame([], df.drop(*PERIOD_COLUMNS).schema)
-    for leaf, files in before.items():
-        if files and data_files(spark, leaf) == files:
-            empty.write.mode("overwrite").parquet(leaf)
+    unify_months(spark, root)
+    leaf = f"{root}/year={year}/month={month}"
+    before = data_files(spark, leaf)
+    write_periods(df.where(period_filter([(year, month)])), root, one=True)
+    if before and data_files(spark, leaf) == before:
+        spark.createDataFrame([], df.drop(*PERIOD_COLUMNS).schema).write.mode("overwrite").parquet(leaf)
 
 
 def append_rows(df: DataFrame, root: str, partitioned: bool = True) -> None:
@@ -97,18 +118,41 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame
     return incoming.unionByName(target.join(incoming.select(*keys), keys, "left_anti"))
 
 
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Complete versions of the table at ``path``, oldest first."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    file_system = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = file_system.globStatus(hadoop(f"{path}/version-*/_SUCCESS")) or []
+    return sorted(status.getPath().getParent().toString() for status in found)
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest complete version of the table at ``path``, or None when there is none."""
+    versions = _versions(spark, path)
+    return spark.read.parquet(versions[-1]) if versions else None
+
+
 def merge_snapshot(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Upsert into the unpartitioned table at ``path``. The merged rows are completed in the
-    scratch folder before the old files are touched."""
-    current = read_if_present(spark, path)
-    if current is None:
-        incoming.write.parquet(path)
-        return spark.read.parquet(path)
-    merged = upsert(evolve(current, incoming.schema), incoming, keys)
-    held = scratch_path(spark, "merge")
-    merged.write.parquet(held)
-    spark.read.schema(merged.schema).parquet(held).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """Upsert into the unpartitioned table at ``path``; raises when ``incoming`` doubles a key.
+
+    The merged rows are a new version in a folder of its own, which counts once Spark has marked
+    its write as complete. A write that fails leaves the version before it in force. The last
+    version but one is kept for those who are reading it.
+    """
+    incoming = staged(incoming, "incoming")
+    doubled = incoming.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").orderBy(*keys).limit(1).collect()
+    if doubled:
+        raise ValueError(f"{path}: key {tuple(doubled[0])[:-1]} arrives more than once")
+    versions = _versions(spark, path)
+    current = spark.read.parquet(versions[-1]) if versions else None
+    merged = incoming if current is None else upsert(evolve(current, incoming.schema), incoming, keys)
+    number = int(versions[-1].rsplit("-", 1)[1]) + 1 if versions else 1
+    target = f"{path}/version-{number:012d}"
+    remove(spark, target)  # an incomplete write of that number
+    merged.write.parquet(target)
+    for old in versions[:-1]:
+        remove(spark, old)
+    return spark.read.parquet(target)
 
 
 def evolve(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -126,7 +170,7 @@ def evolve(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def ensure_table(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """Create an empty table with this schema unless there already is one; rows are never lost."""
-    if not data_files(spark, root):
+    if not has_data(spark, root):
         spark.createDataFrame([], schema).write.mode("append").parquet(root)
     partitioned = [c for c in PERIOD_COLUMNS if c in schema.names]
     ordered = T.StructType(
@@ -136,39 +180,60 @@ def ensure_table(spark: SparkSession, root: str, schema: T.StructType) -> DataFr
     return spark.read.schema(ordered).parquet(root).select(*schema.names)
 
 
-def load_gold(spark: SparkSession, root: str, dataset: str, periods: Iterable[Period]) -> DataFrame:
-    """KPI rows of a named dataset (airlines, airports, routes, flights) for a set of periods."""
+def load_gold(
+    spark: SparkSession, root: str, dataset: str, periods: Iterable[Period], dim_airport: DataFrame | None = None,
+) -> DataFrame:
+    """KPI rows of a named dataset (airlines, airports, routes, flights) for a set of periods.
+
+    With ``dim_airport``, airports come with ``latitude`` and ``longitude`` and routes with those of
+    both ends, NULL where unknown.
+    """
     if dataset not in KPI_TABLES:
-        raise ValueError(f"Unknown Gold dataset: {dataset}")
+        raise ValueError(f"no KPI dataset is called {dataset!r}; there are {sorted(KPI_TABLES)}")
     table = spark.read.parquet(f"{root}/{KPI_TABLES[dataset]}")
-    return table.where(period_filter(periods)).select(*KPI_SCHEMAS[dataset].names)
+    rows = table.where(period_filter(periods)).select(*KPI_SCHEMAS[dataset].names)
+    if dim_airport is None or dataset not in ("airports", "routes"):
+        return rows
+    return (airport_coordinates if dataset == "airports" else route_coordinates)(rows, dim_airport)
 
 
-def with_surrogate_key(df: DataFrame, order: list, name: str = "row_id", start: int = 1) -> DataFrame:
-    """Consecutive keys ``start, start + 1, …`` in the given order, without one global sort task.
+def with_period_key(df: DataFrame, name: str) -> DataFrame:
+    """Unique 63-bit keys from ``year``, ``month`` and the place of a row in the write: no scan of
+    older rows, no shuffle, no second copy. Keys of different periods never meet, so that months
+    can be written at the same time; a month that is written again gets keys anew.
 
-    Rows are range-partitioned and sorted, numbered inside their partition and written once; the
-    partition sizes, one row per partition, then give the offsets. The order must tell rows apart
-    (a unique key), which also keeps the ranges even.
+    Bits: 16 for the month, 20 for the task, 27 for the row in the task.
     """
-    spark = df.sparkSession
-    numbered = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_part", F.spark_partition_id())
-        # The lower 33 bits count the rows of the partition.
-        .withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    )
-    path = scratch_path(spark, "numbered")
-    numbered.write.parquet(path)
-    rows = spark.read.schema(numbered.schema).parquet(path)
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    place = F.monotonically_increasing_id()  # task above, row below 33 bits
+    row, task = place.bitwiseAND(F.lit((1 << 33) - 1)), F.shiftright(place, 33)
+    month = (F.col("year") * 12 + F.col("month")).cast("long")
+    fits = (row < 1 << 27) & (task < 1 << 20) & (month < 1 << 16)
+    key = F.shiftleft(month, 47) + F.shiftleft(task, 27) + row
+    return df.select(F.when(fits, key).otherwise(F.raise_error(F.lit("no key left for a task"))).alias(name), *df.columns)
+
+
+def with_positions(df: DataFrame, group: str, order: list, name: str, start: int = 1) -> DataFrame:
+    """``start, start + 1, …`` in the given order within every group, without one sort task per group.
+
+    Rows are range-partitioned by group and order, written once and numbered in their partition;
+    the sizes of the parts of a group give the offsets. The order must tell the rows of a group apart.
+    """
+    ranged = staged(df.repartitionByRange(F.asc_nulls_last(group), *order).withColumn("_part", F.spark_partition_id()), "numbered")
+    local = Window.partitionBy(group, "_part").orderBy(*order)
+    earlier = Window.partitionBy("_group").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy("_part").agg(F.count("*").alias("_size"))
-        .select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
+        ranged.groupBy(F.col(group).alias("_group"), F.col("_part").alias("_at")).agg(F.count("*").alias("_size"))
+        .withColumn("_offset", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
     )
-    # One row per partition: bounded by the shuffle partition count, so it is safe to broadcast.
+    numbered = ranged.withColumn("_row", F.row_number().over(local))
     return (
-        rows.join(F.broadcast(offsets), "_part")
-        .select((F.col("_offset") + F.col("_row") + F.lit(start)).alias(name), *df.columns)
+        numbered.join(offsets, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_part") == F.col("_at")))
+        .select(*df.columns, (F.col("_offset") + F.col("_row") + F.lit(start - 1)).alias(name))
     )
+
+
+def with_surrogate_key(df: DataFrame, order: list, name: str = "row_id", start: int = 1) -> DataFrame:
+    """Consecutive keys ``start, start + 1, …`` over all rows in the given order, which must tell
+    rows apart (a unique key)."""
+    keyed = with_positions(df.withColumn("_all", F.lit(0)), "_all", order, name, start)
+    return keyed.select(name, *df.columns)

@@ -42,7 +42,7 @@ def test_missing_inputs(spark, tmp_path):
         delimited.scan_csv(spark, str(tmp_path / "none"), ["A"])
     with pytest.raises(FileNotFoundError):
         delimited.scan_csv(spark, csv_folder(tmp_path, a=""), ["A"])
-    with pytest.raises(ValueError, match="mandatory columns missing.*'D'"):
+    with pytest.raises(ValueError, match="lacks columns: D"):
         (tmp_path / "in" / "a.csv").write_text("A,B\n1,2\n")
         delimited.scan_csv(spark, str(tmp_path / "in"), ["A", "D"])
 
@@ -76,8 +76,9 @@ def test_file_verdicts(spark, tmp_path):
         "binary": "undecodable", "blank": "ok",
     }
     assert found["wrong"].missing_columns == ["B"]
-    with pytest.raises(ValueError, match="empty.csv: empty"):
+    with pytest.raises(files.UnusableFiles, match="empty.csv: empty") as error:
         files.require_good_files(verdicts)
+    assert len(error.value.files) == 4
     files.require_good_files(verdicts.where("verdict = 'ok'"))
 
 
@@ -96,13 +97,7 @@ def test_archives(spark, tmp_path):
     assert rows_of(scan.where("B <> 'w'")) == [("1", "x"), ("2", "y, z"), ("3", "q")]
     assert scan.where("B = 'w'").agg(F.count_distinct("A")).first()[0] == 50_000
 
-    (tmp_path / "empty.zip").write_bytes(b"")
-    (tmp_path / "text.zip").write_bytes(b"x" * 500)
-    (tmp_path / "tiny.zip").write_bytes(b"x")
-    make_zip(tmp_path / "none.zip")
-    data = bytearray((tmp_path / "b.zip").read_bytes())
-    data[500] ^= 0xFF
-    (tmp_path / "bad.zip").write_bytes(bytes(data))
+    damage(tmp_path)
     verdicts = {
         r.path.split("/")[-1]: (r.members, r.verdict)
         for r in files.verify_archives(spark, str(tmp_path)).collect()
@@ -113,6 +108,67 @@ def test_archives(spark, tmp_path):
     }
 
 
+def damage(folder):
+    """Archives that cannot be read, in four ways, next to ``b.zip``."""
+    (folder / "empty.zip").write_bytes(b"")
+    (folder / "text.zip").write_bytes(b"x" * 500)
+    (folder / "tiny.zip").write_bytes(b"x")
+    make_zip(folder / "none.zip")
+    data = bytearray((folder / "b.zip").read_bytes())
+    data[500] ^= 0xFF
+    (folder / "bad.zip").write_bytes(bytes(data))
+
+
+def test_bad_archives_are_reported_not_skipped(spark, tmp_path):
+    make_zip(tmp_path / "b.zip", one_csv="A,B\n" + "".join(f"{i},w{i * 7919}\n" for i in range(5_000)))
+    make_zip(tmp_path / "c.zip", one_csv="A,C\n1,2\n")
+    damage(tmp_path)
+    wanted = {"bad.zip": "corrupt", "c.zip": "missing_columns", "empty.zip": "empty", "text.zip": "not_zip", "tiny.zip": "not_zip"}
+    with pytest.raises(files.UnusableFiles) as error:
+        delimited.scan_zipped_csv(spark, str(tmp_path), ["A", "B"])
+    assert {path.split("/")[-1]: verdict for path, verdict in error.value.files} == wanted
+    bad = delimited.bad_archives(spark, str(tmp_path), ["A", "B"]).collect()
+    assert {r.path.split("/")[-1]: r.problem for r in bad} == wanted
+    assert delimited.scan_zipped_csv(spark, str(tmp_path), ["A", "B"], skip_bad=True).count() == 5_000
+
+
+def test_archives_without_a_csv_member(spark, tmp_path):
+    make_zip(tmp_path / "a.zip", note_txt="hi")
+    with pytest.raises(FileNotFoundError):
+        delimited.scan_zipped_csv(spark, str(tmp_path), ["A"])
+    make_zip(tmp_path / "b.zip", one_csv="A\n")
+    assert delimited.scan_zipped_csv(spark, str(tmp_path), ["A"]).count() == 0
+
+
+def test_names_and_bytes_are_read_tolerantly(spark, tmp_path):
+    (tmp_path / "UPPER.CSV").write_bytes(b" A ,B\n1,\xff\n")
+    (tmp_path / "lower.csv").write_bytes(b"A,B\n2,x\n")
+    scan = delimited.scan_csv(spark, str(tmp_path), ["A", "B"])
+    assert rows_of(scan.select("A", "B")) == [("1", "\ufffd"), ("2", "x")]
+    verdicts = {r.path.split("/")[-1]: r.verdict for r in files.profile_files(spark, str(tmp_path), ["A", "B"], files.CSV_PATTERN).collect()}
+    assert verdicts == {"UPPER.CSV": "undecodable", "lower.csv": "ok"}
+    with zipfile.ZipFile(tmp_path / "Z.ZIP", "w") as archive:
+        archive.writestr("M.CSV", b"B, A\n\xfe,3\n")
+    assert rows_of(delimited.scan_zipped_csv(spark, str(tmp_path), ["A", "B"])) == [("3", "\ufffd")]
+
+
+def test_any_number_of_headers(spark, tmp_path):
+    for i in range(60):
+        (tmp_path / f"f {i}+.csv").write_text(",".join([*(f"x{k}" for k in range(i)), "A", f"y{i}"]) + "\n" + "," * i + f"{i},\n")
+    assert sorted(int(r.A) for r in delimited.scan_csv(spark, str(tmp_path), ["A"]).collect()) == list(range(60))
+
+
+def test_many_members_use_many_tasks(spark, tmp_path):
+    for i in range(30):
+        with zipfile.ZipFile(tmp_path / f"{i}.zip", "w") as archive:
+            for k in range(10):
+                archive.writestr(f"{k}.csv", f"A\n{i * 10 + k}\n")
+    assert files.list_files(spark, str(tmp_path), files.ZIP_PATTERN).rdd.getNumPartitions() > 8
+    rows = files.member_rows(files.listed_members(spark, str(tmp_path)), ["A"])
+    tasks = rows.select(F.spark_partition_id().alias("task"), "A").collect()
+    assert sorted(int(r.A) for r in tasks) == list(range(300)) and len({r.task for r in tasks}) > 8
+
+
 # ---- period tables ----------------------------------------------------------------------
 def monthly(spark, *rows):
     return spark.createDataFrame(rows, "v string, year int, month int")
@@ -153,6 +209,12 @@ def test_scan_period_prunes_and_fails_when_missing(spark, tmp_path):
 def test_zero_padded_months_are_found(spark, tmp_path):
     monthly(spark, ("a", 2026, 6)).drop("year", "month").write.parquet(f"{tmp_path}/year=2026/month=06")
     assert tables.scan_period(spark, str(tmp_path), 2026, 6).count() == 1
+    # Writing gives a month one folder, whatever it was called before.
+    tables.write_periods(monthly(spark, ("b", 2026, 6)), str(tmp_path))
+    assert rows_of(tables.scan_period(spark, str(tmp_path), 2026, 6).select("v")) == [("b",)]
+    monthly(spark, ("c", 2026, 6)).drop("year", "month").write.parquet(f"{tmp_path}/year=2026/month=06")
+    tables.replace_period(monthly(spark, ("d", 2026, 6)), str(tmp_path), 2026, 6)
+    assert rows_of(tables.scan_period(spark, str(tmp_path), 2026, 6).select("v")) == [("d",)]
 
 
 def test_load_gold(spark, tmp_path):
@@ -164,7 +226,7 @@ def test_load_gold(spark, tmp_path):
     plan = chosen._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: []" not in plan
     assert tables.load_gold(spark, str(tmp_path), "airlines", []).count() == 0
-    with pytest.raises(ValueError, match="Unknown Gold dataset: cities"):
+    with pytest.raises(ValueError, match="no KPI dataset is called 'cities'"):
         tables.load_gold(spark, str(tmp_path), "cities", [(2026, 5)])
 
 
@@ -192,7 +254,22 @@ def test_upsert(spark, tmp_path):
 
     tables.merge_snapshot(spark, path, dim((1, "a", "A"), (2, "b", "B")), ["airline_id"])
     merged = tables.merge_snapshot(spark, path, dim((2, "new", None), (3, "c", "C")), ["airline_id"])
-    assert {tuple(r) for r in merged.collect()} == {(1, "a", "A"), (2, "new", None), (3, "c", "C")}
+    expected = {(1, "a", "A"), (2, "new", None), (3, "c", "C")}
+    assert {tuple(r) for r in merged.collect()} == expected
+
+    def stored():
+        return {tuple(r) for r in tables.read_snapshot(spark, path).collect()}
+
+    with pytest.raises(ValueError, match="more than once"):
+        tables.merge_snapshot(spark, path, dim((5, "x", "X"), (5, "y", "Y")), ["airline_id"])
+    assert stored() == expected
+    # A version that was not completed does not count, and is written anew.
+    dim((9, "z", "Z")).write.parquet(f"{path}/version-000000000003")
+    (tmp_path / "dim" / "version-000000000003" / "_SUCCESS").unlink()
+    assert stored() == expected
+    tables.merge_snapshot(spark, path, dim((1, "again", "A")), ["airline_id"])
+    assert stored() == (expected - {(1, "a", "A")}) | {(1, "again", "A")}
+    assert tables.read_snapshot(spark, str(tmp_path / "none")) is None
 
 
 def test_surrogate_key(spark):
@@ -203,6 +280,36 @@ def test_surrogate_key(spark):
     assert tables.with_surrogate_key(df.where("false"), ["k"], "n").count() == 0
 
 
+def test_positions_do_not_depend_on_partitioning(spark):
+    data = [(i % 3, i % 5, i) for i in range(300)] + [(None, 1, 1000 + i) for i in range(50)]
+    for partitions in (1, 9):
+        df = spark.createDataFrame(data, "g int, v int, id int").repartition(partitions)
+        found = {(r.g, r.id): r.n for r in tables.with_positions(df, "g", [F.desc("v"), F.col("id")], "n").collect()}
+        for group in (0, 1, 2, None):
+            order = sorted((-v, i) for g, v, i in data if g == group)
+            assert [found[group, i] for _, i in order] == list(range(1, len(order) + 1))
+
+
+def test_period_keys_are_unique_without_a_shuffle(spark):
+    df = spark.createDataFrame([(2026, m, i) for m in (5, 6) for i in range(100)], "year int, month int, v int").repartition(7)
+    keyed = tables.with_period_key(df, "k")
+    assert keyed.select("k").distinct().count() == 200
+    ranges = keyed.groupBy("month").agg(F.min("k"), F.max("k")).orderBy("month").collect()
+    assert 0 < ranges[0][1] and ranges[0][2] < ranges[1][1]
+    assert keyed._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1  # the test's own
+
+
+def test_coordinates_of_loaded_kpis(spark, tmp_path):
+    dim = spark.createDataFrame([(1, 10.0, 20.0)], "airport_id int, latitude double, longitude double")
+    for dataset, ids in (("airports", {"airport_id": 1}), ("routes", {"origin_airport_id": 1, "dest_airport_id": 2})):
+        rows = monthly(spark, ("a", 2026, 5)).withColumns({c: F.lit(v) for c, v in ids.items()})
+        tables.write_periods(tables.evolve(rows, S.KPI_SCHEMAS[dataset]).drop("v"), f"{tmp_path}/{S.KPI_TABLES[dataset]}")
+    row = tables.load_gold(spark, str(tmp_path), "airports", [(2026, 5)], dim).first()
+    assert (row.latitude, row.longitude) == (10.0, 20.0)
+    row = tables.load_gold(spark, str(tmp_path), "routes", [(2026, 5)], dim).first()
+    assert (row.origin_latitude, row.dest_latitude) == (10.0, None)
+
+
 def test_jdbc_append_passes_its_settings():
     calls = {}
 
@@ -240,3 +347,12 @@ def test_scratch_paths_follow_the_session_setting(spark):
     base = spark.conf.get(storage.CHECKPOINT_SETTING)
     first, second = (storage.scratch_path(spark, "x") for _ in range(2))
     assert first != second and base in first
+
+
+def test_scratch_is_emptied_also_on_failure(spark):
+    with pytest.raises(RuntimeError):
+        with storage.Scratch(spark) as scratch:
+            held = scratch.staged(spark.range(3), "held")
+            assert held.count() == 3
+            raise RuntimeError
+    assert not storage.has_data(spark, held.inputFiles()[0].rsplit("/", 1)[0])
