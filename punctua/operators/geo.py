@@ -71,7 +71,7 @@ def line_width(df: DataFrame, column: str = "line_width") -> DataFrame:
 
 
 def route_options(routes: DataFrame, role: str) -> DataFrame:
-    """Distinct ends of routes in a role (``origin`` or ``dest``), one row per code, by city."""
+    """Distinct ends of routes in a role (``origin`` or ``dest``), one row per code, unsorted."""
     columns = [f"{role}_{c}" for c in ("airport_code", "airport_name", "city", "state_code")]
     known = routes.select(*columns).where(F.col(columns[0]).isNotNull()).distinct()
-    return dedup(known, [columns[0]]).orderBy(columns[2], columns[0])
+    return dedup(known, [columns[0]])

@@ -32,7 +32,10 @@ def route_ends(df: DataFrame, ends: list[dict[str, str]]) -> DataFrame:
 
 
 def build_dim_airport(flights: DataFrame, airport_ids: DataFrame, coordinates: DataFrame) -> DataFrame:
-    """Airports seen as origin or destination, with names and coordinates where known."""
+    """Airports seen as origin or destination, with names and coordinates where known.
+
+    ``airport_ids`` and ``coordinates`` are cleaned rows, which hold each id once.
+    """
     ends = route_ends(flights, [
         {"airport_id": f"{end}AirportID", "airport_code": end,
          "city_label": f"{end}CityName", "state": f"{end}StateName"}
@@ -46,20 +49,15 @@ def build_dim_airport(flights: DataFrame, airport_ids: DataFrame, coordinates: D
         ),
         ["airport_id"],
     )
-    names = dedup(
-        airport_ids.select(
-            F.col("AirportID").cast("int").alias("airport_id"),
-            cells.airport_name(F.col("AirportName")).alias("airport_name"),
-        ),
-        ["airport_id"],
+    # The cleaned inputs hold each id once.
+    names = airport_ids.select(
+        F.col("AirportID").cast("int").alias("airport_id"),
+        cells.airport_name(F.col("AirportName")).alias("airport_name"),
     )
-    places = dedup(
-        coordinates.select(
-            F.col("AirportID").cast("int").alias("airport_id"),
-            F.col("Latitude").cast("double").alias("latitude"),
-            F.col("Longitude").cast("double").alias("longitude"),
-        ),
-        ["airport_id"],
+    places = coordinates.select(
+        F.col("AirportID").cast("int").alias("airport_id"),
+        F.col("Latitude").cast("double").alias("latitude"),
+        F.col("Longitude").cast("double").alias("longitude"),
     )
     return (
         base.join(names, "airport_id", "left").join(places, "airport_id", "left")

@@ -40,7 +40,3 @@ def kpi_trend(
         series.withColumn("period", period_date())
         .unpivot(["period", entity, "is_total", "flights"], metrics, "metric", "value")
     )
-
-
-def trend_order(trend: DataFrame, entity: str) -> DataFrame:
-    return trend.orderBy("period", entity, "metric")

@@ -9,37 +9,35 @@ from pyspark.sql import functions as F
 
 from punctua import schemas as S
 from punctua.operators import quality
-from punctua.operators.kpi import FLIGHT_GRAIN, flight_stats, kpi_tables_from_stats
+from punctua.operators.kpi import (
+    FLIGHT_GRAIN, ROUTE_GRAIN, flight_stats, kpi_tables_from_stats, roll_up,
+)
 from punctua.operators.star import build_dim_airline, build_dim_airport, build_fact
 from punctua.plans.jobs import together
 from punctua.plans.silver import FLIGHTS
 from punctua.session import tune
-from punctua.sources.storage import read_if_present, staged
+from punctua.sources.storage import Scratch
 from punctua.sources.tables import (
-    ensure_table, evolve, merge_snapshot, replace_period, scan_period, with_surrogate_key,
+    ensure_table, evolve, merge_snapshot, read_snapshot, replace_period, scan_period, with_period_key,
     write_periods,
 )
 
 FACT, DIM_AIRLINE, DIM_AIRPORT = "star/fact_flight", "star/dim_airline", "star/dim_airport"
 GOLD = "gold"
+CHECKS, PRESENCE = "quality/checks", "quality/presence"
 
 
 def _with_period(fact: DataFrame) -> DataFrame:
     return fact.withColumns({"year": F.year("flight_date"), "month": F.month("flight_date")})
 
 
-def _next_flight_id(spark: SparkSession, root: str) -> int:
-    """One more than the highest key in the fact: replaced months get new keys."""
-    fact = read_if_present(spark, f"{root}/{FACT}")
-    highest = fact.agg(F.max("flight_id")).first()[0] if fact is not None else None
-    return (highest or 0) + 1
-
-
 def ensure_tables(spark: SparkSession, root: str) -> None:
     """Create the star and KPI tables that do not exist yet, empty."""
+    for path, schema, key in [(DIM_AIRLINE, S.DIM_AIRLINE, "airline_id"), (DIM_AIRPORT, S.DIM_AIRPORT, "airport_id")]:
+        if read_snapshot(spark, f"{root}/{path}") is None:
+            merge_snapshot(spark, f"{root}/{path}", spark.createDataFrame([], schema), [key])
     for path, schema in {
-        FACT: S.FACT_FLIGHT, DIM_AIRLINE: S.DIM_AIRLINE, DIM_AIRPORT: S.DIM_AIRPORT,
-        **{f"{GOLD}/{table}": S.KPI_SCHEMAS[d] for d, table in S.KPI_TABLES.items()},
+        FACT: S.FACT_FLIGHT, **{f"{GOLD}/{table}": S.KPI_SCHEMAS[d] for d, table in S.KPI_TABLES.items()},
     }.items():
         ensure_table(spark, f"{root}/{path}", schema)
 
@@ -52,10 +50,7 @@ def load_star_from(
     spark = flights.sparkSession
 
     def write_fact() -> None:
-        rows = _with_period(build_fact(flights))
-        fact = with_surrogate_key(
-            rows, [F.col(c) for c in S.FACT_BUSINESS_KEY], "flight_id", _next_flight_id(spark, root)
-        )
+        fact = with_period_key(_with_period(build_fact(flights)), "flight_id")
         if period is None:
             write_periods(fact, f"{root}/{FACT}")
         else:
@@ -86,7 +81,15 @@ def load_star(spark: SparkSession, root: str, year: int, month: int) -> None:
 
 
 def star_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return tuple(spark.read.parquet(f"{root}/{t}") for t in (FACT, DIM_AIRLINE, DIM_AIRPORT))
+    return (spark.read.parquet(f"{root}/{FACT}"), read_snapshot(spark, f"{root}/{DIM_AIRLINE}"),
+            read_snapshot(spark, f"{root}/{DIM_AIRPORT}"))
+
+
+def _replace(df: DataFrame, target: str, period: tuple[int, int] | None) -> None:
+    if period is None:
+        write_periods(df, target)
+    else:
+        replace_period(df, target, *period)
 
 
 def build_gold(
@@ -95,21 +98,17 @@ def build_gold(
 ) -> None:
     """Replace one month, or every month of ``fact``, in the four KPI tables.
 
-    The fact is scanned once: its statistics at flight-number grain are written to the scratch
-    folder, and the four tables are roll-ups of those.
+    The fact is scanned once: its statistics at flight-number grain and their roll-up to routes are
+    written to the scratch folder, which the four tables read and which is then emptied.
     """
-    stats = staged(flight_stats(fact, FLIGHT_GRAIN), "stats")
-
-    def write(dataset: str, table: DataFrame) -> None:
-        target = f"{root}/{S.KPI_TABLES[dataset]}"
-        shaped = evolve(table, S.KPI_SCHEMAS[dataset])
-        if period is None:
-            write_periods(shaped, target)
-        else:
-            replace_period(shaped, target, *period)
-
-    tables = kpi_tables_from_stats(stats, dim_airline, dim_airport)
-    together(stats.sparkSession, *[partial(write, *item) for item in tables.items()])
+    with Scratch(fact.sparkSession) as scratch:
+        stats = scratch.staged(flight_stats(fact, FLIGHT_GRAIN), "stats")
+        routes = scratch.staged(roll_up(stats, ROUTE_GRAIN), "routes")
+        tables = kpi_tables_from_stats(stats, dim_airline, dim_airport, routes)
+        together(fact.sparkSession, *[
+            partial(_replace, evolve(table, S.KPI_SCHEMAS[dataset]), f"{root}/{S.KPI_TABLES[dataset]}", period)
+            for dataset, table in tables.items()
+        ])
 
 
 def gold_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -119,16 +118,33 @@ def gold_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     }
 
 
+def check_months(spark: SparkSession, root: str, period: tuple[int, int] | None = None) -> DataFrame:
+    """Check one month, or all, and store the findings; then the gate. Returns the stored checks.
+
+    The findings are written before the gate looks at them, so a month that fails can be examined.
+    """
+    fact, dim_airline, dim_airport = star_tables(spark, root)
+    kpis = gold_tables(spark, f"{root}/{GOLD}")
+    _replace(quality.dq_suite(fact, dim_airline, dim_airport, kpis, period), f"{root}/{CHECKS}", period)
+    _replace(quality.presence_check(fact, kpis, period), f"{root}/{PRESENCE}", period)
+
+    def stored(table: str) -> DataFrame:
+        if period is None:
+            return spark.read.parquet(f"{root}/{table}")
+        return scan_period(spark, f"{root}/{table}", *period, table)
+
+    quality.quality_gate(stored(CHECKS))
+    quality.require_presence(stored(PRESENCE))
+    return stored(CHECKS)
+
+
 def run_month(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:
-    """Star, KPI tables, quality gate and presence check of one month; returns the check rows."""
+    """Star, KPI tables, quality gate and presence check of one month; returns the stored checks."""
     period = (year, month)
     tune(spark)
+    ensure_tables(spark, root)
     load_star(spark, root, year, month)
-    fact, dim_airline, dim_airport = star_tables(spark, root)
+    _, dim_airline, dim_airport = star_tables(spark, root)
     month_fact = scan_period(spark, f"{root}/{FACT}", year, month, "fact")
     build_gold(month_fact, dim_airline, dim_airport, f"{root}/{GOLD}", period)
-    kpis = gold_tables(spark, f"{root}/{GOLD}")
-    checks = quality.dq_suite(month_fact, dim_airline, dim_airport, kpis, period)
-    quality.quality_gate(checks)
-    quality.require_presence(quality.presence_check(month_fact, kpis, period))
-    return checks
+    return check_months(spark, root, period)

@@ -17,7 +17,7 @@ from punctua.operators.rules import (
 from punctua.plans.jobs import together
 from punctua.session import tune
 from punctua.sources.delimited import scan_csv, scan_flight_csv
-from punctua.sources.storage import staged
+from punctua.sources.storage import Scratch
 from punctua.sources.tables import replace_period, write_periods
 
 FLIGHTS, FLIGHT_REPORT = "silver/flights", "silver/flight_report"
@@ -39,10 +39,6 @@ def silver_rows(flagged: DataFrame) -> DataFrame:
 def build_silver(raw: DataFrame, root: str, period: tuple[int, int] | None = None) -> None:
     """Write the cleaned flights and the validation report of one period, or of all in ``raw``."""
     tune(raw.sparkSession)
-    flagged = staged(flag_flights(raw), "flagged")
-    report = validation_report(flagged, period_rules()).withColumnsRenamed(
-        dict(zip(PERIOD, ("year", "month")))
-    ).withColumn("dataset", F.lit("flights"))
 
     def write(df: DataFrame, target: str) -> None:
         if period is None:
@@ -50,11 +46,16 @@ def build_silver(raw: DataFrame, root: str, period: tuple[int, int] | None = Non
         else:
             replace_period(df, f"{root}/{target}", *period)
 
-    together(
-        raw.sparkSession,
-        lambda: write(silver_rows(flagged), FLIGHTS),
-        lambda: write(report, FLIGHT_REPORT),
-    )
+    with Scratch(raw.sparkSession) as scratch:
+        flagged = scratch.staged(flag_flights(raw), "flagged")
+        report = validation_report(flagged, period_rules()).withColumnsRenamed(
+            dict(zip(PERIOD, ("year", "month")))
+        ).withColumn("dataset", F.lit("flights"))
+        together(
+            raw.sparkSession,
+            lambda: write(silver_rows(flagged), FLIGHTS),
+            lambda: write(report, FLIGHT_REPORT),
+        )
 
 
 def build_silver_month(spark: SparkSession, bronze: str, root: str, year: int, month: int) -> None:
@@ -69,7 +70,7 @@ def build_silver_lookups(spark: SparkSession, sources: dict[str, str], root: str
     ``sources`` maps ``airlines``, ``airports``, ``airport_ids`` and ``airport_coordinates`` to
     their raw folders.
     """
-    leaf = f"year={year}/month={month:02d}"
+    leaf = f"year={year}/month={month}"
     for name, config in S.LOOKUPS.items():
         raw = scan_csv(spark, sources[name], S.LOOKUP_COLUMNS, name)
         clean_lookup(raw, **config).write.mode("overwrite").parquet(f"{root}/silver/{name}/{leaf}")

@@ -44,6 +44,10 @@ def dims(spark):
     return airlines, airports
 
 
+def kpi_tables(fact, airlines, airports):
+    return kpi.kpi_tables_from_stats(kpi.flight_stats(fact, kpi.FLIGHT_GRAIN), airlines, airports)
+
+
 def half_up(numerator, denominator, factor=1):
     if not denominator or numerator is None:
         return None
@@ -75,9 +79,10 @@ def test_airline_kpi_against_brute_force(spark):
         if row["airline_id"] <= 4:
             groups[row["flight_date"].month, row["airline_id"]].append(row)
     stats = kpi.flight_stats(df, kpi.FLIGHT_GRAIN)
-    for tables in (
-        kpi.kpi_tables(df, airlines, airports), kpi.kpi_tables_from_stats(stats, airlines, airports)
-    ):
+    alone = kpi.airline_kpi(kpi.flight_stats(df, kpi.AIRLINE_GRAIN), airlines)
+    for tables in (kpi_tables(df, airlines, airports), {
+        **kpi.kpi_tables_from_stats(stats, airlines, airports, kpi.roll_up(stats, kpi.ROUTE_GRAIN)), "airlines": alone,
+    }):
         assert {d: t.columns for d, t in tables.items()} == {d: s.names for d, s in S.KPI_SCHEMAS.items()}
         got = {(r.month, r.airline_id): r.asDict() for r in tables["airlines"].collect()}
         assert set(got) == set(groups)
@@ -102,7 +107,7 @@ def test_airport_kpi_against_brute_force(spark):
     df = spark.createDataFrame([tuple(f.values()) for f in facts], FACT_DDL)
     got = {
         (r.operation, r.month, r.airport_id): r
-        for r in kpi.kpi_tables(df, airlines, airports)["airports"].collect()
+        for r in kpi_tables(df, airlines, airports)["airports"].collect()
     }
     departures, arrivals = defaultdict(list), defaultdict(list)
     for f in facts:
@@ -125,7 +130,7 @@ def test_airport_kpi_against_brute_force(spark):
 def test_arrivals_without_a_completed_flight(spark):
     airlines, airports = dims(spark)
     fact = (dt.date(2026, 6, 1), 1, 1, 10, 11, 1, "b", None, None, 1, 0) + (None,) * 5
-    tables = kpi.kpi_tables(spark.createDataFrame([fact], FACT_DDL), airlines, airports)
+    tables = kpi_tables(spark.createDataFrame([fact], FACT_DDL), airlines, airports)
     row = tables["airports"].where("operation = 'ARR'").first()
     assert (row.flights, row.on_time_rate_pct, row.avg_delay_minutes, row.delay_sum_minutes) == (0, None, None, None)
     row = tables["airlines"].first()
@@ -134,7 +139,7 @@ def test_arrivals_without_a_completed_flight(spark):
 
 def test_totals_agree_between_tables(spark):
     airlines, airports = dims(spark)
-    tables = kpi.kpi_tables(spark.createDataFrame(random_facts(), FACT_DDL), airlines, airports)
+    tables = kpi_tables(spark.createDataFrame(random_facts(), FACT_DDL), airlines, airports)
     flights = {d: t.agg(F.sum("flights")).first()[0] for d, t in tables.items()}
     known_airlines = spark.createDataFrame(random_facts(), FACT_DDL).where("airline_id <= 4").count()
     assert flights["airlines"] == flights["flights"] == known_airlines
@@ -146,7 +151,8 @@ def test_totals_agree_between_tables(spark):
 
 
 def test_fact_is_aggregated_before_the_joins(spark):
-    airlines, airports = dims(spark)
+    _, airports = dims(spark)
     df = spark.createDataFrame(random_facts(), FACT_DDL)
-    plan = kpi.kpi_tables(df, airlines, airports)["routes"]._jdf.queryExecution().optimizedPlan().toString()
+    routes = kpi.route_kpi(kpi.flight_stats(df, kpi.ROUTE_GRAIN), airports)
+    plan = routes._jdf.queryExecution().optimizedPlan().toString()
     assert plan.rindex("Join") < plan.index("Aggregate")

@@ -175,3 +175,29 @@ def test_route_end_points_keep_the_last_appearance(spark):
         "dest_latitude double, dest_longitude double")
     points = {r.code: (r.name, r.lat) for r in geo.route_end_points(df, ["flights"]).collect()}
     assert points == {"A": ("last", 7.0), "B": ("b2", 5.0)}
+
+
+def test_listings_with_repeated_names_are_the_same_for_any_partitioning(spark):
+    data = [(i, f"c{i % 4}", f"City {i % 3}", "S", i % 5) for i in range(60)]
+    found = []
+    for partitions in (1, 8):
+        df = spark.createDataFrame(data, "airport_id int, airport_code string, city string, state string, flights long")
+        rows = {m: ranking.entity_sort(df.repartition(partitions), m).orderBy("position").collect() for m in ranking.SORT_MODES
+                if m.startswith("airport")}
+        found.append({m: [r.airport_id for r in listed] for m, listed in rows.items()})
+        total = spark.createDataFrame([("All", 2)], "city string, flights long")
+        ranked = ranking.rank_with_total(df.repartition(partitions), total, "flights", "city", "ranked", ids=["airport_id"])
+        found[-1]["ranked"] = [r.airport_id for r in ranked.orderBy("position").collect()]
+    assert found[0] == found[1]
+    assert found[0]["airport_flights"] == [r[0] for r in sorted(data, key=lambda r: (-r[4], r[2], r[1], r[0]))]
+
+
+def test_flight_number_view_of_one_airline(spark):
+    columns = {c: "x" for c in reaggregate.FLIGHT_GROUP}
+    rows = [{**columns, "year": 2026, "month": m, "airline_name": a, "flight_number": n, "flights": 10, "on_time_rate_pct": 50.0 * n,
+             **{c: 1.0 for c in reaggregate.ROUTE_MEASURES if c != "on_time_rate_pct"}}
+            for m in (5, 6) for a, n in (("A", 1), ("A", 2), ("B", 1))]
+    monthly = spark.createDataFrame(rows).withColumns({
+        c: F.lit(10).cast("long") for c in ("dep_delay_flights", "dep_delay_sum_minutes", "arr_delay_flights", "arr_delay_sum_minutes")})
+    view = reaggregate.flight_number_view(monthly, "A").collect()
+    assert [(r.airline_name, r.flight_numbers, r.flights, r.overall_on_time_rate) for r in view] == [("A", 2, 40, 75.0)]
