@@ -202,7 +202,31 @@ SELECT row_number() OVER (ORDER BY {_FACT_KEY}) AS flight_id, {_FACT_KEY}
 FROM (SELECT DISTINCT {_FACT_KEY} FROM fact)
 """
 _IN_PERIODS = " OR ".join(f"(year = {y} AND month = {m})" for y, m in Q.PERIODS)
-ORACLES["load_gold"] = f"{ctes(**WITH_AIRLINES)} SELECT {_AIRLINE_COLUMNS} FROM kc WHERE {_IN_PERIODS}"
+_KPI_SOURCES = {"airlines": "kc", "airports": "kl", "routes": "kr", "flights": "ks"}
+WITH_KPIS = {**FULL, "kc": AIRLINE_KPI, "kl": AIRPORT_KPI, "kr": ROUTE_KPI, "ks": FLIGHT_KPI}
+
+
+def _entity(dataset: str, table: str = "k") -> str:
+    return " || '/' || ".join(f"CAST({table}.{c} AS VARCHAR)" for c in Q.ENTITY_IDS[dataset])
+
+
+def _loaded(dataset: str) -> str:
+    places = {"airports": ["a.latitude", "a.longitude"],
+              "routes": ["o.latitude", "o.longitude", "d.latitude", "d.longitude"]}.get(dataset, [])
+    joins = {
+        "airports": "LEFT JOIN dim_airport a ON k.airport_id = a.airport_id",
+        "routes": "LEFT JOIN dim_airport o ON k.origin_airport_id = o.airport_id "
+                  "LEFT JOIN dim_airport d ON k.dest_airport_id = d.airport_id",
+    }.get(dataset, "")
+    columns = ", ".join(
+        f"CAST({places[i] if i < len(places) else 'NULL'} AS DOUBLE) AS place_{i}" for i in range(4))
+    return (
+        f"SELECT '{dataset}' AS dataset, k.year, k.month, {_entity(dataset)} AS entity, {big('k.flights')} AS flights, "
+        f"k.on_time_rate_pct, {columns} FROM {_KPI_SOURCES[dataset]} k {joins} WHERE {_IN_PERIODS}"
+    )
+
+
+ORACLES["load_gold"] = f"{ctes(**WITH_KPIS)} " + " UNION ALL ".join(map(_loaded, _KPI_SOURCES))
 
 # ---- cleaning ---------------------------------------------------------------------------
 _PRESENT = ["l_orderkey", "l_shipdate", "l_returnflag"]
@@ -641,12 +665,15 @@ ORACLES["entity_counts"] = f"{ctes(**WITH_FLIGHTS)} SELECT count(*) AS row_count
 _FLIGHT_GROUP = [
     "airline_id", "airline_name", "airline_code", "flight_number", "origin_airport_id", "dest_airport_id",
 ]
-ORACLES["shipment_view"] = f"""
-{ctes(**WITH_FLIGHTS, e=combine("ks", _FLIGHT_GROUP, ["on_time_rate_pct"]))}
+_VIEW = f"""
 SELECT airline_name, count(DISTINCT flight_number) AS flight_numbers, {big("sum(flights)")} AS flights,
     {exact(millionths("on_time_rate_pct * flights"), "sum(flights)")} AS overall_on_time_rate
 FROM e GROUP BY airline_name
 """
+ORACLES["shipment_view"] = f"""
+{ctes(**WITH_FLIGHTS, e=combine("ks", _FLIGHT_GROUP, ["on_time_rate_pct"]), v=_VIEW)}
+SELECT *, false AS picked FROM v UNION ALL SELECT *, true FROM v WHERE airline_name = '{Q.AIRLINE_PICK}'
+"""
 
 
 # ---- ranking ----------------------------------------------------------------------------
@@ -665,14 +692,18 @@ ORACLES["top_airports"] = ctes(**WITH_AIRPORTS, e=airports("DEP")) + _top(
 )
 _ROUTE_NAME = "origin_airport_code || ' → ' || dest_airport_code"
 _SORTS = {
-    "airport_city": ("dep", "airport_code", "city NULLS LAST, airport_code"),
-    "airport_flights": ("dep", "airport_code", "flights DESC, city NULLS LAST, airport_code"),
-    "airport_code": ("dep", "airport_code", "airport_code"),
-    "airport_state": ("dep", "airport_code", "state, city NULLS LAST, airport_code"),
-    "route_flights": ("e", _ROUTE_NAME, "flights DESC, origin_airport_code, dest_airport_code"),
+    "airport_city": ("dep", "airport_code", "city NULLS LAST, airport_code, airport_id"),
+    "airport_flights": ("dep", "airport_code", "flights DESC, city NULLS LAST, airport_code, airport_id"),
+    "airport_code": ("dep", "airport_code", "airport_code, airport_id"),
+    "airport_state": ("dep", "airport_code", "state, city NULLS LAST, airport_code, airport_id"),
+    "route_flights": (
+        "e", _ROUTE_NAME,
+        "flights DESC, origin_airport_code, dest_airport_code, origin_airport_id, dest_airport_id",
+    ),
     "route_alphabetical": (
         "e", _ROUTE_NAME,
-        "origin_city NULLS LAST, origin_airport_code, dest_city NULLS LAST, dest_airport_code",
+        "origin_city NULLS LAST, origin_airport_code, dest_city NULLS LAST, dest_airport_code, "
+        "origin_airport_id, dest_airport_id",
     ),
 }
 ORACLES["entity_sort"] = ctes(
@@ -681,40 +712,54 @@ ORACLES["entity_sort"] = ctes(
     f" SELECT '{mode}' AS mode, row_number() OVER (ORDER BY {order}) AS position, {entity} AS entity FROM {source}"
     for mode, (source, entity, order) in _SORTS.items()
 )
-_NAMED = "SELECT airline_name, flights, on_time_rate_pct, avg_dep_delay_minutes"
+_NAMED = "SELECT airline_id, airline_name, flights, on_time_rate_pct, avg_dep_delay_minutes"
 _ALL_AIRLINES = """
-SELECT 'All Airlines' AS airline_name, sum(flights) AS flights,
+SELECT NULL AS airline_id, 'All Airlines' AS airline_name, sum(flights) AS flights,
     sum(on_time_rate_pct * flights) / sum(flights) AS on_time_rate_pct,
     sum(dep_delay_sum_minutes) / sum(dep_delay_flights) AS avg_dep_delay_minutes FROM e
 """
 ORACLES["rank_with_total"] = f"""
 {ctes(**WITH_AIRLINES, e=AIRLINES, t=_ALL_AIRLINES)}
-SELECT 'ranked' AS placement, row_number() OVER (ORDER BY on_time_rate_pct DESC NULLS LAST, airline_name) AS position,
+SELECT 'ranked' AS placement, row_number() OVER (ORDER BY on_time_rate_pct DESC NULLS LAST, airline_name, airline_id) AS position,
     airline_name, {big("flights")} AS flights FROM ({_NAMED} FROM e UNION ALL SELECT * FROM t)
 UNION ALL
-SELECT 'first', 1 + row_number() OVER (ORDER BY avg_dep_delay_minutes DESC NULLS LAST, airline_name),
+SELECT 'first', 1 + row_number() OVER (ORDER BY avg_dep_delay_minutes DESC NULLS LAST, airline_name, airline_id),
     airline_name, {big("flights")} FROM e
 UNION ALL SELECT 'first', 1, airline_name, {big("flights")} FROM t
 UNION ALL
-SELECT 'both_ends', 1 + row_number() OVER (ORDER BY airline_name), airline_name, {big("flights")} FROM e
+SELECT 'both_ends', 1 + row_number() OVER (ORDER BY airline_name, airline_id), airline_name, {big("flights")} FROM e
 UNION ALL SELECT 'both_ends', 1, airline_name, {big("flights")} FROM t
 UNION ALL SELECT 'both_ends', (SELECT count(*) + 2 FROM e), airline_name, {big("flights")} FROM t
 UNION ALL
-SELECT 'omitted', row_number() OVER (ORDER BY flights DESC, airline_name), airline_name, {big("flights")} FROM e
+SELECT 'omitted', row_number() OVER (ORDER BY flights DESC, airline_name, airline_id), airline_name, {big("flights")} FROM e
 """
 
 # ---- series and maps --------------------------------------------------------------------
-_TREND = [*Q.AIRLINE_MEASURES, "cancel_diversion_rate_pct"]
-ORACLES["kpi_trend"] = f"""
-{ctes(**WITH_AIRLINES, s=combine("kc", ["year", "month"], Q.AIRLINE_MEASURES), u=f'''
-SELECT year, month, 'All Airlines' AS airline_name, true AS is_total, flights, {", ".join(Q.AIRLINE_MEASURES)},
-    cancellation_rate_pct + diversion_rate_pct AS cancel_diversion_rate_pct FROM s
-UNION ALL
-SELECT year, month, airline_name, false, flights, {", ".join(Q.AIRLINE_MEASURES)},
-    cancellation_rate_pct + diversion_rate_pct FROM kc''')}
-""" + " UNION ALL ".join(
-    f"SELECT make_date(year, month, 1) AS period, airline_name, is_total, flights, '{m}' AS metric, {m} AS value FROM u"
-    for m in _TREND
+
+
+def _trend(source: str, entity: str, measures: list[str], label: str, where: str = "true", also: str = "") -> str:
+    """Series of all entities and of each, one row per metric; ``source`` is a table of the WITH part."""
+    both = f"cancellation_rate_pct + diversion_rate_pct AS cancel_diversion_rate_pct"
+    columns = ", ".join(measures)
+    rows = (
+        f"SELECT year, month, '{label}' AS {entity}, true AS is_total, flights, {columns}, {both} "
+        f"FROM ({combine(source, ['year', 'month'], measures, where)}) "
+        f"UNION ALL SELECT year, month, {entity}, false, {big('flights')}, {columns}, {both} FROM {source} WHERE {where}"
+    )
+    return " UNION ALL ".join(
+        f"SELECT make_date(year, month, 1) AS period, {entity}, is_total, flights, '{m}' AS metric, {m} AS value{also} FROM ({rows})"
+        for m in [*measures, "cancel_diversion_rate_pct"]
+    )
+
+
+ORACLES["kpi_trend"] = f"{ctes(**WITH_AIRLINES)} {_trend('kc', 'airline_name', Q.AIRLINE_MEASURES, 'All Airlines')}"
+ORACLES["airport_trend"] = f"{ctes(**WITH_AIRPORTS)} " + " UNION ALL ".join(
+    _trend("kl", "airport_code", Q.AIRPORT_MEASURES, "All Airports", f"operation = '{op}'", f", '{op}' AS operation")
+    for op in ("DEP", "ARR")
+)
+ORACLES["route_trend"] = (
+    f"{ctes(**WITH_ROUTES, named=f'SELECT *, {_ROUTE_NAME} AS route FROM kr')} "
+    f"{_trend('named', 'route', Q.ROUTE_MEASURES, 'All Routes')}"
 )
 _DEST = "CASE WHEN dest_airport_id <> 7 THEN dest_airport_code END"
 ORACLES["route_labels"] = f"""
@@ -846,7 +891,20 @@ ORACLES["silver_build"] = f"""
 {ctes(**RAW)}
 SELECT {_SILVER_COLUMNS}, period_year AS year, period_month AS month FROM ({_SILVER_SOURCE})
 """
-ORACLES["month_build"] = f"""
-{ctes(**RAW, silver=_SILVER_SOURCE, fact=f"{FACT_FROM_FLIGHTS} FROM silver", dim_airline=_dim_airline())}
-{AIRLINE_KPI}
-"""
+ORACLES["lookup_build"] = ORACLES["clean_lookup"] + (
+    " UNION ALL SELECT 'airport_coordinates', CAST(AirportID AS VARCHAR), AirportName "
+    f"FROM ({CLEAN_COORDINATES})"
+)
+_MONTHS_BUILT = {
+    **RAW, "silver": _SILVER_SOURCE, "fact": f"{FACT_FROM_FLIGHTS} FROM silver", "dim_airline": _dim_airline(),
+    "dim_airport": _dim_airport("silver"),
+    "kc": AIRLINE_KPI, "kl": AIRPORT_KPI, "kr": ROUTE_KPI, "ks": FLIGHT_KPI,
+}
+ORACLES["month_build"] = f"{ctes(**_MONTHS_BUILT)} " + " UNION ALL ".join(
+    f"SELECT '{d}' AS dataset, k.year, k.month, {_entity(d)} AS entity, {big('k.flights')} AS flights, k.on_time_rate_pct "
+    f"FROM {t} k" for d, t in _KPI_SOURCES.items()
+)
+ORACLES["month_checks"] = (
+    f"{ctes(**_MONTHS_BUILT, f=QUALITY['f'], p=QUALITY['p'])} "
+    f"SELECT year, month, check_name, error_count FROM ({_SUITE})"
+)
