@@ -41,14 +41,14 @@ def join_on(left: DataFrame, right: DataFrame, names: list[str], how: str = "inn
     return left.join(renamed, condition, how).drop(*(f"_right_{name}" for name in names))
 
 
-def attach(rows: DataFrame, facts: DataFrame, key: str, how: str = "left") -> DataFrame:
+def attach(rows: DataFrame, facts: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join ``facts`` (one row per key) onto ``rows``, of which one key may hold a third.
 
-    The facts first meet one row per key and part; the rows then join on key *and* part, so that
-    a hot key is spread over as many partitions as it has parts. ``rows`` must be staged rows.
+    The facts first meet one row per key and part; the rows then join on keys *and* part, so that
+    a hot key is spread over as many partitions as it has parts. ``rows`` has a stored ``part``.
     """
-    places = rows.select(key, "part").distinct()
-    return join_on(rows, join_on(places, facts, [key]), [key, "part"], how)
+    places = rows.select(*keys, "part").distinct()
+    return join_on(rows, join_on(places, facts, keys), [*keys, "part"], how)
 
 
 def running_sum(df: DataFrame, group: str, order: list[str], value: str, name: str) -> DataFrame:

@@ -307,6 +307,6 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, window: int = WINDO
         "digest", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
         F.coalesce("first", "least").alias("component_id"))
     alone = F.col("digest").isNull()
-    return attach(rows.drop("vector"), by_digest, "digest").select(
+    return attach(rows.drop("vector"), by_digest, ["digest"]).select(
         "vec_id", F.when(alone, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"),
         F.when(alone, F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"))

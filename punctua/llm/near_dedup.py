@@ -286,7 +286,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, miss: float = MISS) ->
     by_digest = join_on(named.select("digest", "component"), kept, ["component"]).select(
         "digest", F.col("best.doc_id").alias("component_id"), F.col("best.uid").alias("keep_uid"))
     alone = F.col("digest").isNull()
-    return attach(rows.drop("heads", "mark"), by_digest, "digest").select(
+    return attach(rows.drop("heads", "mark"), by_digest, ["digest"]).select(
         "doc_id", "uid", "raw", "n_shingles",
         F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(alone, F.col("uid")).otherwise(F.col("keep_uid")).alias("keep_uid"),

@@ -14,7 +14,7 @@ fourteen remains. An edge's context is the text up to the edges before and after
 
 Texts with the same words are one text with a multiplicity, so a large group of copies is reduced
 before anything else. Hot passages are k-mers and windows with many occurrences: they are counted with
-partial aggregation and joined by plain equi-joins, which adaptive execution splits.
+partial aggregation, and what is known about them comes back to their occurrences part by part.
 
 Defined results: null, empty and blank texts have no words; a text with fewer words than a window
 keeps all; repeated rows are copies like any other; ``kept_sha256`` of no words is that of the empty
@@ -196,23 +196,24 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, edge: int = EDGE) -
     weight = F.least(F.col("copies"), F.lit(2)).cast("int").alias("weight")
     sources = join_on(rows, groups.select("uid", weight), ["uid"])
 
-    occurrences = sources.select("uid", "weight", F.explode(F.arrays_zip("place", "mark", "side")).alias("e")).select(
-        "uid", "weight", "e.*")
+    occurrences = sources.select("uid", "weight", "part", F.explode(F.arrays_zip("place", "mark", "side")).alias("e")).select(
+        "uid", "weight", "part", "e.*")
     nodes = occurrences.groupBy("mark").agg(
         F.sum("weight").alias("n"), F.min("side").alias("least"), F.max("side").alias("most")
     ).where("n > 1").select("mark", (F.col("least") != F.col("most")).alias("branches"))
-    hits = occurrences.select("uid", "weight", "place", "mark").join(nodes, "mark").groupBy("uid").agg(
+    hits = attach(occurrences.drop("side"), nodes, ["mark"], "inner").groupBy("uid").agg(
         F.max("weight").alias("weight"), F.collect_list(F.struct("place", "branches")).alias("hits"))
     hits = join_on(staged(hits, "hits"), rows.select("uid", "doc_id", "raw"), ["uid"])
     checked = staged(
         join_on(texts, hits, ["doc_id", "raw"]).select("uid", "weight", "hits", "text").mapInArrow(
             _second_pass(window, edge),
-            "uid long, weight int, spans array<int>, start array<int>, mark array<long>, check array<long>"), "paths")
+            "uid long, weight int, spans array<int>, start array<int>, mark array<long>, check array<long>")
+        .withColumn("part", F.spark_partition_id()), "paths")
 
-    open_ = checked.select("uid", "weight", F.explode(F.arrays_zip("start", "mark", "check")).alias("w")).select(
-        "uid", "weight", "w.*")
+    open_ = checked.select("uid", "weight", "part", F.explode(F.arrays_zip("start", "mark", "check")).alias("w")).select(
+        "uid", "weight", "part", "w.*")
     again = open_.groupBy("mark", "check").agg(F.sum("weight").alias("n")).where("n > 1").select("mark", "check")
-    starts = open_.join(again, ["mark", "check"]).groupBy("uid").agg(F.collect_set("start").alias("starts"))
+    starts = attach(open_, again, ["mark", "check"], "inner").groupBy("uid").agg(F.collect_set("start").alias("starts"))
     single = groups.where("copies = 1").select("uid")
     # A text without copies is one row here, as equal rows are copies.
     verdict = join_on(
@@ -223,7 +224,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, edge: int = EDGE) -
         _third_pass(window), "uid long, n_removed long, kept string")
     basis = rows.select("doc_id", "uid", "part", "n_words", "whole", "digest")
     copied = groups.where("copies > 1").select("digest", F.lit(True).alias("copied"))
-    joined = attach(join_on(basis, cut, ["uid"], "left"), copied, "digest")
+    joined = attach(join_on(basis, cut, ["uid"], "left"), copied, ["digest"])
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
     return joined.select(
         "doc_id", "n_words",
