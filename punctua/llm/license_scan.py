@@ -108,7 +108,8 @@ def retrieved(shingles: np.ndarray, bands: list[Bands]) -> list[set[tuple[int, i
             block = 1
             for which, band in enumerate(bands):
                 while block < band.block:
-                    hashed = hashed.reshape(-1, 4).min(axis=1)
+                    four = hashed.reshape(-1, 4)
+                    hashed = np.minimum(np.minimum(four[:, 0], four[:, 1]), np.minimum(four[:, 2], four[:, 3]))
                     block *= 4
                 if number >= len(band.values):
                     continue
