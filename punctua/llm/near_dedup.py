@@ -64,7 +64,7 @@ def signature(found: np.ndarray) -> np.ndarray:
 
 def trees(percent: int = PERCENT, miss: float = MISS) -> int:
     """Trees that leave a pair at the threshold apart with probability ``miss`` at most."""
-    return min(TOKENS, math.ceil(math.log(miss) / math.log(1 - percent / 100)))
+    return min(TOKENS, math.ceil(math.log(miss) / math.log(max(miss, 1 - percent / 100))))
 
 
 def least_matches(percent: int) -> int:
