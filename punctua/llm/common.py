@@ -80,7 +80,7 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph: ``(node, component)``, the least node of each.
 
     ``edges`` has long columns ``a`` and ``b``. Alternating star contraction: all larger, then all
-    smaller neighbours of a node are linked to its least neighbour, until nothing changes; the
+    smaller neighbours of a node are linked to its least neighbour, until only stars are left; the
     number of rounds grows with the logarithm of the longest path. Each round is a written table,
     so a lost executor costs a retry.
     """
@@ -94,23 +94,21 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct()
         )
 
-    def state(pairs: DataFrame):
-        return pairs.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
+    def only_stars(pairs: DataFrame) -> bool:
+        """Every larger end has one link, and none is itself the lesser end of a link."""
+        ends = pairs.select(F.col("a").alias("node"), F.lit(1).alias("links"), F.lit(0).alias("center")).union(
+            pairs.select("b", F.lit(0), F.lit(1)))
+        nodes = ends.groupBy("node").agg(F.sum("links").alias("links"), F.max("center").alias("center"))
+        return nodes.agg(F.count_if(F.expr("links > 1 OR links = 1 AND center = 1"))).first()[0] == 0
 
     current = staged(canonical(edges), "links")
-    last = state(current)
-    while last[0]:
+    while not only_stars(current):
         both = current.union(current.select("b", "a"))
         large = toward_least(both).where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        large = canonical(large)
         stars = toward_least(large)
         small = stars.select(F.col("b").alias("a"), F.col("least").alias("b")).union(
             stars.select("a", F.col("least").alias("b")))
         current = staged(canonical(small), "links")
-        now = state(current)
-        if now == last:
-            break
-        last = now
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
