@@ -18,6 +18,8 @@ from punctua.llm.common import join_on, table
 from punctua.sources.storage import staged
 
 KEY = ["doc_id", "raw"]
+# Near copies of a training corpus share four fifths of their shingles of five words.
+NEAR_PERCENT = 80
 # Mixing, packing and the similarity search are randomised or sequential: no SQL counterpart.
 ORACLE_SQL = None
 
@@ -50,7 +52,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = near_dedup.near_groups(docs)
+    groups = near_dedup.near_groups(docs, percent=NEAR_PERCENT)
     return _repeated(docs, groups.select(*KEY, F.expr("int(uid = keep_uid)").alias("copies")))
 
 

@@ -68,6 +68,20 @@ def test_stages_one_after_another(spark, folder, tmp_path):
     assert all(r.offset + r.length <= 2048 for r in pieces)
 
 
+def test_near_copies_from_four_fifths_on_are_dropped(spark):
+    rng = random.Random(25)
+    texts = []
+    for _ in range(60):
+        words = corpora.prose(rng, rng.randint(40, 70)).split()
+        texts += [" ".join(words), " ".join(words[:20] + ["edited"] + words[21:])]
+    sets = [{tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts)]
+    shares = {(a, b): 100 * len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in range(len(texts)) for b in range(a)}
+    groups = corpora.components(len(texts), [pair for pair, share in shares.items() if share >= 80])
+    assert sum(80 <= share < 85 for share in shares.values()) > 10
+    kept = corpus_pipeline.drop_near_copies(spark, corpora.frame(spark, texts), "").collect()
+    assert sorted(r.doc_id for r in kept) == [i for i in range(len(texts)) if groups[i] == i]
+
+
 def test_equal_rows_are_one_document_that_occurs_several_times(spark):
     docs = corpora.frame(spark, ["a", "a", "b", "c"], ids=[1, 1, 2, None])
     decided = docs.selectExpr("doc_id", "xxhash64(text) AS raw", "CASE text WHEN 'a' THEN 2 WHEN 'b' THEN 0 ELSE 1 END AS copies")
