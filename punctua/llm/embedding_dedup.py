@@ -6,9 +6,13 @@ pairs whose cosine in double precision reaches the threshold. Passes differ in t
 their pairs are united into components. Range partitions are compared as streams, and the ends of
 neighbouring ranges meet in a second small step, so that no window is cut.
 
-A pair at the threshold agrees in a bit with probability ``p = 1 - angle/pi``, and stays within a
-window of w among n nodes when it agrees in about ``log2(n/w)`` leading bits. The number of passes
-follows from that, so recall does not fall as the table grows; the number rises as ``n^0.22``.
+A pair at the threshold agrees in a bit with probability ``p = 1 - angle/pi``. It surely stays within
+the window of a node when it agrees in one bit more than that node shares with the node a window away.
+Every pass measures that for every node, so each node knows how likely all passes so far are to miss
+a link of it. A first round has the passes that evenly spread nodes need (``n^0.22`` of them). Nodes
+whose links may still be missed more often than ``MISS``, as in a crowd that shares a direction, go
+through further passes among themselves, until none is left or comparing them all block by block is
+cheaper; then those outside the largest component meet all of them, which misses nothing.
 
 Links within a component are then counted exactly without listing them. Small components are compared
 in one block. In a large one, the nodes within half the threshold angle of its mean direction are all
@@ -30,19 +34,26 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctua.llm.common import attach, components, join_on, key_bounds, staged_rows, whole_keys
+from punctua.llm.common import Sets, attach, components, join_on, key_bounds, staged_rows, whole_keys
 from punctua.sources.storage import staged
 
 COSINE = 0.9
 WINDOW = 64
 MISS = 1e-3
 BLOCK = 1024
+ROUND = 64  # passes between two looks at what is still crowded
+UNITS = 10**9  # a chance of one, in the whole numbers that travel
+
+
+def agreement(cosine: float) -> float:
+    """Probability that a pair of this cosine lies on the same side of a random hyperplane."""
+    return 1 - math.acos(cosine) / math.pi
 
 
 def passes(nodes: int, cosine: float = COSINE, window: int = WINDOW, miss: float = MISS) -> int:
-    """Passes after which a pair at the threshold is missed with probability ``miss`` at most."""
-    agree = 1 - math.acos(cosine) / math.pi
-    together = agree ** max(0.0, math.log2(max(1, nodes) / window) + 1)
+    """Passes after which a pair at the threshold is missed with probability ``miss`` at most, where
+    nodes spread evenly."""
+    together = agreement(cosine) ** max(0.0, math.log2(max(1, nodes) / window) + 1)
     return max(1, math.ceil(math.log(miss) / math.log(max(1 - together, 1e-12))))
 
 
@@ -68,7 +79,7 @@ def matrix(cells: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(cells), np.float64).reshape(len(cells), -1)
 
 
-def _projected(count: int):
+def _projected(first: int, count: int):
     def run(batches) -> Iterator:
         import pyarrow as pa
 
@@ -81,7 +92,7 @@ def _projected(count: int):
                 rows = np.flatnonzero(sizes == size)
                 values = matrix([cells[i] for i in rows])
                 picked = batch.take(pa.array(rows))
-                for number in range(count):
+                for number in range(first, first + count):
                     if (size, number) not in planes:
                         planes[size, number] = np.random.default_rng([int(size), number]).standard_normal((size, 64))
                     sides = values @ planes[size, number] > 0
@@ -119,8 +130,26 @@ def forest(values: np.ndarray, window: int, cosine: float, near) -> list[tuple[i
     return links
 
 
+def chances(keys: np.ndarray, window: int, agree: float, begins: bool, ends: bool) -> np.ndarray:
+    """For every row of a sorted pass, how likely a row at the threshold is within its window. A row
+    that first differs in bit m lies before it or after it by that bit, and surely nearer than the row
+    a window away on that side if that one differs earlier. Beyond the ends is nothing or unknown."""
+    far = (keys[window:] ^ keys[:-window]).view(np.uint64) if len(keys) > window else np.empty(0, np.uint64)
+    shared = 64 - np.frexp(far.astype(float))[1]
+    edge = np.ones(min(window, len(keys)), np.int64)
+    before, after = np.append(edge * (-1 if begins else 64), shared), np.append(shared, edge * (-1 if ends else 64))
+    bits, found = keys.view(np.uint64) ^ np.uint64(1 << 63), np.zeros(len(keys))
+    for m in range(64):
+        ones = bits >> np.uint64(63 - m) & np.uint64(1) > 0
+        found += (np.where(ones, before, after) < m) * (agree**m * (1 - agree))
+    return found
+
+
 def _windows(window: int, cosine: float):
-    """Links of a sorted range (``side`` 0), and the names of its first and last rows (1 and 2)."""
+    """Links of a sorted range (``side`` 0), the names of its first and last rows (1 and 2), and the
+    logarithm of every row's chance not to meet a row at the threshold (3)."""
+    agree = agreement(cosine)
+
     def run(batches) -> Iterator:
         import pyarrow as pa
         from pyspark import TaskContext
@@ -128,6 +157,12 @@ def _windows(window: int, cosine: float):
         here = TaskContext.get().partitionId()
         held, seen = None, 0
 
+        def reached(uids, chance):
+            whole = np.rint(-np.log1p(-np.minimum(chance, 1 - 1e-6)) * UNITS).astype(np.int64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(uids), 3)), pa.array(uids), pa.array(whole), *[pa.array(np.zeros(len(uids), np.int64))] * 2],
+                names=["side", "a", "b", "range", "pass"])
+
         def out(rows):
             columns = list(zip(*rows)) or [()] * 5
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
@@ -139,7 +174,8 @@ def _windows(window: int, cosine: float):
             fresh = pa.Table.from_batches([batch])
             rows = fresh if held is None else pa.concat_tables([held, fresh])
             old = 0 if held is None else held.num_rows
-            uids, names = rows.column("uid").to_numpy(), rows.column("pass").to_numpy()
+            uids, names, keys = (rows.column(n).to_numpy() for n in ("uid", "pass", "key"))
+            whole = here == 0 or seen > old  # what precedes the first row here is known not to matter
             found = []
             if seen < window:
                 found += [(1, int(u), seen + i, here - 1, int(p)) for i, (u, p) in enumerate(
@@ -151,9 +187,19 @@ def _windows(window: int, cosine: float):
                 fresh_from = max(0, old - a)
                 for i, j in forest(values, window, cosine, lambda i, j: j >= fresh_from):
                     found.append((0, int(uids[a + i]), int(uids[a + j]), here, int(names[a])))
-            held = rows.slice(max(0, rows.num_rows - window))
+                # Rows whose window was open before; the last pass goes on, its last rows wait.
+                ended = b < rows.num_rows
+                c, d = max(a, old - window), b if ended else b - window
+                if c < d:
+                    yield reached(uids[c:d], chances(keys[a:b], window, agree, a > 0 or whole, ended)[c - a:d - a])
+            held = rows.slice(max(0, rows.num_rows - 2 * window))
             yield out(found)
         if held is not None:
+            names, uids, keys = (held.column(n).to_numpy() for n in ("pass", "uid", "key"))
+            a = int(key_bounds(names)[-2])
+            c = max(a, len(uids) - window)
+            yield reached(uids[c:], chances(keys[a:], window, agree, a > 0 or here == 0 or seen > len(uids), False)[c - a:])
+            held = held.slice(max(0, held.num_rows - window))
             names, uids = held.column("pass").to_numpy(), held.column("uid").to_numpy()
             yield out([(2, int(u), i - len(uids), here, int(p)) for i, (u, p) in enumerate(zip(uids, names))])
 
@@ -186,6 +232,87 @@ def _ends(window: int, cosine: float):
     return run
 
 
+def _met(cosine: float):
+    """Per block, a forest of the links of its probes (``role`` 1) with its members (2)."""
+    def run(batches) -> Iterator:
+        import pyarrow as pa
+
+        for rows in whole_keys(batches, "key"):
+            bounds = key_bounds(rows.column("key").to_numpy())
+            found = []
+            for a, b in zip(bounds, bounds[1:]):
+                part = rows.slice(a, b - a)
+                values = matrix(part.column("vector").to_pylist())
+                values = values / np.sqrt(np.einsum("ij,ij->i", values, values))[:, None]
+                role, uid = part.column("role").to_numpy(), part.column("uid").to_numpy()
+                probes, members = np.flatnonzero(role == 1), np.flatnonzero(role == 2)
+                sets, (_, number) = Sets(b - a), np.unique(uid, return_inverse=True)
+                for i, j in zip(*np.nonzero(values[probes] @ values[members].T >= cosine)):
+                    x, y = int(number[probes[i]]), int(number[members[j]])
+                    if sets.find(x) != sets.find(y):
+                        sets.join(x, y)
+                        found.append((int(uid[probes[i]]), int(uid[members[j]])))
+            columns = list(zip(*found)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+
+    return run
+
+
+def _strays(crowd: DataFrame, parts: DataFrame) -> DataFrame:
+    """The crowd with vector lengths, and whether a node is outside the largest component of its length."""
+    named = join_on(crowd, parts.withColumnRenamed("node", "uid"), ["uid"], "left").select(
+        "uid", "vector", F.length("vector").alias("width"), F.coalesce("component", "uid").alias("component"))
+    main = named.groupBy("width", "component").agg(F.count("*").alias("size")).groupBy("width").agg(
+        F.max_by("component", F.struct("size", "component")).alias("main"),
+        F.sum("size").alias("n"), (F.sum("size") - F.max("size")).alias("strays"))
+    return join_on(named, main, ["width"]).withColumn("stray", F.col("component") != F.col("main"))
+
+
+def _meetings(named: DataFrame, cosine: float) -> DataFrame:
+    """Links of all strays of a crowd with all of its nodes, block by block."""
+    half = BLOCK // 2
+    dealt = named.where("strays > 0").withColumns({"chunks": F.ceil(F.col("strays") / half), "blocks": F.ceil(F.col("n") / half)}) \
+        .withColumns({"chunk": F.pmod(F.xxhash64("uid"), F.col("chunks")), "block": F.pmod(F.xxhash64("uid", F.lit(1)), F.col("blocks"))})
+    zero = F.lit(0).cast("long")
+    probes = dealt.where("stray").withColumn("block", F.explode(F.sequence(zero, F.col("blocks") - 1))).withColumn("role", F.lit(1))
+    others = dealt.withColumn("chunk", F.explode(F.sequence(zero, F.col("chunks") - 1))).withColumn("role", F.lit(2))
+    return probes.unionByName(others).select(F.xxhash64("width", "chunk", "block").alias("key"), "uid", "vector", "role") \
+        .repartition("key").sortWithinPartitions("key").mapInArrow(_met(cosine), "a long, b long")
+
+
+def all_links(nodes: DataFrame, cosine: float, window: int, miss: float) -> DataFrame:
+    """Links ``a, b`` that connect every component of ``uid, vector``."""
+    need = -math.log(miss)
+    crowd, edges, reach, first, more = nodes, None, None, 0, passes(nodes.count(), cosine, window, miss)
+    while True:
+        ordered = crowd.mapInArrow(_projected(first, more), "pass long, key long, uid long, vector binary") \
+            .repartitionByRange("pass", "key", "uid").sortWithinPartitions("pass", "key", "uid")
+        found = staged(ordered.mapInArrow(_windows(window, cosine), "side long, a long, b long, range long, pass long"), "links")
+        ends = join_on(found.where("side IN (1, 2)"), nodes.select(F.col("uid").alias("a"), "vector"), ["a"])
+        across = ends.repartition("range").sortWithinPartitions("range").mapInArrow(_ends(window, cosine), "a long, b long")
+        fresh = found.where("side = 0").select("a", "b").union(across)
+        edges = fresh if edges is None else edges.union(fresh)
+        gained = found.where("side = 3").groupBy(F.col("a").alias("uid")).agg((F.sum("b") / UNITS).alias("gain"))
+        before = F.lit(0.0) if reach is None else F.col("reach")
+        reach = staged((gained if reach is None else join_on(gained, reach, ["uid"])).select(
+            "uid", (before + F.col("gain")).alias("reach"), "gain").where(F.col("reach") < need).select(
+            "uid", "reach", "gain"), "reach")
+        size, lacking, gain = reach.agg(F.count("*"), F.avg(need - F.col("reach")), F.avg("gain")).first()
+        if size < 2:
+            return edges
+        rate, first = gain / more, first + more
+        more = math.ceil(min(1e9, 1.2 * lacking / max(rate, 1e-9)))
+        crowd = staged(join_on(reach.select("uid"), nodes, ["uid"]), "crowd")
+        reach = reach.select("uid", "reach")
+        half = BLOCK // 2
+        if more >= min(ROUND, math.ceil(size / half)):
+            edges = staged(edges, "edges")
+            named = staged(_strays(crowd, staged(components(edges), "components")), "strays")
+            if more >= math.ceil(named.where("stray").count() / half):
+                return edges.union(_meetings(named, cosine))
+        more = min(more, ROUND)
+
+
 def _counted(cosine: float):
     """Per block, the links of its probes (``role`` 1 or 3) with its members (2 or 3)."""
     def run(batches) -> Iterator:
@@ -290,15 +417,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, window: int = WINDO
         rows.where("digest IS NOT NULL").groupBy("digest").agg(
             F.min("uid").alias("uid"), F.count("*").alias("weight"), F.min("vec_id").alias("least"),
             F.first("vector").alias("vector")), "nodes")
-    ordered = (
-        nodes.select("uid", "vector").mapInArrow(_projected(passes(nodes.count(), cosine, window, miss)),
-                                                 "pass long, key long, uid long, vector binary")
-        .repartitionByRange("pass", "key", "uid").sortWithinPartitions("pass", "key", "uid")
-    )
-    found = staged(ordered.mapInArrow(_windows(window, cosine), "side long, a long, b long, range long, pass long"), "links")
-    ends = join_on(found.where("side > 0"), nodes.select(F.col("uid").alias("a"), "vector"), ["a"])
-    across = ends.repartition("range").sortWithinPartitions("range").mapInArrow(_ends(window, cosine), "a long, b long")
-    parts = staged(components(found.where("side = 0").select("a", "b").union(across)), "components")
+    parts = staged(components(all_links(nodes.select("uid", "vector"), cosine, window, miss)), "components")
     named = staged(join_on(parts.withColumnRenamed("node", "uid"), nodes, ["uid"]), "named")
     links = link_counts(named.select("component", "uid", "weight", "vector"), cosine)
     least = named.groupBy("component").agg(F.min("least").alias("first"))

@@ -68,6 +68,35 @@ def test_more_nodes_need_more_passes():
     assert operator.passes(1) == 1 and operator.passes(10**4) < operator.passes(10**6) < operator.passes(10**9) < 1000
 
 
+def crowded(rng, size, dimensions=64):
+    """Unit vectors of pairwise cosine 0.8 or so, every twentieth with another at 0.901."""
+    unit = lambda v: v / np.linalg.norm(v)
+    center, out = unit(rng.standard_normal(dimensions)), []
+    for i in range(size):
+        side = rng.standard_normal(dimensions)
+        out.append(math.sqrt(0.8) * center + math.sqrt(0.2) * unit(side - (side @ center) * center))
+        if i % 20 == 0:
+            side = rng.standard_normal(dimensions)
+            out.append(0.901 * out[-1] + math.sqrt(1 - 0.901**2) * unit(side - (side @ out[-1]) * out[-1]))
+    return out
+
+
+def test_links_in_a_crowd_are_all_found(spark):
+    rng = np.random.default_rng(18)
+    check(spark, crowded(rng, 2500) + list(rng.standard_normal((500, 64))))
+
+
+def test_crowd_takes_more_passes_where_blocks_are_many(spark, monkeypatch):
+    monkeypatch.setattr(operator, "BLOCK", 4)
+    monkeypatch.setattr(operator, "ROUND", 40)
+    cells = crowded(np.random.default_rng(19), 1000)
+    found = spark.createDataFrame([(i, c.tobytes()) for i, c in enumerate(cells)], "uid long, vector binary")
+    links = operator.all_links(found, 0.9, 16, 1e-3).collect()
+    groups = corpora.components(len(cells), [(r.a, r.b) for r in links])
+    wanted = expected([c.tolist() for c in cells])[1]
+    assert sum(a != b for a, b in zip(groups, wanted)) <= 2
+
+
 def test_windows_hold_across_ranges(spark):
     angles = np.linspace(0, 40, 500)
     cells = [[math.cos(math.radians(a)), math.sin(math.radians(a))] for a in angles]
