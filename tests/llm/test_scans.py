@@ -83,6 +83,25 @@ def test_licenses_are_found_whole_and_nearly_whole(spark):
                 assert " ".join(piece).lower() == " ".join(corpora.WORD.findall(license_scan.TEMPLATES[match.license])).lower()
 
 
+def test_licenses_in_wordings_that_are_not_templates(spark):
+    rng = random.Random(26)
+    gpl = ("This program is free software; you can redistribute it and/or modify it\nunder the terms of the GNU General Public License "
+           "as published by the\n  Free Software Foundation; either version 2 of the License, or any later version.")
+    whole = license_scan.TEMPLATES["GPL-3.0-text"].split()
+    mit = license_scan.TEMPLATES["MIT-text"].replace("Software", "Work", 2)
+    cases = {
+        "Distributed under the MIT License": {"MIT-distributed"},
+        "see the GNU General Public License, version 2 for more": {"GPL-2.0"},
+        "This library is available under the GNU Lesser General Public License.": {"LGPL"},
+        gpl: {"GPL-header"}, gpl.replace("General", "Affero General"): {"AGPL-header"},
+        "Copyright 2020 Somebody\n" + mit: {"MIT-text"}, " ".join(whole[:2600] + whole[2900:]): {"GPL-3.0-text"},
+        "This book is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": {"CC-BY-SA-4.0-notice"},
+    }
+    texts = [f"{corpora.prose(rng, 40)} {text} {corpora.prose(rng, 30)}" for text in cases]
+    rows = {r.doc_id: r for r in license_scan.scan(corpora.frame(spark, texts)).collect()}
+    assert [{m.license for m in rows[i].matches} for i in range(len(texts))] == list(cases.values())
+
+
 def test_license_scan_of_nothing(spark):
     assert license_scan.scan(corpora.frame(spark, [])).collect() == []
 
