@@ -203,7 +203,9 @@ def _branches(nodes: DataFrame, percent: int) -> tuple[list[DataFrame], DataFram
         if level == LEVELS:
             return small, large
         again = F.pmod(F.xxhash64("key", F.lit("again")), F.lit(1000)) < F.lit(int(1e5 / percent) - 1000)
-        first, second = (F.pmod(F.xxhash64("key", F.lit(n)), F.lit(TOKENS)) for n in range(2))
+        first = F.pmod(F.xxhash64("key", F.lit(0)), F.lit(TOKENS))
+        # Never the first again: a member that is twice in a branch would leave its fingerprint.
+        second = F.pmod(first + 1 + F.pmod(F.xxhash64("key", F.lit(1)), F.lit(TOKENS - 1)), F.lit(TOKENS))
         chosen = large.select("key", "uid", F.explode(
             F.when(again, F.array(first, second)).otherwise(F.array(first))).alias("token"))
         members = staged(

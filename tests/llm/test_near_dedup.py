@@ -83,3 +83,12 @@ def test_other_thresholds(spark, percent):
     texts = [text, *corpora.near_copies(rng, text, 8, 3), text]
     found = {r.doc_id: r.component_id for r in operator.near_groups(corpora.frame(spark, texts), percent).collect()}
     assert [found[i] for i in range(len(texts))] == expected(texts, percent)[0]
+
+
+def test_no_member_is_twice_in_a_branch(spark, monkeypatch):
+    monkeypatch.setattr(operator, "BRANCH", 1)
+    rows = [(2 * g + i, [g * 100 + t for t in range(30)], bytes([g]) * 256) for g in range(100) for i in range(2)]
+    nodes = spark.createDataFrame(rows, "uid long, heads array<long>, mark binary")
+    _, large = operator._branches(nodes, 85)
+    assert large.groupBy("key", "uid").count().where("count > 1").isEmpty()
+    assert large.where("n > 2").isEmpty()
