@@ -6,7 +6,7 @@ trained models, a tokenizer or a sequential plan, and are tested against plain v
 
 from __future__ import annotations
 
-from punctua.llm import line_dedup, mixing
+from punctua.llm import line_dedup, mixing, personal_data
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -154,6 +154,72 @@ SELECT n.node AS vec_id, (SELECT count(*) FROM edges e WHERE e.a = n.node) AS n_
 FROM nodes n JOIN least USING (node)
 """
 
+_PII_PATTERNS = ", ".join(
+    f"({number}, '{kind}', '{pattern}', '{personal_data.words_pattern(personal_data.FOR[kind])}', "
+    f"'{personal_data.words_pattern(personal_data.AGAINST[kind])}', {personal_data.PRIOR[kind]})"
+    for number, (kind, pattern) in enumerate(zip(personal_data.KINDS, (
+        personal_data.EMAIL, personal_data.IP, personal_data.CARD, personal_data.PHONE, personal_data.IBAN,
+        personal_data.SSN, personal_data.NATIONAL, personal_data.HIDDEN)))
+)
+_IBAN_LENGTH = ", ".join(f"'{country}': {length}" for country, length in personal_data.IBAN_LENGTH.items())
+_PII_KINDS = ", ".join(
+    f"CAST(count(*) FILTER (WHERE name = '{kind}') AS BIGINT) AS n_{kind}" for kind in personal_data.KINDS)
+
+PERSONAL_DATA = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents
+), p(kind, name, pattern, words_for, words_against, prior) AS (
+    VALUES {_PII_PATTERNS}
+), f AS (
+    SELECT row, t, p.*, regexp_extract_all(t, pattern) AS found, string_split_regex(t, pattern) AS gaps FROM d, p
+), l AS (
+    SELECT * EXCLUDE (found, gaps), found[i] AS m, CAST(list_sum(list_transform(gaps[1:i], lambda x: len(x)))
+        + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: len(x))), 0) AS BIGINT) AS start
+    FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM f)
+), c AS (
+    SELECT * EXCLUDE (m), CASE WHEN name <> 'iban' THEN m ELSE substr(m, 1, CAST(list_min(list_filter(range(1, len(m) + 1),
+        lambda i: len(replace(substr(m, 1, i), ' ', '')) = coalesce(MAP {{{_IBAN_LENGTH}}}[substr(m, 1, 2)], 0))) AS BIGINT)) END AS m
+    FROM l
+), v AS (
+    SELECT *, start + len(m) AS stop, replace(m, ' ', '') AS plain, regexp_replace(m, '[^0-9]', '', 'g') AS digits,
+        CASE WHEN start = 0 THEN '' ELSE substr(t, start, 1) END AS left_sign, substr(t, start + len(m) + 1, 1) AS right_sign
+    FROM c WHERE m IS NOT NULL
+), s AS (
+    SELECT * FROM v WHERE CASE name
+        WHEN 'ip' THEN len(list_filter(string_split(m, '.'), lambda x: len(ltrim(x, '0')) > 3 OR coalesce(TRY_CAST(x AS BIGINT), 999) > 255)) = 0
+        WHEN 'card' THEN len(digits) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, len(digits) + 1), lambda i: CASE
+            WHEN (len(digits) - i) % 2 = 0 THEN CAST(substr(digits, i, 1) AS INT)
+            ELSE CAST(substr(digits, i, 1) AS INT) * 2 - CASE WHEN substr(digits, i, 1) > '4' THEN 9 ELSE 0 END END)) % 10 = 0
+        WHEN 'phone' THEN len(digits) BETWEEN 9 AND 15
+        WHEN 'iban' THEN NOT regexp_matches(left_sign, '[A-Za-z0-9]') AND list_reduce(list_prepend(0, list_transform(
+            string_split(substr(plain, 5) || substr(plain, 1, 4), ''), lambda x: CASE WHEN x <= '9' THEN ascii(x) - 48 ELSE ascii(x) - 55 END)),
+            lambda a, x: (a * (CASE WHEN x > 9 THEN 100 ELSE 10 END) + x) % 97) = 1
+        WHEN 'ssn' THEN regexp_full_match(m, '[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}') AND NOT regexp_matches(m, '^(000|666|9)|-00-|-0000$')
+        ELSE TRUE END
+    AND (name NOT IN ('ssn', 'national') OR NOT regexp_matches(left_sign, '[A-Za-z0-9+.-]') AND NOT regexp_matches(right_sign, '[A-Za-z0-9+-]'))
+), near AS (
+    SELECT *, translate(substr(t, greatest(start - {personal_data.BEFORE}, 0) + 1, least(start, {personal_data.BEFORE})),
+            '{_CAPITALS}', '{_SMALL}') AS before,
+        translate(substr(t, stop + 1, {personal_data.AFTER}), '{_CAPITALS}', '{_SMALL}') AS after
+    FROM s x WHERE name <> 'national' OR NOT EXISTS (
+        SELECT 1 FROM s y WHERE y.name = 'phone' AND y.row = x.row AND y.start <= x.start AND x.stop <= y.stop)
+), scored AS (
+    SELECT *, kind || ':' || start AS place, name || ':' || start || ':' || stop AS span, prior
+        + CASE WHEN regexp_matches(before, words_for) OR regexp_matches(after, words_for) THEN {personal_data.STEP} ELSE 0 END
+        - CASE WHEN regexp_matches(before, words_against) OR regexp_matches(after, words_against) THEN {personal_data.STEP} ELSE 0 END AS score
+    FROM near
+), k AS (
+    SELECT * FROM scored WHERE kind < {len(personal_data.BASE)} OR score >= {personal_data.KEEP}
+), g AS (
+    SELECT row, {_PII_KINDS}, coalesce(string_agg(span, ',' ORDER BY kind, start) FILTER (WHERE kind < {len(personal_data.BASE)}), '') AS base,
+        string_agg(span, ',' ORDER BY kind, start) AS spans
+    FROM k GROUP BY row
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{kind}, 0) AS n_{kind}" for kind in personal_data.KINDS)},
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (row)
+"""
+
 ORACLES = {
     "op1_mixing": MIXING,
     "op2_line_dedup": LINE_DEDUP,
@@ -161,4 +227,5 @@ ORACLES = {
     "op4_near_dedup": NEAR_DEDUP,
     "op9_substring_dedup": SUBSTRING_DEDUP,
     "op10_embedding_dedup": EMBEDDING_DEDUP,
+    "op13_personal_data": PERSONAL_DATA,
 }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from punctua.llm import (
-    embedding_dedup, exact_dedup, license_scan, line_dedup, mixing, near_dedup, packing, secret_scan,
-    substring_dedup, toxicity,
+    embedding_dedup, exact_dedup, license_scan, line_dedup, mixing, near_dedup, packing, personal_data,
+    secret_scan, substring_dedup, toxicity,
 )
 from punctua.llm.common import table
 from punctua.llm.oracles import ORACLES
@@ -61,6 +61,10 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", "n_links", "component_id", "vec_id <=> component_id AS kept")
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.summary(personal_data.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_line_dedup": op2_line_dedup,
@@ -72,4 +76,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op13_personal_data": op13_personal_data,
 }
