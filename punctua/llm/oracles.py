@@ -6,7 +6,7 @@ trained models, a tokenizer or a sequential plan, and are tested against plain v
 
 from __future__ import annotations
 
-from punctua.llm import line_dedup, mixing, personal_data
+from punctua.llm import centroids, line_dedup, mixing, personal_data
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -154,6 +154,42 @@ SELECT n.node AS vec_id, (SELECT count(*) FROM edges e WHERE e.a = n.node) AS n_
 FROM nodes n JOIN least USING (node)
 """
 
+_MOST = centroids.LARGEST
+
+
+def _round(number: int) -> str:
+    """The vectors of every centroid in a round, and the centroids after it."""
+    return f"""
+a{number} AS MATERIALIZED (
+    SELECT row, min({{'distance': distance, 'c': c}}) AS best FROM (
+        SELECT x.row, c, list_sum(list_transform(list_zip(x.v, g.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS distance
+        FROM x, c{number} g) GROUP BY row
+), m{number} AS (
+    SELECT c, list((total - (total % n + n) % n) // n ORDER BY i) AS v FROM (
+        SELECT best.c AS c, i, sum(value) AS total, count(*) AS n
+        FROM (SELECT best, unnest(v) AS value, unnest(range(64)) AS i FROM x JOIN a{number} USING (row)) GROUP BY best.c, i) GROUP BY c
+), c{number + 1} AS MATERIALIZED (
+    SELECT c, CAST(coalesce(m.v, g.v) AS BIGINT[]) AS v FROM c{number} g LEFT JOIN m{number} m USING (c)
+)"""
+
+
+CENTROIDS = f"""
+WITH raw AS (
+    SELECT row_number() OVER () AS row, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), x AS MATERIALIZED (
+    SELECT row, vec_id, list_transform(v, lambda c: CAST(greatest(least(floor({centroids.SCALE} * c), {_MOST}), -{_MOST}) AS BIGINT)) AS v
+    FROM raw WHERE len(v) = {centroids.SIZE} AND len(list_filter(v, lambda c: c IS NOT NULL AND isfinite(c))) = {centroids.SIZE}
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || vec_id) NULLS LAST) - 1 AS c, v FROM x
+    ORDER BY c LIMIT {centroids.CLUSTERS}
+), {",".join(map(_round, range(centroids.ROUNDS + 1)))}, i AS (
+    SELECT best.c AS c, sum(best.distance) AS cluster_inertia FROM a{centroids.ROUNDS} GROUP BY best.c
+)
+SELECT vec_id, CAST(best.c AS INT) AS cluster, CAST(best.distance AS BIGINT) AS distance, CAST(cluster_inertia AS BIGINT) AS cluster_inertia,
+    CAST((SELECT sum(cluster_inertia) FROM i) AS BIGINT) AS inertia, sha256(array_to_string(g.v, ',')) AS centroid_sha256
+FROM x JOIN a{centroids.ROUNDS} USING (row) JOIN i ON best.c = i.c JOIN c{centroids.ROUNDS} g ON best.c = g.c
+"""
+
 _PII_PATTERNS = ", ".join(
     f"({number}, '{kind}', '{pattern}', '{personal_data.words_pattern(personal_data.FOR[kind])}', "
     f"'{personal_data.words_pattern(personal_data.AGAINST[kind])}', {personal_data.PRIOR[kind]})"
@@ -220,6 +256,61 @@ SELECT doc_id, {", ".join(f"coalesce(n_{kind}, 0) AS n_{kind}" for kind in perso
 FROM d LEFT JOIN g USING (row)
 """
 
+_FIELD = "coalesce(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(_FIELD.format(name) for name in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+# CRC-32 of the decimal id: eight shifts for every character.
+_CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda a, c: list_reduce(list_prepend(xor(a, c), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]),
+            lambda t, z: CASE WHEN t % 2 = 1 THEN xor(t // 2, 3988292384) ELSE t // 2 END)), 4294967295)"""
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, doc_id, coalesce(':' || lang, '') AS tree, {_leaf("n_chars")} AS leaf,
+        CASE WHEN doc_id IS NOT NULL AND {_CRC} % 7 = 0 THEN {_leaf("n_chars + 1")} ELSE {_leaf("n_chars")} END AS checked
+    FROM documents
+), placed AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS LAST, leaf, row) - 1 AS place, count(*) OVER (PARTITION BY tree) AS width
+    FROM leaves
+), n AS (
+    SELECT tree, 0 AS level, place, width, leaf AS digest FROM placed
+    UNION ALL
+    SELECT tree, level + 1, place // 2, (width + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+    FROM n WHERE width > 1 GROUP BY tree, level, place // 2, width
+), subroots AS MATERIALIZED (
+    SELECT tree, level AS height, digest, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS width FROM n WHERE width = 1
+), m AS (
+    SELECT 0 AS level, place, width, digest FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 2, (width + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+    FROM m WHERE width > 1 GROUP BY level, place // 2, width
+), steps AS MATERIALIZED (
+    SELECT p.row, h.level AS step, (p.place >> h.level) % 2 AS slot, coalesce(s.digest, '') AS digest
+    FROM placed p JOIN (SELECT DISTINCT tree, level FROM n WHERE width > 1) h ON p.tree = h.tree
+    LEFT JOIN n s ON s.tree = p.tree AND s.level = h.level AND s.place = xor(p.place >> h.level, 1)
+    UNION ALL
+    SELECT p.row, r.height + h.level, (r.place >> h.level) % 2, coalesce(s.digest, '')
+    FROM placed p JOIN subroots r ON p.tree = r.tree CROSS JOIN (SELECT DISTINCT level FROM m WHERE width > 1) h
+    LEFT JOIN m s ON s.level = h.level AND s.place = xor(r.place >> h.level, 1)
+), folded AS (
+    SELECT row, 0 AS step, checked AS digest FROM placed
+    UNION ALL
+    SELECT f.row, f.step + 1, CASE WHEN slot = 0 THEN sha256(f.digest || s.digest) ELSE sha256(s.digest || f.digest) END
+    FROM folded f JOIN steps s ON f.row = s.row AND f.step = s.step
+), ends AS (
+    SELECT row, arg_max(digest, step) AS folded_root FROM folded GROUP BY row
+), proofs AS (
+    SELECT row, sha256(string_agg(digest, '' ORDER BY step)) AS proof_sha256 FROM steps GROUP BY row
+)
+SELECT p.doc_id, p.leaf, r.digest AS subroot, (SELECT digest FROM m WHERE width = 1) AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+    folded_root, folded_root = (SELECT digest FROM m WHERE width = 1) AS verified
+FROM placed p JOIN subroots r ON p.tree = r.tree JOIN ends USING (row) LEFT JOIN proofs USING (row)
+"""
+
 ORACLES = {
     "op1_mixing": MIXING,
     "op2_line_dedup": LINE_DEDUP,
@@ -227,5 +318,7 @@ ORACLES = {
     "op4_near_dedup": NEAR_DEDUP,
     "op9_substring_dedup": SUBSTRING_DEDUP,
     "op10_embedding_dedup": EMBEDDING_DEDUP,
+    "op11_centroids": CENTROIDS,
+    "op12_merkle_manifest": MERKLE,
     "op13_personal_data": PERSONAL_DATA,
 }

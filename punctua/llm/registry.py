@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from punctua.llm import (
-    embedding_dedup, exact_dedup, license_scan, line_dedup, mixing, near_dedup, packing, personal_data,
-    secret_scan, substring_dedup, toxicity,
+    centroids, embedding_dedup, exact_dedup, license_scan, line_dedup, merkle, mixing, near_dedup, packing,
+    personal_data, secret_scan, substring_dedup, toxicity,
 )
 from punctua.llm.common import table
 from punctua.llm.oracles import ORACLES
@@ -61,6 +62,15 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", "n_links", "component_id", "vec_id <=> component_id AS kept")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.clusters(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("centroid_sha256", F.sha2(F.array_join("centroid", ","), 256)).drop("centroid")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.summary(personal_data.scan(table(spark, sf_dir, "documents")))
 
@@ -76,5 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_centroids": op11_centroids,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_personal_data": op13_personal_data,
 }

@@ -14,6 +14,9 @@ COLUMNS = {
     "op8_packing": {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"},
     "op9_substring_dedup": {"doc_id", "n_words", "n_removed", "kept_sha256"},
     "op10_embedding_dedup": {"vec_id", "n_links", "component_id", "kept"},
+    "op11_centroids": {"vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"},
+    "op12_merkle_manifest": {"doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"},
+    "op13_personal_data": {"doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"},
 }
 
 
