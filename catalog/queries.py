@@ -348,7 +348,7 @@ def split_label(spark, sf):
 @query
 def rule_flags(spark, sf):
     names = [r.name for r in rules.period_rules()]
-    return _flagged(spark, sf).select(*rules.PERIOD, *S.FLIGHT_BUSINESS_KEY, *names)
+    return rules.unpack_flags(_flagged(spark, sf), rules.period_rules()).select(*rules.PERIOD, *S.FLIGHT_BUSINESS_KEY, *names)
 
 
 @query
@@ -367,7 +367,9 @@ def rejected_rows(spark, sf):
 
 @query
 def validation_report(spark, sf):
-    flagged = staged(_flagged(spark, sf), "flagged")
+    # What the report reads, and no more.
+    flagged = staged(_flagged(spark, sf).select(
+        *rules.PERIOD, *S.FLIGHT_BUSINESS_KEY, rules.FAILED, rules.UNKNOWN, "malformed_mask"), "flagged")
     return rules.validation_report(flagged, rules.period_rules())
 
 

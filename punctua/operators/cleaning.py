@@ -51,18 +51,16 @@ def clean_flights(raw: DataFrame, keep: Iterable[str] = (), malformed: bool = Fa
             typed[name] = cells.plain_text(cell)
         else:
             typed[name] = cells.whole_number(cell)
-    columns = [expr.alias(name) for name, expr in typed.items()]
-    columns += [F.col(c) for c in keep]
-    if malformed:
-        bits = [
-            F.when(cells.is_malformed(F.col(c), typed[c]), F.lit(1 << i)).otherwise(F.lit(0)).cast("long")
-            for i, c in enumerate(TYPED_COLUMNS)
-        ]
-        mask = bits[0]
-        for bit in bits[1:]:
-            mask = mask.bitwiseOR(bit)
-        columns.append(mask.alias("malformed_mask"))
-    return raw.select(*columns)
+    columns = [expr.alias(name) for name, expr in typed.items()] + [F.col(c) for c in keep]
+    if not malformed:
+        return raw.select(*columns)
+    # Raw cells go along one step, so that the mask reads typed columns and no cell is cast twice.
+    both = raw.select(*columns, *[F.col(c).alias(f"_raw_{c}") for c in TYPED_COLUMNS])
+    mask = F.lit(0).cast("long")
+    for i, name in enumerate(TYPED_COLUMNS):
+        bad = cells.is_malformed(F.col(f"_raw_{name}"), F.col(name))
+        mask = mask.bitwiseOR(F.when(bad, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")))
+    return both.select(*typed, *keep, mask.alias("malformed_mask"))
 
 
 TYPED_COLUMNS = S.FLIGHT_DATE_COLUMNS + S.FLIGHT_INT_COLUMNS

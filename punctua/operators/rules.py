@@ -2,6 +2,11 @@
 
 A rule is true, false or unknown (NULL) per row. Hard rules reject a row unless they are true;
 soft rules are only reported.
+
+Outcomes travel as two packed words per row: in ``rule_failed`` bit *i* says that rule *i* is false, the bits
+after the rules that a mandatory column is missing; in ``rule_unknown`` bit *i* says that rule *i* is
+neither true nor false. Rows are accepted by a mask, and reports count equal words before they look at
+single bits, so no job handles a column per rule.
 """
 
 from __future__ import annotations
@@ -110,24 +115,57 @@ def period_rules() -> list[Rule]:
     return flight_rules(F.col(PERIOD[0]), F.col(PERIOD[1]))
 
 
+FAILED, UNKNOWN = "rule_failed", "rule_unknown"
+
+
+def _bit(place: int) -> Column:
+    return F.lit(1 << place).cast("long")
+
+
+def _is_set(word: str, place: int) -> Column:
+    return F.col(word).bitwiseAND(_bit(place)) != 0
+
+
+def _packed(conditions: list[Column], first: int = 0) -> Column:
+    """A word with bit ``first + i`` set where condition *i* is true."""
+    word = F.lit(0).cast("long")
+    for place, condition in enumerate(conditions, first):
+        word = word.bitwiseOR(F.when(condition, _bit(place)).otherwise(F.lit(0).cast("long")))
+    return word
+
+
+def with_words(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The outcomes of all rules and the missing mandatory columns as two packed words."""
+    # The flags are columns first: both words read them, so Catalyst evaluates each rule once.
+    flagged = df.withColumns({f"_{rule.name}": rule.flag() for rule in rules})
+    failed = _packed([~F.col(f"_{rule.name}") for rule in rules]).bitwiseOR(
+        _packed([F.col(c).isNull() if c in df.columns else F.lit(False) for c in MANDATORY], len(rules)))
+    unknown = _packed([F.col(f"_{rule.name}").isNull() for rule in rules])
+    return flagged.select(*df.columns, failed.alias(FAILED), unknown.alias(UNKNOWN))
+
+
+def unpack_flags(words: DataFrame, rules: list[Rule]) -> DataFrame:
+    """One nullable boolean column per rule, from the packed words."""
+    return words.withColumns({
+        rule.name: F.when(~_is_set(UNKNOWN, i), ~_is_set(FAILED, i)) for i, rule in enumerate(rules)
+    })
+
+
 def with_flags(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """One nullable boolean column per rule."""
-    return df.withColumns({rule.name: rule.flag() for rule in rules})
+    """The packed words and one nullable boolean column per rule."""
+    return unpack_flags(with_words(df, rules), rules)
 
 
 def drop_flags(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    return df.drop(*[rule.name for rule in rules], "malformed_mask")
+    return df.drop(*[rule.name for rule in rules], FAILED, UNKNOWN, "malformed_mask")
 
 
-def all_hard(rules: list[Rule], mandatory: Iterable[str] = MANDATORY) -> Column:
+def all_hard(rules: list[Rule]) -> Column:
     """True only when every mandatory column is filled and every hard rule holds."""
-    passed = F.lit(True)
-    for column in mandatory:
-        passed = passed & F.col(column).isNotNull()
-    for rule in rules:
-        if rule.severity == HARD:
-            passed = passed & F.col(rule.name)
-    return F.coalesce(passed, F.lit(False))
+    hard = sum(1 << i for i, rule in enumerate(rules) if rule.severity == HARD)
+    missing = sum(1 << i for i in range(len(rules), len(rules) + len(MANDATORY)))
+    return (F.col(FAILED).bitwiseAND(F.lit(hard | missing).cast("long")) == 0) & (
+        F.col(UNKNOWN).bitwiseAND(F.lit(hard).cast("long")) == 0)
 
 
 def split_valid(flagged: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
@@ -137,38 +175,49 @@ def split_valid(flagged: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataF
 
 def rejected_rows(flagged: DataFrame, rules: list[Rule]) -> DataFrame:
     """Rejected rows with ``reasons``: missing columns, failed rules, rules that are unknown."""
-    reasons = [F.when(F.col(c).isNull(), F.lit(line)) for c, line in MANDATORY.items()]
-    for rule in rules:
+    reasons = [F.when(_is_set(FAILED, i), F.lit(line)) for i, line in enumerate(MANDATORY.values(), len(rules))]
+    for i, rule in enumerate(rules):
         if rule.severity == HARD:
             reasons.append(
-                F.when(~F.col(rule.name), F.lit(rule.report_line)).when(
-                    F.col(rule.name).isNull(), F.lit("unknown_" + rule.name.removeprefix("valid_"))
+                F.when(_is_set(FAILED, i), F.lit(rule.report_line)).when(
+                    _is_set(UNKNOWN, i), F.lit("unknown_" + rule.name.removeprefix("valid_"))
                 )
             )
     rejected = split_valid(flagged, rules)[1]
     return rejected.withColumn("reasons", F.array_compact(F.array(*reasons)))
 
 
+def count_words(flagged: DataFrame, by: Iterable[str] = PERIOD) -> DataFrame:
+    """Rows ``n`` per period and combination of packed words: few of them, combined before the shuffle."""
+    words = [FAILED, UNKNOWN, *(["malformed_mask"] if "malformed_mask" in flagged.columns else [])]
+    return flagged.groupBy(*by, *words).agg(F.count("*").alias("n"))
+
+
 def count_violations(flagged: DataFrame, rules: list[Rule], by: Iterable[str] = PERIOD) -> DataFrame:
-    """All rule counts in one aggregation, long form: ``*by, section, metric, value``.
+    """All rule counts, long form: ``*by, section, metric, value``.
 
     Sections: ``hard`` (missing and invalid), ``soft``, ``unknown`` (hard rules that are neither
     true nor false, so that rejections reconcile) and ``malformed`` when the mask is present.
     """
+    return _violations(count_words(flagged, by), rules, list(by))
+
+
+def _rows(condition: Column) -> Column:
+    return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0).cast("long"))
+
+
+def _violations(words: DataFrame, rules: list[Rule], by: list[str]) -> DataFrame:
     measures: dict[str, Column] = {}
-    for column, line in MANDATORY.items():
-        measures[f"hard.{line}"] = F.col(column).isNull()
-    for rule in rules:
-        measures[f"{rule.severity}.{rule.report_line}"] = ~F.col(rule.name)
+    for i, line in enumerate(MANDATORY.values(), len(rules)):
+        measures[f"hard.{line}"] = _is_set(FAILED, i)
+    for i, rule in enumerate(rules):
+        measures[f"{rule.severity}.{rule.report_line}"] = _is_set(FAILED, i)
         if rule.severity == HARD:
-            measures["unknown.unknown_" + rule.name.removeprefix("valid_")] = F.col(rule.name).isNull()
-    if "malformed_mask" in flagged.columns:
+            measures["unknown.unknown_" + rule.name.removeprefix("valid_")] = _is_set(UNKNOWN, i)
+    if "malformed_mask" in words.columns:
         for i, column in enumerate(TYPED_COLUMNS):
-            measures[f"malformed.malformed_{column}"] = (
-                F.col("malformed_mask").bitwiseAND(F.lit(1 << i)) != 0
-            )
-    by = list(by)
-    counted = flagged.groupBy(*by).agg(*[F.count_if(c).alias(m) for m, c in measures.items()])
+            measures[f"malformed.malformed_{column}"] = _is_set("malformed_mask", i)
+    counted = words.groupBy(*by).agg(*[_rows(c).alias(m) for m, c in measures.items()])
     return _long(counted, by, list(measures))
 
 
@@ -204,13 +253,15 @@ def row_ledger(
     marked = flagged.withColumn("_ok", all_hard(rules))
     per_key = marked.groupBy(
         *by, "_ok", *[F.when(F.col("_ok"), F.col(k)).alias(k) for k in keys]
-    ).agg(F.count("*").alias("_n"))
-    zero = F.lit(0).cast("long")
+    ).agg(F.count("*").alias("n"))
     counts = per_key.groupBy(*by).agg(
-        F.coalesce(F.sum("_n"), zero).alias("bronze_rows"),
-        F.coalesce(F.sum(F.when(F.col("_ok"), F.col("_n"))), zero).alias("valid_rows"),
+        _rows(F.lit(True)).alias("bronze_rows"), _rows(F.col("_ok")).alias("valid_rows"),
         F.count_if(F.col("_ok")).alias("silver_rows"),
     )
+    return _ledger(counts, by)
+
+
+def _ledger(counts: DataFrame, by: list[str]) -> DataFrame:
     return counts.withColumns({
         "rejected_by_validation": F.col("bronze_rows") - F.col("valid_rows"),
         "duplicates_removed": F.col("valid_rows") - F.col("silver_rows"),
@@ -218,6 +269,11 @@ def row_ledger(
     }).select(*by, *LEDGER)
 
 
+def _ledger_lines(ledger: DataFrame, by: list[str]) -> DataFrame:
+    named = ledger.withColumnsRenamed({m: f"result.{m}" for m in LEDGER})
+    return _long(named, by, [f"result.{m}" for m in LEDGER])
+
+
 def validation_report(
     flagged: DataFrame, rules: list[Rule], keys: list[str] = S.FLIGHT_BUSINESS_KEY,
     by: Iterable[str] = PERIOD,
@@ -228,12 +284,19 @@ def validation_report(
     it when it is costly.
     """
     by = list(by)
-    ledger = row_ledger(flagged, rules, keys, by).withColumnsRenamed(
-        {m: f"result.{m}" for m in LEDGER}
-    )
     return count_violations(flagged, rules, by).unionByName(
-        _long(ledger, by, [f"result.{m}" for m in LEDGER])
-    )
+        _ledger_lines(row_ledger(flagged, rules, keys, by), by))
+
+
+def report_of_written(words: DataFrame, silver: DataFrame, rules: list[Rule], by: Iterable[str] = PERIOD) -> DataFrame:
+    """The same report after the cleaned rows are written: from the counted words of all rows (see
+    ``count_words``) and the rows of ``silver`` per period. No look at the business key: that of
+    the write's deduplication is the only one."""
+    by = list(by)
+    raw = words.groupBy(*by).agg(_rows(F.lit(True)).alias("bronze_rows"), _rows(all_hard(rules)).alias("valid_rows"))
+    kept = silver.groupBy(*by).agg(F.count("*").alias("silver_rows"))
+    counts = raw.join(kept, by, "left").withColumn("silver_rows", F.coalesce("silver_rows", F.lit(0).cast("long")))
+    return _violations(words, rules, by).unionByName(_ledger_lines(_ledger(counts, by), by))
 
 
 def valid_unique(flagged: DataFrame, rules: list[Rule], keys: list[str] = S.FLIGHT_BUSINESS_KEY) -> DataFrame:

@@ -1,7 +1,8 @@
 """Raw files to cleaned tables.
 
-The raw rows are parsed once: cleaned and flagged rows are written to the shared scratch folder,
-and both the cleaned table and the report are columnar reads of that.
+The raw rows are parsed once: cleaned rows and the packed outcomes of their rules are written to the
+shared scratch folder. The cleaned table is a columnar read of that with one shuffle on the business
+key; the report counts the packed words, and the rows that were written.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from punctua import schemas as S
 from punctua.operators.cleaning import clean_coordinates, clean_flights, clean_lookup, lookup_report
 from punctua.operators.rules import (
-    PERIOD, period_rules, validation_report, valid_unique, with_flags,
+    PERIOD, count_words, period_rules, report_of_written, valid_unique, with_words,
 )
 from punctua.plans.jobs import together
 from punctua.session import tune
@@ -25,8 +26,8 @@ LOOKUP_REPORT = "silver/lookup_report"
 
 
 def flag_flights(raw: DataFrame) -> DataFrame:
-    """Clean all-text rows that carry their filing period and add the rule flags."""
-    return with_flags(clean_flights(raw, keep=PERIOD, malformed=True), period_rules())
+    """Clean all-text rows that carry their filing period and add the rules' packed words."""
+    return with_words(clean_flights(raw, keep=PERIOD, malformed=True), period_rules())
 
 
 def silver_rows(flagged: DataFrame) -> DataFrame:
@@ -48,14 +49,19 @@ def build_silver(raw: DataFrame, root: str, period: tuple[int, int] | None = Non
 
     with Scratch(raw.sparkSession) as scratch:
         flagged = scratch.staged(flag_flights(raw), "flagged")
-        report = validation_report(flagged, period_rules()).withColumnsRenamed(
-            dict(zip(PERIOD, ("year", "month")))
-        ).withColumn("dataset", F.lit("flights"))
+        words = scratch.path("words")
         together(
             raw.sparkSession,
             lambda: write(silver_rows(flagged), FLIGHTS),
-            lambda: write(report, FLIGHT_REPORT),
+            lambda: count_words(flagged).write.parquet(words),
         )
+        # Partition columns only: rows are counted from the files' footers.
+        silver = raw.sparkSession.read.parquet(f"{root}/{FLIGHTS}").select(
+            *[F.col(own).alias(name) for own, name in zip(("year", "month"), PERIOD)])
+        if period is not None:
+            silver = silver.where((F.col(PERIOD[0]) == period[0]) & (F.col(PERIOD[1]) == period[1]))
+        report = report_of_written(raw.sparkSession.read.parquet(words), silver, period_rules())
+        write(report.withColumnsRenamed(dict(zip(PERIOD, ("year", "month")))).withColumn("dataset", F.lit("flights")), FLIGHT_REPORT)
 
 
 def build_silver_month(spark: SparkSession, bronze: str, root: str, year: int, month: int) -> None:

@@ -165,6 +165,40 @@ def test_missing_columns_are_named():
         require_columns([c for c in S.FLIGHT_COLUMNS if c != "FlightDate"], S.FLIGHT_COLUMNS)
 
 
+def test_words_carry_every_outcome(spark):
+    changes = [{}, {"Quarter": None, "Origin": "x"}, {"Dest": None}, {"Distance": 0, "TaxiIn": None}, {"DOT_ID_Reporting_Airline": None}]
+    df, rules = flagged(spark, *changes)
+    names = [rule.name for rule in rules]
+    plain = rows(spark, *changes).withColumns({rule.name: rule.flag() for rule in rules})
+    assert df.select(*names).collect() == plain.select(*names).collect()
+    missing = [row.rule_failed >> len(rules) for row in df.collect()]
+    assert missing == [0, 0, 1 << list(R.MANDATORY).index("Dest"), 0, 1 << list(R.MANDATORY).index("DOT_ID_Reporting_Airline")]
+
+
+def test_report_of_written_rows_is_the_report(spark):
+    changes = [{}, {}, {"Flight_Number_Reporting_Airline": 11}, {"Quarter": None}, {"Cancelled": 2}, {"Month": 5, "Year": None}]
+    rules = R.period_rules()
+    df = R.with_words(rows(spark, *changes).withColumns({"period_year": F.lit(2031), "period_month": F.col("Month").cast("int")}), rules)
+    written = R.report_of_written(R.count_words(df), R.valid_unique(df, rules), rules)
+    assert sorted(written.collect()) == sorted(R.validation_report(df, rules).collect())
+
+
+def exchanges_on_key(df) -> int:
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return sum("Exchange" in line and "Flight_Number_Reporting_Airline" in line for line in plan.splitlines())
+
+
+def test_cleaned_rows_and_report_shuffle_the_business_key_once(spark, tmp_path):
+    rules = R.period_rules()
+    df = R.with_words(rows(spark, {}, {}).withColumns({"period_year": F.lit(2031), "period_month": F.lit(11)}), rules)
+    df.write.parquet(str(tmp_path / "flagged"))
+    stored = spark.read.parquet(str(tmp_path / "flagged"))
+    silver = R.valid_unique(stored, rules)
+    silver.write.parquet(str(tmp_path / "silver"))
+    report = R.report_of_written(R.count_words(stored), spark.read.parquet(str(tmp_path / "silver")), rules)
+    assert (exchanges_on_key(silver), exchanges_on_key(report)) == (1, 0)
+
+
 def test_flags_of_many_periods_at_once(spark):
     df = rows(spark, {}, {"Month": 5, "FlightDate": dt.date(2031, 5, 2)}).withColumns(
         {"period_year": F.lit(2031), "period_month": F.col("Month").cast("int")}
