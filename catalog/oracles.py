@@ -904,6 +904,23 @@ ORACLES["month_build"] = f"{ctes(**_MONTHS_BUILT)} " + " UNION ALL ".join(
     f"SELECT '{d}' AS dataset, k.year, k.month, {_entity(d)} AS entity, {big('k.flights')} AS flights, k.on_time_rate_pct "
     f"FROM {t} k" for d, t in _KPI_SOURCES.items()
 )
+_OLD = {f"old_{t}": text.replace("FROM fact f", "FROM fact_old f") for t, text in (
+    ("kc", AIRLINE_KPI), ("kl", AIRPORT_KPI), ("kr", ROUTE_KPI), ("ks", FLIGHT_KPI))}
+_IN_PERIOD = f"year = {Q.PERIOD[0]} AND month = {Q.PERIOD[1]}"
+
+
+def _seen(phase: str, dataset: str, source: str) -> str:
+    return (f"SELECT '{phase}' AS phase, '{dataset}' AS dataset, year, month, count(*) AS row_count, {big('sum(flights)')} AS flights "
+            f"FROM {source} GROUP BY year, month")
+
+
+ORACLES["publish_month"] = (
+    ctes(**{**WITH_KPIS, "fact_old": "SELECT * FROM fact WHERE airline_id % 2 = 0", **_OLD}) + " UNION ALL ".join(
+        " " + _seen(phase, dataset, source) for dataset, t in _KPI_SOURCES.items() for phase, source in (
+            ("before", f"old_{t}"), ("failed", f"old_{t}"),
+            ("published", f"(SELECT year, month, flights FROM old_{t} WHERE NOT ({_IN_PERIOD}) "
+                          f"UNION ALL SELECT year, month, flights FROM {t} WHERE {_IN_PERIOD})")))
+)
 ORACLES["month_checks"] = (
     f"{ctes(**_MONTHS_BUILT, f=QUALITY['f'], p=QUALITY['p'])} "
     f"SELECT year, month, check_name, error_count FROM ({_SUITE})"

@@ -22,7 +22,7 @@ from punctua.operators.dedup import dedup, duplicate_keys
 from punctua.plans import month as month_plan
 from punctua.plans import silver as silver_plan
 from punctua.session import tune
-from punctua.sources import delimited, files, tables
+from punctua.sources import delimited, files, releases, tables
 from punctua.sources.storage import scratch_path, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -754,6 +754,37 @@ def month_build(spark, sf):
     return rows
 
 
+@query
+def publish_month(spark, sf):
+    """What readers of the four KPI tables see of a month before, after a failed, and after a good release."""
+    root, dims = scratch_path(spark, "gold"), (B.bind(spark, sf, B.DIM_AIRLINE), B.bind(spark, sf, B.DIM_AIRPORT))
+    fact = staged(B.bind(spark, sf, B.FACT), "fact")
+
+    def built(rows):
+        stats = staged(kpi.flight_stats(rows, kpi.FLIGHT_GRAIN), "stats")
+        return {S.KPI_TABLES[d]: tables.evolve(t, S.KPI_SCHEMAS[d]) for d, t in kpi.kpi_tables_from_stats(stats, *dims).items()}
+
+    def seen(phase):
+        rows = None
+        for dataset, table in month_plan.gold_tables(spark, root).items():
+            part = table.groupBy("year", "month").agg(F.count("*").alias("row_count"), F.sum("flights").alias("flights")).select(
+                F.lit(phase).alias("phase"), F.lit(dataset).alias("dataset"), "*")
+            rows = part if rows is None else rows.unionByName(part)
+        return rows
+
+    releases.release(built(fact.where("airline_id % 2 = 0")), root)
+    phases = [seen("before")]
+    new = built(fact)
+    broken = {**new, S.KPI_TABLES["routes"]: new[S.KPI_TABLES["routes"]].withColumn(
+        "flights", F.when(F.col("flights") >= 0, F.raise_error(F.lit("broken on purpose")).cast("long")))}
+    with contextlib.suppress(Exception):
+        releases.release(broken, root, [PERIOD])
+    phases.append(seen("failed"))
+    releases.release(new, root, [PERIOD])
+    phases.append(seen("published"))
+    return phases[0].unionByName(phases[1]).unionByName(phases[2])
+
+
 @query
 def month_checks(spark, sf):
     root = _built_months(spark, sf)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,9 +11,11 @@ from punctua.operators.kpi import (
     FLIGHT_GRAIN, ROUTE_GRAIN, flight_stats, kpi_tables_from_stats, roll_up,
 )
 from punctua.operators.star import build_dim_airline, build_dim_airport, build_fact
-from punctua.plans.jobs import together
+from punctua.sources.concurrent import together
 from punctua.plans.silver import FLIGHTS
+from punctua.plans.steps import Steps
 from punctua.session import tune
+from punctua.sources.releases import read_months, release
 from punctua.sources.storage import Scratch
 from punctua.sources.tables import (
     ensure_table, evolve, merge_snapshot, read_snapshot, replace_period, scan_period, with_period_key,
@@ -32,14 +32,11 @@ def _with_period(fact: DataFrame) -> DataFrame:
 
 
 def ensure_tables(spark: SparkSession, root: str) -> None:
-    """Create the star and KPI tables that do not exist yet, empty."""
+    """Create the star tables that do not exist yet, empty. KPI tables begin with their first release."""
     for path, schema, key in [(DIM_AIRLINE, S.DIM_AIRLINE, "airline_id"), (DIM_AIRPORT, S.DIM_AIRPORT, "airport_id")]:
         if read_snapshot(spark, f"{root}/{path}") is None:
             merge_snapshot(spark, f"{root}/{path}", spark.createDataFrame([], schema), [key])
-    for path, schema in {
-        FACT: S.FACT_FLIGHT, **{f"{GOLD}/{table}": S.KPI_SCHEMAS[d] for d, table in S.KPI_TABLES.items()},
-    }.items():
-        ensure_table(spark, f"{root}/{path}", schema)
+    ensure_table(spark, f"{root}/{FACT}", S.FACT_FLIGHT)
 
 
 def load_star_from(
@@ -96,7 +93,8 @@ def build_gold(
     fact: DataFrame, dim_airline: DataFrame, dim_airport: DataFrame, root: str,
     period: tuple[int, int] | None = None,
 ) -> None:
-    """Replace one month, or every month of ``fact``, in the four KPI tables.
+    """Replace one month, or every month of ``fact``, in the four KPI tables: in all of them at once,
+    or, when a write fails, in none (see ``releases``).
 
     The fact is scanned once: its statistics at flight-number grain and their roll-up to routes are
     written to the scratch folder, which the four tables read and which is then emptied.
@@ -105,17 +103,15 @@ def build_gold(
         stats = scratch.staged(flight_stats(fact, FLIGHT_GRAIN), "stats")
         routes = scratch.staged(roll_up(stats, ROUTE_GRAIN), "routes")
         tables = kpi_tables_from_stats(stats, dim_airline, dim_airport, routes)
-        together(fact.sparkSession, *[
-            partial(_replace, evolve(table, S.KPI_SCHEMAS[dataset]), f"{root}/{S.KPI_TABLES[dataset]}", period)
-            for dataset, table in tables.items()
-        ])
+        release(
+            {S.KPI_TABLES[dataset]: evolve(table, S.KPI_SCHEMAS[dataset]) for dataset, table in tables.items()},
+            root, None if period is None else [period])
 
 
 def gold_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {
-        dataset: spark.read.parquet(f"{root}/{table}").select(*S.KPI_SCHEMAS[dataset].names)
-        for dataset, table in S.KPI_TABLES.items()
-    }
+    """The four KPI tables as published, every month of the same release in all of them."""
+    found = read_months(spark, root, {table: S.KPI_SCHEMAS[dataset] for dataset, table in S.KPI_TABLES.items()})
+    return {dataset: found[table] for dataset, table in S.KPI_TABLES.items()}
 
 
 def check_months(spark: SparkSession, root: str, period: tuple[int, int] | None = None) -> DataFrame:
@@ -138,13 +134,27 @@ def check_months(spark: SparkSession, root: str, period: tuple[int, int] | None
     return stored(CHECKS)
 
 
-def run_month(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:
-    """Star, KPI tables, quality gate and presence check of one month; returns the stored checks."""
-    period = (year, month)
+def run_month(spark: SparkSession, root: str, year: int, month: int, fresh: bool = False) -> DataFrame:
+    """Star, KPI tables, quality gate and presence check of one month; returns the stored checks.
+
+    Steps that are done, from the same input files and with their output in place, are not done again
+    when a run follows a failed one; ``fresh`` does all of them. Checks always run.
+    """
+    period, leaf = (year, month), f"year={year}/month={month}"
     tune(spark)
     ensure_tables(spark, root)
-    load_star(spark, root, year, month)
-    _, dim_airline, dim_airport = star_tables(spark, root)
-    month_fact = scan_period(spark, f"{root}/{FACT}", year, month, "fact")
-    build_gold(month_fact, dim_airline, dim_airport, f"{root}/{GOLD}", period)
+    steps = Steps(spark, f"{root}/steps/{leaf}", fresh)
+    lookups = ("airlines", "airport_ids", "airport_coordinates")
+    steps.run(
+        "star", [f"{root}/{FLIGHTS}/{leaf}", *(f"{root}/silver/{name}/{leaf}" for name in lookups)], [f"{root}/{FACT}/{leaf}"],
+        lambda: load_star(spark, root, year, month))
+
+    def publish() -> None:
+        _, dim_airline, dim_airport = star_tables(spark, root)
+        month_fact = scan_period(spark, f"{root}/{FACT}", year, month, "fact")
+        build_gold(month_fact, dim_airline, dim_airport, f"{root}/{GOLD}", period)
+
+    steps.run(
+        "gold", [f"{root}/{FACT}/{leaf}", f"{root}/{DIM_AIRLINE}", f"{root}/{DIM_AIRPORT}"],
+        [f"{root}/{GOLD}/releases/published/{leaf}"], publish)
     return check_months(spark, root, period)

@@ -15,7 +15,7 @@ from punctua.operators.cleaning import clean_coordinates, clean_flights, clean_l
 from punctua.operators.rules import (
     PERIOD, count_words, period_rules, report_of_written, valid_unique, with_words,
 )
-from punctua.plans.jobs import together
+from punctua.sources.concurrent import together
 from punctua.session import tune
 from punctua.sources.delimited import scan_csv, scan_flight_csv
 from punctua.sources.storage import Scratch

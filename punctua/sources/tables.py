@@ -11,6 +11,7 @@ from pyspark.sql import Window
 
 from punctua.operators.geo import airport_coordinates, route_coordinates
 from punctua.schemas import KPI_SCHEMAS, KPI_TABLES
+from punctua.sources import releases
 from punctua.sources.storage import data_files, has_data, read_if_present, remove, staged
 
 Period = tuple[int, int]
@@ -190,8 +191,8 @@ def load_gold(
     """
     if dataset not in KPI_TABLES:
         raise ValueError(f"no KPI dataset is called {dataset!r}; there are {sorted(KPI_TABLES)}")
-    table = spark.read.parquet(f"{root}/{KPI_TABLES[dataset]}")
-    rows = table.where(period_filter(periods)).select(*KPI_SCHEMAS[dataset].names)
+    table = KPI_TABLES[dataset]
+    rows = releases.read_months(spark, root, {table: KPI_SCHEMAS[dataset]}, periods)[table]
     if dim_airport is None or dataset not in ("airports", "routes"):
         return rows
     return (airport_coordinates if dataset == "airports" else route_coordinates)(rows, dim_airport)

@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 from punctua import schemas as S
 from punctua.operators import quality
 from punctua.plans import month, silver
+from punctua.plans.steps import Steps
+from punctua.sources.releases import published
+from punctua.sources.storage import data_files
 
 FLIGHT = {
     "Year": "2026", "Quarter": "2", "Month": "6", "DayofMonth": "15", "DayOfWeek": "1",
@@ -100,6 +103,56 @@ def test_run_month_end_to_end_twice(spark, warehouse):
     assert airports.where("airport_id = 200").first().latitude is None
 
 
+def test_a_run_after_a_failure_resumes(spark, warehouse, monkeypatch):
+    root = warehouse[0]
+    leaf = f"{root}/{month.FACT}/year=2026/month=5"
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    def state():
+        return set(data_files(spark, leaf)), published(spark, f"{root}/{month.GOLD}").get((2026, 5))
+
+    monkeypatch.setattr(month, "build_gold", fail)
+    with pytest.raises(RuntimeError, match="lost"):
+        month.run_month(spark, root, 2026, 5, fresh=True)
+    star, release = state()
+    monkeypatch.undo()
+    month.run_month(spark, root, 2026, 5)
+    resumed = state()
+    assert resumed[0] == star and resumed[1] != release  # the star is not written again, the KPI tables are
+    month.run_month(spark, root, 2026, 5)
+    assert state() == resumed  # nothing left to do
+    silver.build_silver_month(spark, warehouse[1], root, 2026, 5)
+    month.run_month(spark, root, 2026, 5)
+    again = state()
+    assert not again[0] & star and again[1] > resumed[1]  # new input, all steps
+    month.run_month(spark, root, 2026, 5, fresh=True)
+    assert not state()[0] & again[0]
+
+
+def test_a_record_cut_short_counts_as_none(spark, tmp_path):
+    (tmp_path / "in").mkdir(), (tmp_path / "out").mkdir()
+    (tmp_path / "in" / "a").write_text("a")
+    runs = []
+
+    def job():
+        runs.append(1)
+        (tmp_path / "out" / "b").write_text(str(len(runs)))
+
+    def step():
+        return Steps(spark, str(tmp_path / "steps")).run("one", [str(tmp_path / "in")], [str(tmp_path / "out")], job)
+
+    assert (step(), step()) == (True, False)
+    (tmp_path / "steps" / "one.json").write_text('{"inputs": "')
+    (tmp_path / "steps" / ".one.json.crc").unlink(missing_ok=True)
+    assert (step(), step()) == (True, False)
+    (tmp_path / "out" / "b").unlink()
+    assert (step(), step()) == (True, False)  # the output is gone
+    (tmp_path / "in" / "a").unlink()
+    assert (step(), step()) == (True, True)  # nothing to tell the input by
+
+
 def scratch_folders(spark):
     from punctua.sources import storage
 
