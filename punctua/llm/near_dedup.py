@@ -6,17 +6,20 @@ by one token of the signature; a branch that is still too large branches again b
 a hash of its path, on average 1/similarity of them, which keeps a similar pair together in one
 branch on average. Small branches are compared exhaustively, first by signature, then on the full
 sets; independent trees repeat this until the miss probability of a pair at the threshold is below
-``MISS``. Equal branches of different trees are compared once.
+``MISS``, where branches are small at once. Each further level keeps such a pair together with a
+probability of 0.87, so that pairs of documents that share most of their trees with thousands of
+others without being near copies are missed more often: 2e-4 by calculation when all trees go
+through all ``LEVELS``. Equal branches of different trees are compared once.
 
 A branch that stays large (a large group of near copies agrees in almost every token) is dealt into
 blocks that share random pivots: block members that are alike become linked. Members that are then
-outside the branch's largest component are compared with all of its members, block by block. So no
-task holds more than a block, and nothing is left out.
+outside the branch's largest component are compared with all of its members, up to ``MEETING`` of
+either side in a block. So no task holds more than a block, and nothing is left out.
 
 Verified links are reduced to a forest within each block; components come from star contraction.
 
 Defined results: a null, empty or blank text has no shingles and is linked with nothing; fewer than
-five words are one shingle; identical rows share a component; ``component_id`` ignores null ids; an
+five words are one shingle; texts of any length are read whole; identical rows share a component; ``component_id`` ignores null ids; an
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -42,6 +45,8 @@ MISS = 1e-9
 BRANCH = 512
 LEVELS = 4
 PIVOTS = 16
+# Strays and others that meet in a block: 256 bytes each, so a block has 1 MB.
+MEETING = 2048
 _FACTORS = np.random.default_rng(64).integers(0, 2**63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -236,11 +241,11 @@ def _strays(large: DataFrame, parts: DataFrame) -> DataFrame | None:
     ).where("strays > 0")
     if main.isEmpty():
         return None
-    half = BRANCH // 2
     open_ = join_on(named, main, ["key"]).withColumns({
-        "chunks": F.ceil(F.col("strays") / half), "blocks": F.ceil(F.col("n") / half),
-        "chunk": F.pmod(F.xxhash64("uid", F.lit("chunk")), F.ceil(F.col("strays") / half)),
-        "block": F.pmod(F.xxhash64("uid", F.lit("part")), F.ceil(F.col("n") / half)),
+        "chunks": F.ceil(F.col("strays") / MEETING), "blocks": F.ceil(F.col("n") / MEETING),
+    }).withColumns({
+        "chunk": F.pmod(F.xxhash64("uid", F.lit("chunk")), F.col("chunks")),
+        "block": F.pmod(F.xxhash64("uid", F.lit("part")), F.col("blocks")),
     })
     zero = F.lit(0).cast("long")
     strays = open_.where("component <> main").withColumn("block", F.explode(F.sequence(zero, F.col("blocks") - 1)))

@@ -45,6 +45,7 @@ def test_matches_brute_force(spark):
 
 def test_large_group_of_near_copies_is_branched_and_dealt(spark, monkeypatch):
     monkeypatch.setattr(operator, "BRANCH", 16)
+    monkeypatch.setattr(operator, "MEETING", 8)
     monkeypatch.setattr(operator, "PIVOTS", 4)
     rng = random.Random(8)
     text = corpora.prose(rng, 200)
@@ -55,6 +56,7 @@ def test_large_group_of_near_copies_is_branched_and_dealt(spark, monkeypatch):
 
 def test_strays_meet_all_members(spark, monkeypatch):
     monkeypatch.setattr(operator, "BRANCH", 8)
+    monkeypatch.setattr(operator, "MEETING", 4)
     monkeypatch.setattr(operator, "PIVOTS", 0)
     monkeypatch.setattr(operator, "LEVELS", 0)
     rng = random.Random(9)
