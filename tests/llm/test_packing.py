@@ -8,9 +8,7 @@ from tokenizers import Tokenizer
 
 
 def tokenizer():
-    found = Tokenizer.from_file(operator.tokenizer_path())
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(operator.tokenizer_path())
 
 
 def best_fit_decreasing(lengths, capacity):
@@ -25,13 +23,34 @@ def best_fit_decreasing(lengths, capacity):
     return len(rooms), sorted(rooms)
 
 
-def test_ids_of_chunks_are_ids_of_the_text():
+def test_ids_are_those_of_the_tokenizer():
     rng = random.Random(4)
-    ids, whole = operator.ChunkIds(operator.tokenizer_path()), tokenizer()
-    alphabet = ["a", "B", "'s", "é", "日本", " ", "  ", "\n", "\n\n", "\t", " \n ", " ", "\x1c", "\x85", " ", "12", "!", "<|endoftext|>", "　"]
+    ids, whole = operator.TextIds(operator.tokenizer_path()), tokenizer()
+    assert ids.engine is not None
+
+    def same(text):
+        return np.frombuffer(ids.of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+    alphabet = ["a", "B", "'s", "é", "日本", " ", "  ", "\n", "\n\n", "\t", " \n ", "\xa0", "\x1c", "\x85", "12", "!", "<|endoftext|>", "　", "'LL"]
     for _ in range(3000):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 12)))
-        assert np.frombuffer(ids.of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
+        assert same(text), repr(text)
+    assert np.frombuffer(ids.of("a <|endoftext|> b"), "<u4").tolist() == [64, 220, 50256, 275]
+    assert all(same(f"a{chr(c)} {chr(c)}1") for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF and (c < 0x3100 or c % 97 == 0))
+    assert all(same(run * 20_000) for run in ("a", " ", "1", "ab", "\n", "!"))
+
+
+def test_other_tokenizers_are_left_to_the_library(tmp_path):
+    import json
+
+    with open(operator.tokenizer_path(), encoding="utf-8") as file:
+        spec = json.load(file)
+    spec["normalizer"] = {"type": "Lowercase"}
+    path = tmp_path / "lower.json"
+    path.write_text(json.dumps(spec))
+    ids = operator.TextIds(str(path))
+    assert ids.engine is None
+    assert ids.of("The Cat") == operator.TextIds(operator.tokenizer_path()).of("the cat")
 
 
 def test_plan_is_best_fit_decreasing():
