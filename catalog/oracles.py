@@ -195,6 +195,7 @@ SELECT d.airline_id,
 FROM dim d JOIN supplier s ON d.airline_id = s.s_suppkey
 WHERE s.s_acctbal > 0 OR s.s_acctbal < 5000
 """
+ORACLES["upsert_buckets"] = ORACLES["upsert_dim"]
 _FACT_KEY = ", ".join(S.FACT_BUSINESS_KEY)
 ORACLES["surrogate_key"] = f"""
 {ctes(fact=duck(B.FACT))}
@@ -531,6 +532,12 @@ SELECT DISTINCT year, month, {_LABEL},
     year * 100 + month = (SELECT max(year * 100 + month) FROM kc) AS is_default
 FROM kc
 """
+ORACLES["stored_period_catalog"] = f"""
+{ctes(**WITH_AIRLINES, kept=f"SELECT * FROM kc WHERE NOT (year = {Q.PERIOD[0]} AND month = {Q.PERIOD[1]})")}
+SELECT DISTINCT year, month, {_LABEL},
+    year * 100 + month = (SELECT max(year * 100 + month) FROM kept) AS is_default
+FROM kept
+"""
 ORACLES["period_range"] = f"""
 {ctes(**WITH_AIRLINES)}
 SELECT DISTINCT year, month, {_LABEL} FROM kc WHERE year * 100 + month >= {_YEAR * 100 + _MONTH}

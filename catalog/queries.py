@@ -22,7 +22,7 @@ from punctua.operators.dedup import dedup, duplicate_keys
 from punctua.plans import month as month_plan
 from punctua.plans import silver as silver_plan
 from punctua.session import tune
-from punctua.sources import delimited, files, releases, tables
+from punctua.sources import buckets, delimited, files, releases, tables
 from punctua.sources.storage import scratch_path, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -213,9 +213,7 @@ def evolve_schema(spark, sf):
     return old.unionByName(tables.evolve(monthly.where("year > 1998"), S.AIRLINE_KPI))
 
 
-@query
-def upsert_dim(spark, sf):
-    path = scratch_path(spark, "dim")
+def _stale_and_new_airlines(spark, sf):
     dim = B.bind(spark, sf, B.DIM_AIRLINE)
     balance = B.table(spark, sf, "supplier").select(
         F.col("s_suppkey").cast("int").alias("airline_id"), "s_acctbal"
@@ -224,10 +222,23 @@ def upsert_dim(spark, sf):
     stale = ranked.where("s_acctbal < 5000").select(
         "airline_id", F.concat(F.lit("old "), "airline_name").alias("airline_name"), "airline_code"
     )
+    return stale, ranked.where("s_acctbal > 0").drop("s_acctbal")
+
+
+@query
+def upsert_dim(spark, sf):
+    path = scratch_path(spark, "dim")
+    stale, new = _stale_and_new_airlines(spark, sf)
     tables.merge_snapshot(spark, path, stale, ["airline_id"])
-    return tables.merge_snapshot(
-        spark, path, ranked.where("s_acctbal > 0").drop("s_acctbal"), ["airline_id"]
-    )
+    return tables.merge_snapshot(spark, path, new, ["airline_id"])
+
+
+@query
+def upsert_buckets(spark, sf):
+    path = scratch_path(spark, "dim")
+    stale, new = _stale_and_new_airlines(spark, sf)
+    buckets.merge_buckets(spark, path, stale, ["airline_id"])
+    return buckets.merge_buckets(spark, path, new, ["airline_id"])
 
 
 @query
@@ -452,6 +463,16 @@ def resolve_period(spark, sf):
     return periods.resolve_period(_airline_kpi(spark, sf), RUN_DATE)
 
 
+@query
+def stored_period_catalog(spark, sf):
+    """The catalog of a released table of which one month was emptied, from names alone."""
+    root, table = scratch_path(spark, "gold"), S.KPI_TABLES["airlines"]
+    rows = staged(_airline_kpi(spark, sf), "airlines")
+    releases.release({table: rows}, root)
+    releases.release({table: rows.where("false")}, root, [PERIOD])
+    return periods.period_catalog(releases.stored_periods(spark, root, table))
+
+
 # ---- re-aggregation ---------------------------------------------------------------------
 @query
 def aggregate_periods(spark, sf):

@@ -153,3 +153,39 @@ def _read(spark, root, table, schema, chosen, current, wanted) -> DataFrame:
             plain = plain.where(ordinal.isin([y * 100 + m for y, m in wanted]))
         rows = plain if rows is None else rows.unionByName(plain)
     return rows if rows is not None else spark.createDataFrame([], schema)
+
+
+def _has_rows(spark: SparkSession, leaf: str) -> bool:
+    """Whether a file of the folder holds a row, by the row counts of the footers; stops at the first."""
+    path, system = _files(spark, leaf)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for status in system.listStatus(path(leaf)):
+        if status.getPath().getName().startswith(("_", ".")):
+            continue
+        file = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromStatus(status, conf)
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(file)
+        try:
+            if reader.getRecordCount() > 0:
+                return True
+        finally:
+            reader.close()
+    return False
+
+
+def stored_periods(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The months that ``table`` has rows for: ``year, month``, without reading a row.
+
+    Months come from folder names, one list per table: a released month without rows has no folder,
+    and a plain one is looked into by its files' footers.
+    """
+    current = published(spark, root)
+    leaves = set(_names(spark, f"{root}/releases/tables/{table}/release=*/year=*/month=*")) if current else set()
+    found = {
+        _period(path) for path in leaves if current.get(_period(path)) == path.split("/release=")[1].split("/")[0]
+    }
+    for path in _names(spark, f"{root}/{table}/year=*/month=*"):
+        period = _period(path)
+        if period not in current and period not in found and _has_rows(spark, path):
+            found.add(period)
+    schema = T.StructType([T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
+    return spark.createDataFrame(sorted(found), schema)

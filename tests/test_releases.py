@@ -2,8 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from punctua.operators.periods import period_catalog
 from punctua.sources import releases
-from punctua.sources.tables import write_periods
+from punctua.sources.tables import replace_period, write_periods
 
 SCHEMA = T.StructType([T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType()),
                        T.StructField("name", T.StringType()), T.StructField("n", T.LongType())])
@@ -89,3 +90,16 @@ def test_only_files_of_the_wanted_months_are_read(spark, tmp_path):
     releases.release({"one": rows(spark, (2026, 5, "a", 1), (2026, 6, "a", 1))}, root)
     files = releases.read_months(spark, root, {"one": SCHEMA}, [(2026, 6)])["one"].inputFiles()
     assert files and all("month=6" in file for file in files)
+
+
+def test_periods_come_from_names_and_footers(spark, tmp_path):
+    root = str(tmp_path)
+    write_periods(rows(spark, (2026, 3, "plain", 1), (2026, 4, "plain", 1), (2026, 5, "plain", 1)), f"{root}/one")
+    replace_period(rows(spark), f"{root}/one", 2026, 4)
+    releases.release({"one": rows(spark, (2026, 6, "a", 1), (2026, 7, "a", 1))}, root)
+    releases.release({"one": rows(spark)}, root, [(2026, 5), (2026, 7)])
+    found = releases.stored_periods(spark, root, "one")
+    assert [tuple(row) for row in found.collect()] == [(2026, 3), (2026, 6)]
+    plan = period_catalog(found)._jdf.queryExecution().toString()
+    assert "FileScan" not in plan and [row.label for row in period_catalog(found).collect()] == ["2026-06", "2026-03"]
+    assert releases.stored_periods(spark, root, "none").count() == 0
