@@ -11,7 +11,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _roots: dict[str, str] = {}
+_cleanup_lock = threading.Lock()
+_cleanup_users: list[None] = []
+_setting_before: list[str | None] = [None]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -79,8 +83,29 @@ class Scratch:
             remove(self.spark, path)
 
 
+@contextlib.contextmanager
+def _shuffles_end_with_the_job(spark: SparkSession):
+    """Jobs started inside remove their shuffle files when they end, not when the driver happens to
+    collect garbage: what they wrote is all that is read of them later. Threads may share it."""
+    with _cleanup_lock:
+        if not _cleanup_users:
+            _setting_before[0] = spark.conf.get(SHUFFLE_CLEANUP, None)
+            spark.conf.set(SHUFFLE_CLEANUP, "true")
+        _cleanup_users.append(None)
+    try:
+        yield
+    finally:
+        with _cleanup_lock:
+            _cleanup_users.pop()
+            if not _cleanup_users and _setting_before[0] is None:
+                spark.conf.unset(SHUFFLE_CLEANUP)
+            elif not _cleanup_users:
+                spark.conf.set(SHUFFLE_CLEANUP, _setting_before[0])
+
+
 def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
+    with _shuffles_end_with_the_job(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
