@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctua.llm.common import WordHashes, attach, join_on, mixed, staged_rows, utf8, windows
-from punctua.sources.storage import staged
+from punctua.sources.storage import Scratch, staged
 
 WINDOW = 35
 EDGE = 8
@@ -196,30 +196,34 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, edge: int = EDGE) -
     weight = F.least(F.col("copies"), F.lit(2)).cast("int").alias("weight")
     sources = join_on(rows, groups.select("uid", weight), ["uid"])
 
-    occurrences = sources.select("uid", "weight", "part", F.explode(F.arrays_zip("place", "mark", "side")).alias("e")).select(
-        "uid", "weight", "part", "e.*")
-    nodes = occurrences.groupBy("mark").agg(
-        F.sum("weight").alias("n"), F.min("side").alias("least"), F.max("side").alias("most")
-    ).where("n > 1").select("mark", (F.col("least") != F.col("most")).alias("branches"))
-    hits = attach(occurrences.drop("side"), nodes, ["mark"], "inner").groupBy("uid").agg(
-        F.max("weight").alias("weight"), F.collect_list(F.struct("place", "branches")).alias("hits"))
-    hits = join_on(staged(hits, "hits"), rows.select("uid", "doc_id", "raw"), ["uid"])
-    checked = staged(
-        join_on(texts, hits, ["doc_id", "raw"]).select("uid", "weight", "hits", "text").mapInArrow(
-            _second_pass(window, edge),
-            "uid long, weight int, spans array<int>, start array<int>, mark array<long>, check array<long>")
-        .withColumn("part", F.spark_partition_id()), "paths")
-
-    open_ = checked.select("uid", "weight", "part", F.explode(F.arrays_zip("start", "mark", "check")).alias("w")).select(
-        "uid", "weight", "part", "w.*")
-    again = open_.groupBy("mark", "check").agg(F.sum("weight").alias("n")).where("n > 1").select("mark", "check")
-    starts = attach(open_, again, ["mark", "check"], "inner").groupBy("uid").agg(F.collect_set("start").alias("starts"))
-    single = groups.where("copies = 1").select("uid")
-    # A text without copies is one row here, as equal rows are copies.
-    verdict = join_on(
-        join_on(checked.select("uid", "spans"), single, ["uid"]), starts, ["uid"], "left",
-    ).where("size(spans) > 0 OR starts IS NOT NULL")
-    verdict = join_on(staged(verdict, "verdict"), rows.select("uid", "doc_id", "raw"), ["uid"])
+    with Scratch(docs.sparkSession) as scratch:
+        occurrences = sources.select(
+            "uid", "weight", "part", F.explode(F.arrays_zip("place", "mark", "side")).alias("e"),
+        ).select("uid", "weight", "part", "e.*")
+        nodes = occurrences.groupBy("mark").agg(
+            F.sum("weight").alias("n"), F.min("side").alias("least"), F.max("side").alias("most")
+        ).where("n > 1").select("mark", (F.col("least") != F.col("most")).alias("branches"))
+        nodes = scratch.staged(nodes, "repeated")
+        hits = attach(occurrences.drop("side"), nodes, ["mark"], "inner").groupBy("uid").agg(
+            F.max("weight").alias("weight"), F.collect_list(F.struct("place", "branches")).alias("hits"))
+        hits = join_on(scratch.staged(hits, "hits"), rows.select("uid", "doc_id", "raw"), ["uid"])
+        checked = scratch.staged(
+            join_on(texts, hits, ["doc_id", "raw"]).select("uid", "weight", "hits", "text").mapInArrow(
+                _second_pass(window, edge),
+                "uid long, weight int, spans array<int>, start array<int>, mark array<long>, check array<long>")
+            .withColumn("part", F.spark_partition_id()), "paths")
+
+        open_ = checked.select("uid", "weight", "part", F.explode(F.arrays_zip("start", "mark", "check")).alias("w")).select(
+            "uid", "weight", "part", "w.*")
+        again = open_.groupBy("mark", "check").agg(F.sum("weight").alias("n")).where("n > 1").select("mark", "check")
+        starts = attach(open_, again, ["mark", "check"], "inner").groupBy("uid").agg(F.collect_set("start").alias("starts"))
+        single = groups.where("copies = 1").select("uid")
+        # A text without copies is one row here, as equal rows are copies.
+        verdict = join_on(
+            join_on(checked.select("uid", "spans"), single, ["uid"]), starts, ["uid"], "left",
+        ).where("size(spans) > 0 OR starts IS NOT NULL")
+        verdict = staged(verdict, "verdict")
+    verdict = join_on(verdict, rows.select("uid", "doc_id", "raw"), ["uid"])
     cut = join_on(texts, verdict, ["doc_id", "raw"]).select("uid", "spans", "starts", "text").mapInArrow(
         _third_pass(window), "uid long, n_removed long, kept string")
     basis = rows.select("doc_id", "uid", "part", "n_words", "whole", "digest")
