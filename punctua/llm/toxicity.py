@@ -1,20 +1,26 @@
 """Toxicity scores from the nearest labelled examples by exact TF-IDF cosine.
 
 Terms are words (letters only, lower case) and the first letters of longer ones, which catch other
-endings of the same stem. Of the terms of the labelled examples those that mark the toxic class are
-kept; a document's vector holds these terms, weighted by ``1 + ln(count)`` and an inverse document
-frequency counted over all documents. The examples are an inverted index in blocks: each term knows
-its largest weight in every block, so that a query visits blocks in order of their upper bounds and
-stops, with the exact nearest examples, as soon as no block can improve them. Their votes, weighted
-by similarity and drawn toward the rate of examples without any such term, are calibrated by a
-logistic curve that is fitted on the examples themselves, each with its own text left out.
-
-Bounds, the only sampled things here: about ``EXAMPLES`` labelled rows (fewer where there are fewer)
-and at most ``TERMS`` terms, chosen by log-likelihood ratio over distinct example texts.
-
-Defined results: null and empty texts have no terms and get the score of such examples; a document
-with repeated labels counts as toxic if any says so, null labels are ignored; without labelled rows
-of both classes every score is the rate of toxic ones (0 without any); other columns are ignored.
+endings of the same stem. The vocabulary is that of the labelled examples, all of it. A document's
+vector weighs each term by ``1 + ln(count)``, an inverse document frequency counted over all documents,
+and one plus the term's log-likelihood ratio between the two classes of examples: unlike plain TF-IDF,
+in which a few marks drown in hundreds of rare words, this lets texts of like attitude come near
+(figures in the README). The examples are an inverted index in blocks: each term knows its largest
+weight in every block. A query reads the blocks of highest upper bound, then every other block whose
+bound reaches the nearest examples found, so these are exact. Their votes, weighted by similarity and
+drawn toward the rate of toxic examples, are calibrated by a logistic curve that is fitted on the
+examples themselves, each with its own text left out. The odds are then multiplied by ``HARM``, so that
+0.5 is where keeping a toxic text would cost as much as dropping ``HARM`` clean ones.
+
+Bound, the only sampled thing here: about ``EXAMPLES`` labelled rows (fewer where there are fewer).
+All documents are read twice, once for the frequencies, once for the scores; nothing is shuffled but
+one partial count per task and term.
+
+Defined results: null and empty texts have no terms and get the rate of toxic examples without terms, or of
+all, as do texts without a known term; texts of any length are read whole; equal texts have equal scores;
+of equally near examples those first in the index vote; a document with repeated labels counts as toxic
+if any says so, null labels are ignored; without labelled rows of both classes every score is the rate of
+toxic ones (0 without any); an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,22 +29,21 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punctua.llm.common import utf8
-from punctua.sources.storage import staged
 
-EXAMPLES = 20_000
-TERMS = 4096
+EXAMPLES = 4_000
 NEIGHBOURS = 15
 BLOCK = 64
-STEMS = (3, 4, 5, 6, 7)
-LEAST_TEXTS = 4
-LEAST_RATIO = 25.0
+STEM = 5
+FIRST_BLOCKS = 4
 SHRINK = 0.5
+HARM = 3.0
 FOLDS = 5
 SLICE = 200  # texts whose terms a task holds at a time
 
@@ -51,7 +56,7 @@ def terms_of(word: bytes) -> tuple[str, ...]:
     letters = "".join(filter(str.isalpha, word.decode("utf-8", "ignore").lower()))
     if len(letters) < 2:
         return ()
-    return (letters, *(letters[:size] + "-" for size in STEMS if size < len(letters)))
+    return (letters, letters[:STEM] + "-") if len(letters) >= STEM else (letters,)
 
 
 class WordTerms(dict):
@@ -73,24 +78,19 @@ class WordTerms(dict):
         return found
 
     def counted(self, text: bytes) -> Counter:
-        return Counter(term for found in filter(None, map(self.__getitem__, text.split())) for term in found)
+        return Counter(chain.from_iterable(map(self.__getitem__, text.split())))
 
 
-def _counted(numbers: dict[str, int] | None):
-    def run(batches) -> Iterator:
-        import pyarrow as pa
+def _example_terms(batches) -> Iterator:
+    import pyarrow as pa
 
-        words = WordTerms(numbers)
-        kind = pa.string() if numbers is None else pa.int32()
-        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
-            counts = [sorted(words.counted(text).items()) for text in utf8(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in batch.schema.names if n != "text"),
-                 pa.array([[term for term, _ in c] for c in counts], pa.list_(kind)),
-                 pa.array([[n for _, n in c] for c in counts], pa.list_(pa.int32()))],
-                names=[*(n for n in batch.schema.names if n != "text"), "terms", "counts"])
-
-    return run
+    words = WordTerms()
+    for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
+        counts = [sorted(words.counted(text).items()) for text in utf8(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("toxic"), batch.column("raw"), pa.array([[term for term, _ in c] for c in counts], pa.list_(pa.string())),
+             pa.array([[n for _, n in c] for c in counts], pa.list_(pa.int32()))],
+            names=["toxic", "raw", "terms", "counts"])
 
 
 def labelled_sample(labels: DataFrame) -> DataFrame:
@@ -103,82 +103,99 @@ def labelled_sample(labels: DataFrame) -> DataFrame:
     return known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
 
 
-def marking_terms(examples: DataFrame) -> list[str]:
-    """Terms that mark the toxic class, strongest first, over distinct example texts."""
-    distinct = examples.groupBy("raw").agg(F.max("toxic").alias("toxic"), F.first("terms").alias("terms"))
-    sizes = distinct.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    every, toxic = sizes[0], sizes[1]
-    if not 0 < toxic < every:
-        return []
-    stats = distinct.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
-        F.sum("toxic").cast("double").alias("a"), F.count("*").cast("double").alias("n"))
-    rate = toxic / every
-
-    def part(seen: Column, expected: Column) -> Column:
-        return F.when(seen > 0, seen * F.ln(seen / expected)).otherwise(0.0)
-
-    n, a = F.col("n"), F.col("a")
-    ratio = 2 * (part(a, n * rate) + part(n - a, n * (1 - rate)) + part(toxic - a, (every - n) * rate)
-                 + part((every - toxic) - (n - a), (every - n) * (1 - rate)))
-    found = (
-        stats.where(a >= LEAST_TEXTS).where(a > n / 2).withColumn("ratio", ratio).where(F.col("ratio") >= LEAST_RATIO)
-        .orderBy(F.desc("ratio"), "term").limit(TERMS).select("term").collect()
-    )
-    return [row[0] for row in found]
+def class_ratios(rows: list[tuple[int, int, np.ndarray, np.ndarray]], size: int) -> np.ndarray:
+    """Log-likelihood ratio between the classes of examples, of each term of the vocabulary."""
+    toxic = sum(row[1] for row in rows)
+    if not 0 < toxic < len(rows):
+        return np.zeros(size)
+    n = np.bincount(np.concatenate([r[2] for r in rows]), minlength=size).astype(float)
+    a = np.bincount(np.concatenate([r[2] for r in rows if r[1]]), minlength=size).astype(float)
+    rate = toxic / len(rows)
+
+    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0.0)
+
+    rest = len(rows) - n
+    return np.maximum(0.0, 2 * (part(a, n * rate) + part(n - a, n * (1 - rate))
+                                + part(toxic - a, rest * rate) + part(rest - (toxic - a), rest * (1 - rate))))
+
+
+def ragged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of all the ranges ``starts[i]:ends[i]`` in turn, and the range ``i`` of each."""
+    lengths = ends - starts
+    owner = np.repeat(np.arange(len(starts)), lengths)
+    return np.arange(len(owner)) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths), owner
 
 
 @dataclass
 class Examples:
-    """Inverted index of unit example vectors, with block maxima per term."""
+    """Inverted index of unit example vectors: the postings of each term, cut into runs of one block,
+    and the largest weight of each run."""
 
     labels: np.ndarray
     texts: np.ndarray
-    ids: list[np.ndarray]
-    weights: list[np.ndarray]
-    blocks: list[np.ndarray]
-    maxima: list[np.ndarray]
+    ids: np.ndarray  # example and weight of each posting, by term and example
+    weights: np.ndarray
+    runs: np.ndarray  # where the postings of each run begin, and their end
+    blocks: np.ndarray  # block and largest weight of each run
+    maxima: np.ndarray
+    terms: np.ndarray  # where the runs of each term begin, and their end
     idf: np.ndarray
 
     @classmethod
     def build(cls, rows: list[tuple[int, int, list[int], list[int]]], idf: np.ndarray) -> Examples:
-        """``rows``: text hash, label, terms, counts. Alike examples become neighbours in a block."""
-        rows = sorted((r for r in rows if len(r[2])), key=lambda r: (list(r[2]), r[0]))
-        ids: list[list[int]] = [[] for _ in idf]
-        weights: list[list[float]] = [[] for _ in idf]
-        for i, (_, _, terms, counts) in enumerate(rows):
-            for term, weight in zip(terms, unit(terms, counts, idf)):
-                ids[term].append(i)
-                weights[term].append(weight)
-        arrays = [np.array(x, np.int64) for x in ids]
-        values = [np.array(x, float) for x in weights]
-        blocks, maxima = [], []
-        for at, weight in zip(arrays, values):
-            number, first = np.unique(at // BLOCK, return_index=True)
-            blocks.append(number)
-            maxima.append(np.maximum.reduceat(weight, first) if len(at) else weight)
-        return cls(np.array([r[1] for r in rows], float), np.array([r[0] for r in rows], np.int64),
-                   arrays, values, blocks, maxima, idf)
+        """``rows``: text hash, label, terms, counts. Examples of one label with the same heaviest
+        term become neighbours in a block, which keeps the upper bounds near."""
+        found = []
+        for text, label, terms, counts in rows:
+            if len(terms):
+                weight = unit(terms, counts, idf)
+                found.append((label, int(np.asarray(terms)[np.argmax(weight)]), text, np.asarray(terms, np.int64), weight))
+        found.sort(key=lambda r: r[:3])
+        sizes = [len(r[3]) for r in found]
+        term = np.concatenate([np.zeros(0, np.int64), *(r[3] for r in found)])
+        weight = np.concatenate([np.zeros(0), *(r[4] for r in found)])
+        owner = np.repeat(np.arange(len(found)), sizes)
+        order = np.lexsort((owner, term))
+        term, owner, weight = term[order], owner[order], weight[order]
+        block = owner // BLOCK
+        first = np.flatnonzero(np.concatenate(([True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])))[:len(term)])
+        return cls(
+            np.array([r[0] for r in found], float), np.array([r[2] for r in found], np.int64), owner.astype(np.int32), weight,
+            np.append(first, len(term)), block[first], np.maximum.reduceat(weight, first) if len(first) else weight,
+            np.searchsorted(term[first], np.arange(len(idf) + 1)), idf)
 
     def nearest(self, terms, counts, count: int = NEIGHBOURS, without: int | None = None) -> list[tuple[float, int]]:
         """The exact ``count`` best ``(cosine, example)``, ties by example; ``without`` leaves out a text."""
+        terms = np.asarray(terms, int)
         query = unit(terms, counts, self.idf)
-        bounds: dict[int, float] = {}
-        for term, weight in zip(terms, query):
-            for block, most in zip(self.blocks[term].tolist(), (self.maxima[term] * weight).tolist()):
-                bounds[block] = bounds.get(block, 0.0) + most
-        best: list[tuple[float, int]] = []
-        for block, bound in sorted(bounds.items(), key=lambda x: (-x[1], x[0])):
-            if len(best) == count and bound < -best[-1][0] - 1e-12:
-                break
-            scores = np.zeros(BLOCK)
-            for term, weight in zip(terms, query):
-                a, b = np.searchsorted(self.ids[term], (block * BLOCK, (block + 1) * BLOCK))
-                scores[self.ids[term][a:b] - block * BLOCK] += weight * self.weights[term][a:b]
-            found = [(-round(float(scores[i]), 12), block * BLOCK + int(i)) for i in np.flatnonzero(scores)]
+        at, owner = ragged(self.terms[terms], self.terms[terms + 1])
+        if not len(at):
+            return []
+        blocks, weights = self.blocks[at], query[owner]
+        bounds = np.bincount(blocks, weights * self.maxima[at], minlength=-(-len(self.labels) // BLOCK))
+        scores = np.zeros(len(self.labels))
+
+        def read(chosen: np.ndarray) -> None:
+            mine = np.flatnonzero(chosen[blocks])
+            postings, run = ragged(self.runs[at[mine]], self.runs[at[mine] + 1])
+            found = np.bincount(self.ids[postings], self.weights[postings] * weights[mine][run], minlength=len(scores))
+            np.add(scores, found, out=scores)
             if without is not None:
-                found = [x for x in found if self.texts[x[1]] != without]
-            best = sorted(best + found)[:count]
-        return [(-score, i) for score, i in best]
+                scores[self.texts == without] = 0.0
+
+        first = np.zeros(len(bounds), bool)
+        first[np.argsort(-bounds, kind="stable")[:FIRST_BLOCKS]] = True
+        read(first)
+        least = np.partition(scores, -count)[-count] if len(scores) >= count else 0.0
+        rest = ~first & (bounds >= least - 1e-9) & (bounds > 0)
+        if rest.any():
+            read(rest)
+        scores = np.round(scores, 12)
+        least = np.partition(scores, -count)[-count] if len(scores) >= count else 0.0
+        near = np.flatnonzero((scores >= least) & (scores > 0))
+        near = near[np.argsort(-scores[near], kind="stable")][:count]
+        return [(float(scores[i]), int(i)) for i in near]
 
     def vote(self, found: list[tuple[float, int]], prior: float) -> float:
         """Share of toxic neighbours by similarity, drawn toward ``prior`` when all are far."""
@@ -189,7 +206,7 @@ class Examples:
 
 def unit(terms, counts, idf: np.ndarray) -> np.ndarray:
     weights = (1 + np.log(np.asarray(counts, float))) * idf[np.asarray(terms, int)]
-    return weights / np.linalg.norm(weights)
+    return weights / (np.linalg.norm(weights) or 1.0)
 
 
 def logistic_fit(votes: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
@@ -238,30 +255,45 @@ def fit(rows: list[tuple[int, int, list[int], list[int]]], idf: np.ndarray) -> S
         else:
             votes.append(empty)
         truth.append(label)
-    slope, shift = logistic_fit(np.array(votes), np.array(truth, float)) if 0 < sum(truth) < len(truth) else (4.0, 0.0)
+    slope, shift = 4.0, 0.0
+    if 0 < sum(truth) < len(truth):
+        slope, shift = logistic_fit(np.array(votes), np.array(truth, float))
+        shift += math.log(HARM)
     return Scorer(examples, empty, slope, shift)
 
 
-def example_rows(examples: DataFrame, numbers: dict[str, int]) -> list[tuple[int, int, list[int], list[int]]]:
-    """Distinct example texts as ``(text hash, label, terms, counts)`` over the vocabulary. Their
-    number is bounded by ``EXAMPLES``, their length by ``TERMS``."""
-    def numbered(batches) -> Iterator:
+def distinct_examples(texts: DataFrame, labels: DataFrame) -> list[tuple[int, int, list[str], list[int]]]:
+    """Distinct example texts as ``(text hash, label, terms, counts)``: ``EXAMPLES`` bounds their number."""
+    # About EXAMPLES rows of twelve bytes: small whatever the number of labels.
+    chosen = F.broadcast(labelled_sample(labels))
+    found = texts.join(chosen, "doc_id").select("toxic", "raw", "text").mapInArrow(
+        _example_terms, "toxic int, raw long, terms array<string>, counts array<int>")
+    return [tuple(row) for row in found.groupBy("raw").agg(
+        F.max("toxic").alias("toxic"), F.first("terms").alias("terms"), F.first("counts").alias("counts")).orderBy("raw").collect()]
+
+
+def document_frequencies(texts: DataFrame, numbers) -> tuple[np.ndarray, int]:
+    """In how many of all documents each term of the vocabulary occurs, and the number of documents."""
+    def count(batches) -> Iterator:
         import pyarrow as pa
 
+        words = WordTerms(numbers.value)
+        size, rows = len(numbers.value), 0
+        seen = np.zeros(size, np.int64)
         for batch in batches:
-            pairs = [
-                sorted((numbers[term], n) for term, n in zip(terms, counts) if term in numbers)
-                for terms, counts in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist())
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("raw"), batch.column("toxic"), pa.array([[t for t, _ in p] for p in pairs], pa.list_(pa.int32())),
-                 pa.array([[n for _, n in p] for p in pairs], pa.list_(pa.int32()))],
-                names=["raw", "toxic", "terms", "counts"])
+            rows += batch.num_rows
+            for text in utf8(batch.column("text")):
+                found = list(set(chain.from_iterable(map(words.__getitem__, text.split()))))
+                seen[found] += 1
+        kept = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(kept, size), pa.int32()), pa.array(np.append(seen[kept], rows), pa.int64())], names=["term", "n"])
 
-    vectors = examples.mapInArrow(numbered, "raw long, toxic int, terms array<int>, counts array<int>")
-    distinct = vectors.groupBy("raw").agg(
-        F.max("toxic").alias("toxic"), F.first("terms").alias("terms"), F.first("counts").alias("counts"))
-    return [tuple(row) for row in distinct.orderBy("raw").collect()]
+    frequency = np.zeros(len(numbers.value) + 1)
+    counted = texts.select("text").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    for term, n in counted.collect():
+        frequency[term] = n
+    return frequency[:-1], int(frequency[-1])
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -269,45 +301,38 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     ``evidence`` lists the text hashes and cosines of the nearest examples.
     """
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("raw"),
                         F.col("text").cast("string").alias("text"))
-    # About EXAMPLES rows of twelve bytes: small whatever the number of labels.
-    chosen = F.broadcast(labelled_sample(labels))
-    examples = staged(
-        texts.join(chosen, "doc_id").select("toxic", "raw", "text").mapInArrow(
-            _counted(None), "toxic int, raw long, terms array<string>, counts array<int>"), "examples")
-    numbers = {term: i for i, term in enumerate(marking_terms(examples))}
-    vectors = staged(
-        texts.mapInArrow(_counted(numbers), "doc_id long, raw long, terms array<int>, counts array<int>"), "vectors")
-    frequency = np.zeros(len(numbers))
-    total = vectors.count()
-    for term, count in vectors.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
-        frequency[term] = count
-    idf = np.log((1 + total) / (1 + frequency)) + 1
-    rows = example_rows(examples, numbers)
-    model = spark.sparkContext.broadcast(fit(rows, idf))
+    examples = distinct_examples(texts, labels)
+    vocabulary = {term: i for i, term in enumerate(sorted({term for row in examples for term in row[2]}))}
+    rows = [(raw, toxic, np.fromiter((vocabulary[term] for term in terms), np.int64, len(terms)), np.array(counts))
+            for raw, toxic, terms, counts in examples]
+    numbers = context.broadcast(vocabulary)
+    frequency, total = document_frequencies(texts, numbers)
+    weights = (np.log((1 + total) / (1 + frequency)) + 1) * (1 + class_ratios(rows, len(vocabulary)))
+    model = context.broadcast(fit(rows, weights))
 
     def score(batches) -> Iterator:
         import pyarrow as pa
 
-        scorer, seen = model.value, {}
-        for batch in batches:
+        words, scorer, seen = WordTerms(numbers.value), model.value, {}
+        kind = pa.list_(pa.struct([("raw", pa.int64()), ("cosine", pa.float64())]))
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             found = []
-            for terms, counts in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist()):
-                name = (tuple(terms), tuple(counts))
-                if name not in seen:
-                    if len(seen) > 50_000:
+            for raw, text in zip(batch.column("raw").to_pylist(), utf8(batch.column("text"))):
+                if raw not in seen:
+                    if len(seen) > 20_000:
                         seen.clear()
-                    value, near = scorer.score(terms, counts)
-                    seen[name] = value, [{"raw": int(scorer.examples.texts[i]), "cosine": s} for s, i in near]
-                found.append(seen[name])
-            kind = pa.list_(pa.struct([("raw", pa.int64()), ("cosine", pa.float64())]))
+                    counts = words.counted(text)
+                    value, near = scorer.score(*(np.fromiter(part, int, len(counts)) for part in (counts.keys(), counts.values())))
+                    seen[raw] = value, [{"raw": int(scorer.examples.texts[i]), "cosine": s} for s, i in near]
+                found.append(seen[raw])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("raw"), pa.array([s for s, _ in found], pa.float64()),
                  pa.array([e for _, e in found], kind)], names=["doc_id", "raw", "score", "evidence"])
 
-    return vectors.mapInArrow(
+    return texts.mapInArrow(
         score, "doc_id long, raw long, score double, evidence array<struct<raw: long, cosine: double>>"
     ).select("doc_id", "raw", held_out(F.col("doc_id")).alias("held_out"), "score",
              (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
