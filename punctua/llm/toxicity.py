@@ -26,18 +26,17 @@ toxic ones (0 without any); an empty table gives an empty result; other columns
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punctua.llm.common import utf8
+from punctua.sources.storage import Scratch
 
-EXAMPLES = 4_000
+EXAMPLES = 3_000
 NEIGHBOURS = 15
 BLOCK = 64
 STEM = 5
@@ -45,52 +44,57 @@ FIRST_BLOCKS = 4
 SHRINK = 0.5
 HARM = 3.0
 FOLDS = 5
-SLICE = 200  # texts whose terms a task holds at a time
+SLICE = 400  # texts whose words a task holds at a time
 
 
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
-def terms_of(word: bytes) -> tuple[str, ...]:
-    letters = "".join(filter(str.isalpha, word.decode("utf-8", "ignore").lower()))
-    if len(letters) < 2:
-        return ()
-    return (letters, letters[:STEM] + "-") if len(letters) >= STEM else (letters,)
+def terms_of(words) -> tuple:
+    """Two Arrow arrays: the letters of each word and their beginning, null where they are no term."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
+    letters = pc.replace_substring_regex(pc.utf8_lower(words), r"[^\p{L}]+", "")
+    size = pc.utf8_length(letters)
+    mark, empty, none = (pa.scalar(value, letters.type) for value in ("-", "", None))
+    begin = pc.binary_join_element_wise(pc.utf8_slice_codeunits(letters, 0, STEM), mark, empty)
+    return pc.if_else(pc.greater_equal(size, 2), letters, none), pc.if_else(pc.greater_equal(size, STEM), begin, none)
 
-class WordTerms(dict):
-    """The terms of a word, as numbers of a vocabulary if there is one; keeps those seen, bounded."""
 
-    LIMIT = 200_000
+def words_of(column) -> tuple[np.ndarray, np.ndarray, object]:
+    """The distinct words of some texts, and for every word its text and which distinct word it is."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
-    def __init__(self, numbers: dict[str, int] | None = None):
-        super().__init__()
-        self.numbers = numbers
+    texts = column.cast(pa.large_string(), safe=False)
+    try:
+        texts.validate(full=True)
+    except pa.ArrowInvalid:  # bytes that are not UTF-8 are left out
+        texts = pa.array([text.decode("utf-8", "ignore") for text in utf8(column)], pa.large_string())
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    coded = lists.flatten().dictionary_encode()
+    owner = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy())
+    return owner, coded.indices.to_numpy(), coded.dictionary
 
-    def __missing__(self, word: bytes) -> tuple:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        found = terms_of(word)
-        if self.numbers is not None:
-            found = tuple(self.numbers[term] for term in found if term in self.numbers)
-        self[word] = found
-        return found
 
-    def counted(self, text: bytes) -> Counter:
-        return Counter(chain.from_iterable(map(self.__getitem__, text.split())))
+def counted(column, numbers: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, term and count of the terms of a vocabulary in some texts, by text and term."""
+    owner, word, distinct = words_of(column)
+    keys = []
+    for terms in terms_of(distinct):
+        number = np.fromiter((numbers.get(term, -1) for term in terms.to_pylist()), np.int64, len(terms))[word]
+        known = number >= 0
+        keys.append(owner[known] * len(numbers) + number[known])
+    found, count = np.unique(np.concatenate(keys), return_counts=True)
+    return found // max(1, len(numbers)), found % max(1, len(numbers)), count
 
 
-def _example_terms(batches) -> Iterator:
-    import pyarrow as pa
-
-    words = WordTerms()
-    for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
-        counts = [sorted(words.counted(text).items()) for text in utf8(batch.column("text"))]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("toxic"), batch.column("raw"), pa.array([[term for term, _ in c] for c in counts], pa.list_(pa.string())),
-             pa.array([[n for _, n in c] for c in counts], pa.list_(pa.int32()))],
-            names=["toxic", "raw", "terms", "counts"])
+def slices(batches) -> Iterator:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
 
 
 def labelled_sample(labels: DataFrame) -> DataFrame:
@@ -262,14 +266,35 @@ def fit(rows: list[tuple[int, int, list[int], list[int]]], idf: np.ndarray) -> S
     return Scorer(examples, empty, slope, shift)
 
 
-def distinct_examples(texts: DataFrame, labels: DataFrame) -> list[tuple[int, int, list[str], list[int]]]:
-    """Distinct example texts as ``(text hash, label, terms, counts)``: ``EXAMPLES`` bounds their number."""
-    # About EXAMPLES rows of twelve bytes: small whatever the number of labels.
-    chosen = F.broadcast(labelled_sample(labels))
-    found = texts.join(chosen, "doc_id").select("toxic", "raw", "text").mapInArrow(
-        _example_terms, "toxic int, raw long, terms array<string>, counts array<int>")
-    return [tuple(row) for row in found.groupBy("raw").agg(
-        F.max("toxic").alias("toxic"), F.first("terms").alias("terms"), F.first("counts").alias("counts")).orderBy("raw").collect()]
+def vocabulary_of(examples: DataFrame) -> dict[str, int]:
+    """All terms of the examples, numbered; their number is bounded by that of the examples."""
+    def found(batches) -> Iterator:
+        import pyarrow as pa
+
+        for batch in slices(batches):
+            for terms in terms_of(words_of(batch.column("text"))[2]):
+                yield pa.RecordBatch.from_arrays([terms.drop_null().unique().cast(pa.string())], names=["term"])
+
+    terms = examples.select("text").mapInArrow(found, "term string").distinct().toArrow().column("term")
+    return {term: i for i, term in enumerate(sorted(terms.to_pylist()))}
+
+
+def example_rows(examples: DataFrame, numbers) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Example texts as ``(text hash, label, terms, counts)``."""
+    def run(batches) -> Iterator:
+        import pyarrow as pa
+
+        for batch in slices(batches):
+            owner, term, count = counted(batch.column("text"), numbers.value)
+            cuts = pa.array(np.searchsorted(owner, np.arange(batch.num_rows + 1)), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("raw"), batch.column("toxic"), pa.ListArray.from_arrays(cuts, pa.array(term, pa.int32())),
+                 pa.ListArray.from_arrays(cuts, pa.array(count, pa.int32()))], names=["raw", "toxic", "terms", "counts"])
+
+    found = examples.select("raw", "toxic", "text").mapInArrow(
+        run, "raw long, toxic int, terms array<int>, counts array<int>").toArrow().sort_by("raw")
+    return [(raw, toxic, terms.values.to_numpy().astype(np.int64), counts.values.to_numpy()) for raw, toxic, terms, counts in zip(
+        found["raw"].to_pylist(), found["toxic"].to_pylist(), found["terms"], found["counts"])]
 
 
 def document_frequencies(texts: DataFrame, numbers) -> tuple[np.ndarray, int]:
@@ -277,22 +302,18 @@ def document_frequencies(texts: DataFrame, numbers) -> tuple[np.ndarray, int]:
     def count(batches) -> Iterator:
         import pyarrow as pa
 
-        words = WordTerms(numbers.value)
         size, rows = len(numbers.value), 0
         seen = np.zeros(size, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             rows += batch.num_rows
-            for text in utf8(batch.column("text")):
-                found = list(set(chain.from_iterable(map(words.__getitem__, text.split()))))
-                seen[found] += 1
+            seen += np.bincount(counted(batch.column("text"), numbers.value)[1], minlength=size)[:size]
         kept = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(kept, size), pa.int32()), pa.array(np.append(seen[kept], rows), pa.int64())], names=["term", "n"])
 
+    counts = texts.select("text").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     frequency = np.zeros(len(numbers.value) + 1)
-    counted = texts.select("text").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    for term, n in counted.collect():
-        frequency[term] = n
+    frequency[counts["term"].to_numpy()] = counts["n"].to_numpy()
     return frequency[:-1], int(frequency[-1])
 
 
@@ -304,11 +325,14 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     context = docs.sparkSession.sparkContext
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("raw"),
                         F.col("text").cast("string").alias("text"))
-    examples = distinct_examples(texts, labels)
-    vocabulary = {term: i for i, term in enumerate(sorted({term for row in examples for term in row[2]}))}
-    rows = [(raw, toxic, np.fromiter((vocabulary[term] for term in terms), np.int64, len(terms)), np.array(counts))
-            for raw, toxic, terms, counts in examples]
-    numbers = context.broadcast(vocabulary)
+    # About EXAMPLES rows of twelve bytes: small whatever the number of labels.
+    chosen = F.broadcast(labelled_sample(labels))
+    with Scratch(docs.sparkSession) as scratch:
+        examples = scratch.staged(
+            texts.join(chosen, "doc_id").groupBy("raw").agg(F.max("toxic").alias("toxic"), F.first("text").alias("text")), "examples")
+        vocabulary = vocabulary_of(examples)
+        numbers = context.broadcast(vocabulary)
+        rows = example_rows(examples, numbers)
     frequency, total = document_frequencies(texts, numbers)
     weights = (np.log((1 + total) / (1 + frequency)) + 1) * (1 + class_ratios(rows, len(vocabulary)))
     model = context.broadcast(fit(rows, weights))
@@ -316,18 +340,19 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def score(batches) -> Iterator:
         import pyarrow as pa
 
-        words, scorer, seen = WordTerms(numbers.value), model.value, {}
+        scorer, seen = model.value, {}
         kind = pa.list_(pa.struct([("raw", pa.int64()), ("cosine", pa.float64())]))
-        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
-            found = []
-            for raw, text in zip(batch.column("raw").to_pylist(), utf8(batch.column("text"))):
+        for batch in slices(batches):
+            if len(seen) > 20_000:
+                seen.clear()
+            raws = batch.column("raw").to_pylist()
+            owner, term, count = counted(batch.column("text"), numbers.value)
+            cuts = np.searchsorted(owner, np.arange(len(raws) + 1))
+            for raw, a, b in zip(raws, cuts[:-1], cuts[1:]):
                 if raw not in seen:
-                    if len(seen) > 20_000:
-                        seen.clear()
-                    counts = words.counted(text)
-                    value, near = scorer.score(*(np.fromiter(part, int, len(counts)) for part in (counts.keys(), counts.values())))
+                    value, near = scorer.score(term[a:b], count[a:b])
                     seen[raw] = value, [{"raw": int(scorer.examples.texts[i]), "cosine": s} for s, i in near]
-                found.append(seen[raw])
+            found = [seen[raw] for raw in raws]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("raw"), pa.array([s for s, _ in found], pa.float64()),
                  pa.array([e for _, e in found], kind)], names=["doc_id", "raw", "score", "evidence"])
