@@ -96,4 +96,4 @@ def test_run_on_empty_tables(spark, tmp_path):
 
 def test_one_query_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in registry.QUERIES)
-    assert numbers == list(range(1, 11)) and set(registry.ORACLES) <= set(registry.QUERIES)
+    assert numbers == list(range(1, 14)) and set(registry.ORACLES) <= set(registry.QUERIES)
