@@ -6,8 +6,10 @@ vector weighs each term by ``1 + ln(count)``, an inverse document frequency coun
 and one plus the term's log-likelihood ratio between the two classes of examples: unlike plain TF-IDF,
 in which a few marks drown in hundreds of rare words, this lets texts of like attitude come near
 (figures in the README). The examples are an inverted index in blocks: each term knows its largest
-weight in every block. A query reads the blocks of highest upper bound, then every other block whose
-bound reaches the nearest examples found, so these are exact. Their votes, weighted by similarity and
+weight in every block. The lists of common terms are kept dense, as one matrix, and their share of the
+cosines comes from one product for a batch of queries; with it and the largest weights of the other terms, a query
+reads the blocks of highest upper bound, then every other block whose bound reaches the nearest examples found, so
+these are exact. Their votes, weighted by similarity and
 drawn toward the rate of toxic examples, are calibrated by a logistic curve that is fitted on the
 examples themselves, each with its own text left out. The odds are then multiplied by ``HARM``, so that
 0.5 is where keeping a toxic text would cost as much as dropping ``HARM`` clean ones.
@@ -41,6 +43,8 @@ NEIGHBOURS = 15
 BLOCK = 64
 STEM = 5
 FIRST_BLOCKS = 4
+COMMON = 10  # a term in more than one of so many examples is common
+QUERIES = 64  # of a product; always as many, so that equal texts meet the same arithmetic
 SHRINK = 0.5
 HARM = 3.0
 FOLDS = 5
@@ -56,7 +60,9 @@ def terms_of(words) -> tuple:
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    letters = pc.replace_substring_regex(pc.utf8_lower(words), r"[^\p{L}]+", "")
+    letters = pc.utf8_lower(words)
+    mixed = pc.invert(pc.utf8_is_alpha(letters))
+    letters = pc.replace_with_mask(letters, mixed, pc.replace_substring_regex(letters.filter(mixed), r"[^\p{L}]+", ""))
     size = pc.utf8_length(letters)
     mark, empty, none = (pa.scalar(value, letters.type) for value in ("-", "", None))
     begin = pc.binary_join_element_wise(pc.utf8_slice_codeunits(letters, 0, STEM), mark, empty)
@@ -79,16 +85,16 @@ def words_of(column) -> tuple[np.ndarray, np.ndarray, object]:
     return owner, coded.indices.to_numpy(), coded.dictionary
 
 
-def counted(column, numbers: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text, term and count of the terms of a vocabulary in some texts, by text and term."""
+def counted(column, vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, term and count of the terms of a vocabulary (an Arrow array) in some texts, by text and term."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
     owner, word, distinct = words_of(column)
-    keys = []
-    for terms in terms_of(distinct):
-        number = np.fromiter((numbers.get(term, -1) for term in terms.to_pylist()), np.int64, len(terms))[word]
-        known = number >= 0
-        keys.append(owner[known] * len(numbers) + number[known])
-    found, count = np.unique(np.concatenate(keys), return_counts=True)
-    return found // max(1, len(numbers)), found % max(1, len(numbers)), count
+    size, terms = max(1, len(vocabulary)), pa.concat_arrays(terms_of(distinct))
+    number = pc.fill_null(pc.index_in(terms, value_set=vocabulary), -1).to_numpy().astype(np.int64).reshape(2, -1)[:, word]
+    found, count = np.unique((owner * size + number)[number >= 0], return_counts=True)
+    return found // size, found % size, count
 
 
 def slices(batches) -> Iterator:
@@ -125,16 +131,18 @@ def class_ratios(rows: list[tuple[int, int, np.ndarray, np.ndarray]], size: int)
 
 
 def ragged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of all the ranges ``starts[i]:ends[i]`` in turn, and the range ``i`` of each."""
+    """Positions of all the ranges ``starts[i]:ends[i]`` in turn, and the length of each range."""
     lengths = ends - starts
-    owner = np.repeat(np.arange(len(starts)), lengths)
-    return np.arange(len(owner)) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths), owner
+    reached = np.cumsum(lengths)
+    positions = np.repeat(starts - reached + lengths, lengths)
+    positions += np.arange(len(positions))
+    return positions, lengths
 
 
 @dataclass
 class Examples:
     """Inverted index of unit example vectors: the postings of each term, cut into runs of one block,
-    and the largest weight of each run."""
+    and the largest weight of each run; those of common terms as rows of a matrix."""
 
     labels: np.ndarray
     texts: np.ndarray
@@ -145,6 +153,8 @@ class Examples:
     maxima: np.ndarray
     terms: np.ndarray  # where the runs of each term begin, and their end
     idf: np.ndarray
+    common: np.ndarray  # row of each term in ``dense``, -1 for the others
+    dense: np.ndarray  # weights of the common terms in all examples
 
     @classmethod
     def build(cls, rows: list[tuple[int, int, list[int], list[int]]], idf: np.ndarray) -> Examples:
@@ -162,28 +172,50 @@ class Examples:
         owner = np.repeat(np.arange(len(found)), sizes)
         order = np.lexsort((owner, term))
         term, owner, weight = term[order], owner[order], weight[order]
+        often = np.flatnonzero(np.bincount(term, minlength=len(idf)) * COMMON > len(found))
+        common = np.full(len(idf), -1)
+        common[often] = np.arange(len(often))
+        dense, inside = np.zeros((len(often), len(found))), common[term] >= 0
+        dense[common[term[inside]], owner[inside]] = weight[inside]
+        term, owner, weight = term[~inside], owner[~inside], weight[~inside]
         block = owner // BLOCK
         first = np.flatnonzero(np.concatenate(([True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])))[:len(term)])
         return cls(
-            np.array([r[0] for r in found], float), np.array([r[2] for r in found], np.int64), owner.astype(np.int32), weight,
+            np.array([r[0] for r in found], float), np.array([r[2] for r in found], np.int64), owner, weight,
             np.append(first, len(term)), block[first], np.maximum.reduceat(weight, first) if len(first) else weight,
-            np.searchsorted(term[first], np.arange(len(idf) + 1)), idf)
-
-    def nearest(self, terms, counts, count: int = NEIGHBOURS, without: int | None = None) -> list[tuple[float, int]]:
-        """The exact ``count`` best ``(cosine, example)``, ties by example; ``without`` leaves out a text."""
-        terms = np.asarray(terms, int)
-        query = unit(terms, counts, self.idf)
-        at, owner = ragged(self.terms[terms], self.terms[terms + 1])
-        if not len(at):
+            np.searchsorted(term[first], np.arange(len(idf) + 1)), idf, common, dense)
+
+    def common_parts(self, queries: list[tuple]) -> np.ndarray:
+        """For up to ``QUERIES`` pairs of terms and counts, the share of common terms in all cosines."""
+        table = np.zeros((QUERIES, len(self.dense)))
+        for line, (terms, counts) in zip(table, queries):
+            row = self.common[np.asarray(terms, int)]
+            line[row[row >= 0]] = unit(terms, counts, self.idf)[row >= 0]
+        return (table @ self.dense)[:len(queries)]
+
+    def nearest(
+        self, terms, counts, count: int = NEIGHBOURS, without: int | None = None, part: np.ndarray | None = None,
+    ) -> list[tuple[float, int]]:
+        """The exact ``count`` best ``(cosine, example)``, ties by example; ``without`` leaves out a text,
+        ``part`` is the query's line of ``common_parts``."""
+        if not len(self.labels):
             return []
-        blocks, weights = self.blocks[at], query[owner]
-        bounds = np.bincount(blocks, weights * self.maxima[at], minlength=-(-len(self.labels) // BLOCK))
-        scores = np.zeros(len(self.labels))
+        terms = np.asarray(terms, int)
+        scores = (self.common_parts([(terms, counts)])[0] if part is None else part).copy()
+        other = self.common[terms] < 0
+        query, terms = unit(terms, counts, self.idf)[other], terms[other]
+        at, lengths = ragged(self.terms[terms], self.terms[terms + 1])
+        blocks, weights = self.blocks[at], np.repeat(query, lengths)
+        starts = np.arange(0, len(scores), BLOCK)
+        bounds = np.maximum.reduceat(scores, starts) + np.bincount(blocks, weights * self.maxima[at], minlength=len(starts))
 
         def read(chosen: np.ndarray) -> None:
             mine = np.flatnonzero(chosen[blocks])
-            postings, run = ragged(self.runs[at[mine]], self.runs[at[mine] + 1])
-            found = np.bincount(self.ids[postings], self.weights[postings] * weights[mine][run], minlength=len(scores))
+            run = at[mine]
+            postings, lengths = ragged(self.runs[run], self.runs[run + 1])
+            values = np.repeat(weights[mine], lengths)
+            values *= self.weights[postings]
+            found = np.bincount(self.ids[postings], values, minlength=len(scores))
             np.add(scores, found, out=scores)
             if without is not None:
                 scores[self.texts == without] = 0.0
@@ -191,6 +223,7 @@ class Examples:
         first = np.zeros(len(bounds), bool)
         first[np.argsort(-bounds, kind="stable")[:FIRST_BLOCKS]] = True
         read(first)
+        # What unread blocks have so far is never above their cosines, so the least can only be too low.
         least = np.partition(scores, -count)[-count] if len(scores) >= count else 0.0
         rest = ~first & (bounds >= least - 1e-9) & (bounds > 0)
         if rest.any():
@@ -237,13 +270,15 @@ class Scorer:
     slope: float
     shift: float
 
-    def score(self, terms, counts) -> tuple[float, list[tuple[float, int]]]:
-        """Calibrated score and the nearest examples as its evidence."""
-        found = self.examples.nearest(terms, counts) if len(terms) else []
-        if not found:
-            return self.empty, []
-        vote = self.examples.vote(found, self.empty)
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * (vote - 0.5) + self.shift)))), found
+    def scores(self, queries: list[tuple]) -> Iterator[tuple[float, list[tuple[float, int]]]]:
+        """Calibrated score and the nearest examples as its evidence, for each pair of terms and counts."""
+        for at in range(0, len(queries), QUERIES):
+            batch = queries[at:at + QUERIES]
+            for (terms, counts), part in zip(batch, self.examples.common_parts(batch)):
+                found = self.examples.nearest(terms, counts, part=part) if len(terms) else []
+                vote = self.examples.vote(found, self.empty)
+                fitted = 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * (vote - 0.5) + self.shift))))
+                yield (fitted, found) if found else (self.empty, [])
 
 
 def fit(rows: list[tuple[int, int, list[int], list[int]]], idf: np.ndarray) -> Scorer:
@@ -252,13 +287,12 @@ def fit(rows: list[tuple[int, int, list[int], list[int]]], idf: np.ndarray) -> S
     empty = float(bare.mean()) if len(bare) else (float(labels.mean()) if len(labels) else 0.0)
     examples = Examples.build(rows, idf)
     votes, truth = [], []
-    for text, label, terms, counts in rows:
-        if len(terms):
-            found = examples.nearest(terms, counts, without=text)
+    for at in range(0, len(rows), QUERIES):
+        batch = rows[at:at + QUERIES]
+        for (text, label, terms, counts), part in zip(batch, examples.common_parts([r[2:] for r in batch])):
+            found = examples.nearest(terms, counts, without=text, part=part) if len(terms) else []
             votes.append(examples.vote(found, empty) if found else empty)
-        else:
-            votes.append(empty)
-        truth.append(label)
+            truth.append(label)
     slope, shift = 4.0, 0.0
     if 0 < sum(truth) < len(truth):
         slope, shift = logistic_fit(np.array(votes), np.array(truth, float))
@@ -266,26 +300,27 @@ def fit(rows: list[tuple[int, int, list[int], list[int]]], idf: np.ndarray) -> S
     return Scorer(examples, empty, slope, shift)
 
 
-def vocabulary_of(examples: DataFrame) -> dict[str, int]:
-    """All terms of the examples, numbered; their number is bounded by that of the examples."""
-    def found(batches) -> Iterator:
-        import pyarrow as pa
+def vocabulary_of(examples: DataFrame):
+    """All terms of the examples in order, an Arrow array; their number is bounded by that of the examples."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
+    def found(batches) -> Iterator:
         for batch in slices(batches):
             for terms in terms_of(words_of(batch.column("text"))[2]):
                 yield pa.RecordBatch.from_arrays([terms.drop_null().unique().cast(pa.string())], names=["term"])
 
-    terms = examples.select("text").mapInArrow(found, "term string").distinct().toArrow().column("term")
-    return {term: i for i, term in enumerate(sorted(terms.to_pylist()))}
+    terms = examples.select("text").mapInArrow(found, "term string").distinct().toArrow().column("term").cast(pa.large_string())
+    return pa.concat_arrays([pa.array([], pa.large_string()), *terms.take(pc.sort_indices(terms)).chunks])
 
 
-def example_rows(examples: DataFrame, numbers) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+def example_rows(examples: DataFrame, vocabulary) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
     """Example texts as ``(text hash, label, terms, counts)``."""
     def run(batches) -> Iterator:
         import pyarrow as pa
 
         for batch in slices(batches):
-            owner, term, count = counted(batch.column("text"), numbers.value)
+            owner, term, count = counted(batch.column("text"), vocabulary.value)
             cuts = pa.array(np.searchsorted(owner, np.arange(batch.num_rows + 1)), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("raw"), batch.column("toxic"), pa.ListArray.from_arrays(cuts, pa.array(term, pa.int32())),
@@ -297,22 +332,22 @@ def example_rows(examples: DataFrame, numbers) -> list[tuple[int, int, np.ndarra
         found["raw"].to_pylist(), found["toxic"].to_pylist(), found["terms"], found["counts"])]
 
 
-def document_frequencies(texts: DataFrame, numbers) -> tuple[np.ndarray, int]:
+def document_frequencies(texts: DataFrame, vocabulary) -> tuple[np.ndarray, int]:
     """In how many of all documents each term of the vocabulary occurs, and the number of documents."""
     def count(batches) -> Iterator:
         import pyarrow as pa
 
-        size, rows = len(numbers.value), 0
+        size, rows = len(vocabulary.value), 0
         seen = np.zeros(size, np.int64)
         for batch in slices(batches):
             rows += batch.num_rows
-            seen += np.bincount(counted(batch.column("text"), numbers.value)[1], minlength=size)[:size]
+            seen += np.bincount(counted(batch.column("text"), vocabulary.value)[1], minlength=size)[:size]
         kept = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(kept, size), pa.int32()), pa.array(np.append(seen[kept], rows), pa.int64())], names=["term", "n"])
 
     counts = texts.select("text").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    frequency = np.zeros(len(numbers.value) + 1)
+    frequency = np.zeros(len(vocabulary.value) + 1)
     frequency[counts["term"].to_numpy()] = counts["n"].to_numpy()
     return frequency[:-1], int(frequency[-1])
 
@@ -330,11 +365,10 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     with Scratch(docs.sparkSession) as scratch:
         examples = scratch.staged(
             texts.join(chosen, "doc_id").groupBy("raw").agg(F.max("toxic").alias("toxic"), F.first("text").alias("text")), "examples")
-        vocabulary = vocabulary_of(examples)
-        numbers = context.broadcast(vocabulary)
-        rows = example_rows(examples, numbers)
-    frequency, total = document_frequencies(texts, numbers)
-    weights = (np.log((1 + total) / (1 + frequency)) + 1) * (1 + class_ratios(rows, len(vocabulary)))
+        vocabulary = context.broadcast(vocabulary_of(examples))
+        rows = example_rows(examples, vocabulary)
+    frequency, total = document_frequencies(texts, vocabulary)
+    weights = (np.log((1 + total) / (1 + frequency)) + 1) * (1 + class_ratios(rows, len(frequency)))
     model = context.broadcast(fit(rows, weights))
 
     def score(batches) -> Iterator:
@@ -346,12 +380,12 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
             if len(seen) > 20_000:
                 seen.clear()
             raws = batch.column("raw").to_pylist()
-            owner, term, count = counted(batch.column("text"), numbers.value)
+            owner, term, count = counted(batch.column("text"), vocabulary.value)
             cuts = np.searchsorted(owner, np.arange(len(raws) + 1))
-            for raw, a, b in zip(raws, cuts[:-1], cuts[1:]):
-                if raw not in seen:
-                    value, near = scorer.score(term[a:b], count[a:b])
-                    seen[raw] = value, [{"raw": int(scorer.examples.texts[i]), "cosine": s} for s, i in near]
+            new = {raw: slice(a, b) for raw, a, b in zip(raws, cuts[:-1], cuts[1:]) if raw not in seen}
+            results = scorer.scores([(term[place], count[place]) for place in new.values()])
+            for raw, (value, near) in zip(new, results):
+                seen[raw] = value, [{"raw": int(scorer.examples.texts[i]), "cosine": s} for s, i in near]
             found = [seen[raw] for raw in raws]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("raw"), pa.array([s for s, _ in found], pa.float64()),
