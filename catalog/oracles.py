@@ -6,6 +6,8 @@ aggregate the rows, where the Spark operators aggregate first; rounding is integ
 
 from __future__ import annotations
 
+import re
+
 from catalog import bindings as B
 from catalog import queries as Q
 from punctua import schemas as S
@@ -598,6 +600,16 @@ ORACLES["weighted_average"] = f"{ctes(**WITH_AIRLINES)} SELECT " + ", ".join(
 ) + " FROM kc"
 
 
+_SERIAL = "year * 12 + month - 1"
+_MONTHS = f"SELECT unnest(range(min({_SERIAL}), max({_SERIAL}) + 1)) AS at FROM kc"
+_RANGED = (f"(SELECT kc.*, {big('r.first * 100000 + r.last')} AS range_id "
+           f"FROM kc JOIN r ON {_SERIAL} BETWEEN r.first AND r.last)")
+ORACLES["range_kpi"] = (
+    ctes(**WITH_AIRLINES, m=_MONTHS, r='SELECT a.at AS "first", b.at AS "last" FROM m a JOIN m b ON a.at <= b.at')
+    + " " + combine(_RANGED.replace("r.first", 'r."first"').replace("r.last", 'r."last"'), ["range_id", *Q.AIRLINE_GROUP], Q.AIRLINE_MEASURES)
+)
+
+
 def millionths(value: str) -> str:
     return f"sum(CAST({value} AS DECIMAL(38, 6)))"
 
@@ -889,6 +901,49 @@ ORACLES["presence_check"] = f"{ctes(**QUALITY)} SELECT *, row_count > 0 AS prese
     for name, t in _TABLES.items()
 ) + ")"
 
+
+
+def _of_fact(ids: list[str]) -> str:
+    columns = ", ".join(f"f.{i}" for i in ids)
+    return f"SELECT {YEAR}, {MONTH}, {columns}, count(*) AS flights, {RATE_COLUMNS} FROM fact f GROUP BY ALL"
+
+
+def _planted(dataset: str, columns: list[str]) -> str:
+    """The columns of a KPI table with the differences that the query sets into it."""
+    out = {c: c for c in columns}
+    for table, column, by, where in Q.PLANTED:
+        if table == dataset:
+            out[column] = f"CASE WHEN {where} THEN {out[column]} + {by} ELSE {out[column]} END"
+    gap = f"WHERE NOT ({Q.PLANTED_GAP})" if dataset == "routes" else ""
+    return f"SELECT year, month, {', '.join(f'{v} AS {c}' for c, v in out.items())} FROM {_KPI_SOURCES[dataset]} {gap}"
+
+
+_FACT_ENDS = re.sub(r", a\.[a-z_]+|JOIN dim_airport a ON f\.[a-z_]+ = a\.[a-z_]+", "", AIRPORT_KPI)
+_CHECKED_RATES = ["on_time_rate_pct", "cancellation_rate_pct", "diversion_rate_pct"]
+_CHECKED = ["flights", "dep_delay_flights", "dep_delay_sum_minutes", "arr_delay_flights", "arr_delay_sum_minutes", *_CHECKED_RATES]
+_CHECKED_ENDS = ["airport_id", "operation", "flights", "delay_flights", "delay_sum_minutes", *_CHECKED_RATES]
+_CHECKSUM_SIDES = {
+    "airline_checksum": ("airlines", ["airline_id", *_CHECKED], _of_fact(["airline_id"]), "true"),
+    "departure_checksum": ("airports", _CHECKED_ENDS, _FACT_ENDS, "operation = 'DEP'"),
+    "arrival_checksum": ("airports", _CHECKED_ENDS, _FACT_ENDS, "operation = 'ARR'"),
+    "route_checksum": ("routes", ["origin_airport_id", "dest_airport_id", *_CHECKED], _of_fact(["origin_airport_id", "dest_airport_id"]), "true"),
+    "flight_checksum": ("flights", [*Q.ENTITY_IDS["flights"], *_CHECKED], _of_fact(Q.ENTITY_IDS["flights"]), "true"),
+}
+
+
+def _checksum(check: str, dataset: str, columns: list[str], fact: str, where: str) -> str:
+    listed = ", ".join(columns)
+    return (
+        f"SELECT year, month, '{check}' AS check_name, {big("CASE WHEN bool_and(n = 0) THEN 0 ELSE greatest(1, abs(sum(n * flights))) END")} "
+        f"AS error_count FROM (SELECT year, month, {listed}, sum(side) AS n FROM (SELECT year, month, {listed}, 1 AS side FROM ({fact}) "
+        f"UNION ALL SELECT year, month, {listed}, -1 FROM ({_planted(dataset, columns)})) WHERE {where} GROUP BY year, month, {listed}) "
+        "WHERE year IS NOT NULL GROUP BY year, month"
+    )
+
+
+ORACLES["gold_checksums"] = f"{ctes(**WITH_KPIS)} " + " UNION ALL ".join(
+    _checksum(check, *sides) for check, sides in _CHECKSUM_SIDES.items())
+
 # ---- whole jobs -------------------------------------------------------------------------
 _SILVER_SOURCE = _first_per(
     S.FLIGHT_BUSINESS_KEY, [*S.FLIGHT_COLUMNS, "period_year", "period_month"], "flagged", _PASSED

@@ -14,7 +14,7 @@ from catalog import bindings as B
 from punctua import schemas as S
 from punctua.functions import cells, labels
 from punctua.functions.bands import BANDS, reliability_band
-from punctua.operators import geo, kpi, periods, quality, ranking, reaggregate, rules, star, trend
+from punctua.operators import cumulative, geo, kpi, periods, quality, ranking, reaggregate, reconcile, rules, star, trend
 from punctua.operators.cleaning import (
     clean_coordinates, clean_flights, clean_lookup, column_presence, lookup_report,
 )
@@ -479,6 +479,14 @@ def aggregate_periods(spark, sf):
     return _routes(spark, sf)
 
 
+@query
+def range_kpi(spark, sf):
+    """Every range of months, from the running sums at its two ends."""
+    monthly = staged(_airline_kpi(spark, sf), "monthly")
+    stored = staged(cumulative.snapshots(monthly, AIRLINE_GROUP, AIRLINE_MEASURES), "snapshots")
+    return cumulative.ranges_kpi(stored, cumulative.all_ranges(monthly), AIRLINE_GROUP, AIRLINE_MEASURES)
+
+
 @query
 def weighted_average(spark, sf):
     return reaggregate.weighted_average(_airline_kpi(spark, sf), AIRLINE_MEASURES)
@@ -694,6 +702,16 @@ def geo_points(spark, sf):
 
 
 # ---- quality ----------------------------------------------------------------------------
+# Differences set into the KPI tables, which the checksums must find: table, column, what is added, and where.
+PLANTED = [
+    ("airlines", "flights", 1, "month = 2 AND airline_id % 7 = 0"),
+    ("airports", "delay_sum_minutes", 1, "month = 3 AND operation = 'DEP' AND airport_id % 5 = 0"),
+    ("airports", "on_time_rate_pct", 1.0, "month = 4 AND operation = 'ARR' AND airport_id % 5 = 0"),
+    ("flights", "arr_delay_flights", 1, "month = 6 AND airline_id % 7 = 0"),
+]
+PLANTED_GAP = "month = 5 AND origin_airport_id % 5 = 0"
+
+
 def _quality_inputs(spark, sf):
     fact = staged(B.bind(spark, sf, B.FACT), "fact")
     airlines = B.bind(spark, sf, B.DIM_AIRLINE_PARTIAL)
@@ -712,6 +730,21 @@ def quality_gate(spark, sf):
     return quality.gate_summary(quality.dq_suite(*_quality_inputs(spark, sf)))
 
 
+@query
+def gold_checksums(spark, sf):
+    """Checksums of KPI tables with a wrong value, a missing or a changed row in one month of each."""
+    stats = staged(kpi.flight_stats(B.bind(spark, sf, B.FACT), kpi.FLIGHT_GRAIN), "stats")
+    kpis = kpi.kpi_tables_from_stats(stats, B.bind(spark, sf, B.DIM_AIRLINE), B.bind(spark, sf, B.DIM_AIRPORT))
+
+    def changed(table, column, by, where):
+        return table.withColumn(column, F.when(F.expr(where), F.col(column) + by).otherwise(F.col(column)))
+
+    for dataset, column, by, where in PLANTED:
+        kpis[dataset] = changed(kpis[dataset], column, by, where)
+    kpis["routes"] = kpis["routes"].where(f"NOT ({PLANTED_GAP})")
+    return reconcile.gold_checksums(stats, kpis)
+
+
 @query
 def presence_check(spark, sf):
     fact, _, _, kpis = _quality_inputs(spark, sf)

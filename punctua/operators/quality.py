@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punctua import schemas as S
+from punctua.operators import reconcile
 from punctua.operators.periods import month_slice
 
 # Check names, in report order.
@@ -98,13 +99,14 @@ def kpi_findings(kpis: dict[str, DataFrame]) -> DataFrame:
 
 def dq_suite(
     fact: DataFrame, dim_airline: DataFrame, dim_airport: DataFrame, kpis: dict[str, DataFrame],
-    period: tuple[int, int] | None = None, reconcile_routes: bool = False,
+    period: tuple[int, int] | None = None, reconcile_routes: bool = False, stats: DataFrame | None = None,
 ) -> DataFrame:
     """The ten checks for every month (or one period): ``year, month, check_name, error_count``, with
     a row for every check of every month that the fact or a KPI table holds, zero included.
 
     The fact is scanned once and each KPI table once. ``reconcile_routes`` adds an eleventh check,
-    of the route table against the fact.
+    of the route table against the fact. ``stats``, stored statistics of the fact at flight grain, add
+    the checksums of all four tables (``reconcile.gold_checksums``).
     """
     rows = _dated(fact, period)
     if period:
@@ -125,11 +127,17 @@ def dq_suite(
     if reconcile_routes:
         names.append("fact_vs_route_gold")
         wide = wide.withColumn("fact_vs_route_gold", F.abs(F.col("rows") - F.col("routes_flights")))
-    return wide.unpivot(PERIOD, names, "check_name", "error_count")
+    found = wide.unpivot(PERIOD, names, "check_name", "error_count")
+    if stats is None:
+        return found
+    if period:
+        stats = stats.where((F.col("year") == period[0]) & (F.col("month") == period[1]))
+    return found.unionByName(reconcile.gold_checksums(stats, kpis))
 
 
 def _report_place() -> Column:
-    return F.array_position(F.array(*[F.lit(c) for c in CHECKS]), F.col("check_name"))
+    listed = [*CHECKS, "fact_vs_route_gold", *reconcile.CHECKSUMS]
+    return F.array_position(F.array(*[F.lit(c) for c in listed]), F.col("check_name"))
 
 
 def gate_summary(results: DataFrame) -> DataFrame:
