@@ -117,18 +117,40 @@ def range_kpi(
     return _finals(differences, group_columns, weighted_columns)
 
 
+def _histories(stored: DataFrame, group_columns: list[str], names: list[str]) -> DataFrame:
+    """One row per entity: the month ``_low`` of its first snapshot, and in ``_sums`` its snapshots from
+    there on, one place per month (NULL for a month without one). The only shuffle of the snapshots."""
+    # A number of its own: adaptive execution would merge the rows, small before they meet the ranges.
+    parts = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = stored.withColumn("_at", serial()).where("_at IS NOT NULL").repartition(parts, *group_columns)
+    per_month = rows.groupBy(*group_columns, "_at").agg(*[F.sum(n).alias(n) for n in names])
+    listed = per_month.groupBy(*group_columns).agg(
+        F.array_sort(F.collect_list(F.struct("_at", *names))).alias("_rows"), F.min("_at").alias("_low"), F.max("_at").alias("_high"))
+    placed = F.transform(F.sequence("_low", "_high"), lambda at: F.get(F.filter("_rows", lambda row: row["_at"] == at), F.lit(0)))
+    whole = F.size("_rows") == F.col("_high") - F.col("_low") + 1
+    return listed.select(*group_columns, "_low", F.when(whole, F.col("_rows")).otherwise(placed).alias("_sums"))
+
+
 def ranges_kpi(stored: DataFrame, ranges: DataFrame, group_columns: list[str], weighted_columns: list[str]) -> DataFrame:
     """Many ranges at once: ``range_id``, the group columns and the figures of ``aggregate_periods``.
 
-    ``ranges`` holds ``range_id, first, last``, the ends as serial months. Each range meets its two
-    snapshots by equality of the month.
+    ``ranges`` holds ``range_id, first, last``, the ends as serial months; ranges of one ``range_id`` are
+    added up. Every entity has a figure for nearly every range, so the ranges come to the entities: an
+    entity's snapshots lie in one row, which holds both ends of any range, and what is shuffled are the
+    snapshots, however many ranges there are.
     """
     names = _sum_names(stored, weighted_columns)
-    ends = ranges.where("first <= last").select("range_id", F.explode(F.array(
-        F.struct(F.col("last").cast("int").alias("_at"), F.lit(1).alias("_sign")),
-        F.struct((F.col("first") - 1).cast("int").alias("_at"), F.lit(-1).alias("_sign")))).alias("end")).select("range_id", "end.*")
-    met = stored.withColumn("_at", serial()).join(ends, "_at")
-    differences = met.groupBy("range_id", *group_columns).agg(*[F.sum(F.col("_sign") * F.col(n)).alias(n) for n in names])
+    wanted = ranges.where("first <= last").select("range_id", F.col("first").alias("_first"), F.col("last").alias("_last"))
+    met = _histories(stored, group_columns, names).crossJoin(wanted).select(
+        "range_id", *group_columns, F.get("_sums", (F.col("_last") - F.col("_low")).cast("int")).alias("_end"),
+        F.get("_sums", (F.col("_first") - 1 - F.col("_low")).cast("int")).alias("_before"))
+
+    def sum_at(end: str, name: str) -> Column:
+        return F.coalesce(F.col(end)[name], F.lit(0).cast("long"))
+
+    differences = met.select("range_id", *group_columns, *[(sum_at("_end", n) - sum_at("_before", n)).alias(n) for n in names])
+    if not wanted.groupBy("range_id").count().where("count > 1").isEmpty():
+        differences = differences.groupBy("range_id", *group_columns).agg(*[F.sum(n).alias(n) for n in names])
     return _finals(differences, ["range_id", *group_columns], weighted_columns)
 
 

@@ -91,3 +91,34 @@ def test_extra_columns_do_not_matter(spark, first, last):
     inside = monthly.where((F.col("year") * 100 + F.col("month")).between(first[0] * 100 + first[1], last[0] * 100 + last[1]))
     assert collected(cumulative.range_kpi(stored, first, last, GROUP, MEASURES)) == \
         collected(reaggregate.aggregate_periods(inside, GROUP, MEASURES))
+
+
+def test_ranges_shuffle_the_snapshots_alone(spark):
+    """However many ranges there are: no exchange above the place where they meet the entities."""
+    monthly = history(spark).localCheckpoint()
+    stored = cumulative.snapshots(monthly, GROUP, MEASURES).localCheckpoint()
+    plan = cumulative.ranges_kpi(stored, cumulative.all_ranges(monthly), GROUP, MEASURES)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan.split("Join Cross" if "Join Cross" in plan else "Join Inner")[0]
+    assert "Aggregate" not in above and "Join" not in above and "Repartition" not in above
+
+
+def test_ranges_of_one_id_gaps_and_repeated_snapshots(spark):
+    """As the sum over all snapshots that are an end of a range of that id."""
+    monthly = history(spark)
+    stored = cumulative.snapshots(monthly, GROUP, MEASURES)
+    low = 2025 * 12 + 7
+    odd = stored.where(cumulative.serial() != low + 4)
+    odd = odd.union(odd.where(cumulative.serial() == low + 6)).localCheckpoint()
+    spans = [(1, low, low + 6), (1, low + 7, low + 8), (2, low + 5, low + 9), (3, low + 2, low + 4), (None, low, low + 3),
+             (4, low + 5, low + 2), (5, low - 9, low + 6), (6, low + 3, low + 40), (7, None, low + 6)]
+    ranges = spark.createDataFrame(spans, "range_id long, first int, last int")
+    expected = {}
+    for row in odd.withColumn("at", cumulative.serial()).collect():
+        for range_id, first, last in spans:
+            sign = 0 if first is None or first > last else (row.at == last) - (row.at == first - 1)
+            if sign:
+                cell = expected.setdefault((range_id, row["name"]), [0, 0])
+                cell[0] += sign * row.months
+                cell[1] += sign * row.flights
+    found = {(r.range_id, r["name"]): r.flights for r in cumulative.ranges_kpi(odd, ranges, GROUP, MEASURES).collect()}
+    assert found == {key: flights for key, (months, flights) in expected.items() if months > 0}
