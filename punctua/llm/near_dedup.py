@@ -14,9 +14,12 @@ through all ``LEVELS``. Equal branches of different trees are compared once.
 A branch that stays large (a large group of near copies agrees in almost every token) is dealt into
 blocks that share random pivots: block members that are alike become linked. Members that are then
 outside the branch's largest component are compared with all of its members, up to ``MEETING`` of
-either side in a block. So no task holds more than a block, and nothing is left out.
+either side in a block. Branches of one largest component, those that its trees repeat, do so together,
+and members of a component that is known are not compared with one another. So no task holds more than
+a block, and nothing is left out.
 
-Verified links are reduced to a forest within each block; components come from star contraction.
+Verified links are reduced to stars within each block; components come from star contraction. What
+later links add is contracted on the components found before.
 
 Defined results: a null, empty or blank text has no shingles and is linked with nothing; fewer than
 five words are one shingle; texts of any length are read whole; identical rows share a component; ``component_id`` ignores null ids; an
@@ -115,34 +118,37 @@ def _signatures(count: int):
 
 
 def _candidates(percent: int):
-    """Of every branch, the groups of members that signatures connect; one row per member."""
+    """Of every branch, the groups of members that signatures connect across known components; one row
+    per member."""
     floor = least_matches(percent)
 
     def run(batches) -> Iterator:
         import pyarrow as pa
 
         for rows in whole_keys(batches, "key"):
-            uids = rows.column("uid").to_numpy()
+            uids, known = rows.column("uid").to_numpy(), rows.column("component").to_numpy()
             marks = np.frombuffer(b"".join(rows.column("mark").to_pylist()), np.uint32).reshape(-1, TOKENS)
             bounds = key_bounds(rows.column("key").to_numpy())
-            groups, members = [], []
+            groups, members, named = [], [], []
             for a, b in zip(bounds, bounds[1:]):
                 sets = Sets(b - a)
                 for i in range(a, b - 1):
-                    hits = np.flatnonzero((marks[i + 1:b] == marks[i]).sum(axis=1) >= floor)
-                    for j in hits:
-                        sets.join(i - a, i + 1 - a + int(j))
-                by_root: dict[int, list[int]] = {}
+                    others = i + 1 + np.flatnonzero(known[i + 1:b] != known[i])
+                    for j in others[(marks[others] == marks[i]).sum(axis=1) >= floor]:
+                        sets.join(i - a, int(j) - a)
+                by_root: dict[int, dict[int, int]] = {}
                 for i in range(b - a):
-                    by_root.setdefault(sets.find(i), []).append(int(uids[a + i]))
-                for found in by_root.values():
-                    found = sorted(set(found))
+                    by_root.setdefault(sets.find(i), {})[int(uids[a + i])] = int(known[a + i])
+                for component_of in by_root.values():
+                    found = sorted(component_of)
                     if len(found) > 1:
                         name = xxhash.xxh3_64_intdigest(np.array(found, np.int64).tobytes()) - 2**63
                         groups += [name] * len(found)
                         members += found
+                        named += [component_of[uid] for uid in found]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(groups, pa.int64()), pa.array(members, pa.int64())], names=["key", "uid"])
+                [pa.array(groups, pa.int64()), pa.array(members, pa.int64()), pa.array(named, pa.int64())],
+                names=["key", "uid", "component"])
 
     return run
 
@@ -157,22 +163,26 @@ def _sets(batches) -> Iterator:
 
 
 def _verified(percent: int):
-    """A forest of links that hold on the full sets, for every candidate group."""
+    """Links from the first to the others of every set that known components and links which hold on the
+    full sets make of a candidate group."""
     def run(batches) -> Iterator:
         import pyarrow as pa
 
         for rows in whole_keys(batches, "key"):
-            uids = rows.column("uid").to_numpy()
+            uids, known = rows.column("uid").to_numpy(), rows.column("component").to_numpy()
             full = [np.frombuffer(cell, np.uint64) for cell in rows.column("shingles").to_pylist()]
             bounds = key_bounds(rows.column("key").to_numpy())
             links = []
             for a, b in zip(bounds, bounds[1:]):
                 sets = Sets(b - a)
+                first: dict[int, int] = {}
+                for i in range(b - a):
+                    sets.join(first.setdefault(int(known[a + i]), i), i)
                 for i in range(b - a):
                     for j in range(i + 1, b - a):
                         if sets.find(i) != sets.find(j) and alike(full[a + i], full[a + j], percent):
                             sets.join(i, j)
-                            links.append((int(uids[a + i]), int(uids[a + j])))
+                links += [(int(uids[a + root]), int(uids[a + i])) for i in range(b - a) if (root := sets.find(i)) != i]
             left, right = zip(*links) if links else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
@@ -180,7 +190,7 @@ def _verified(percent: int):
 
 
 def _by_key(df: DataFrame, function, schema: str) -> DataFrame:
-    return df.repartition("key").sortWithinPartitions("key").mapInArrow(function, schema)
+    return df.repartition("key").sortWithinPartitions("key", "uid").mapInArrow(function, schema)
 
 
 def _sized(members: DataFrame) -> DataFrame:
@@ -191,22 +201,22 @@ def _sized(members: DataFrame) -> DataFrame:
     ).where("n > 1")
 
 
-def _branches(nodes: DataFrame, percent: int) -> tuple[list[DataFrame], DataFrame | None]:
+def _branches(nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | None]:
     """Small branches ``key, uid`` and, where there are any, those that stay large ``key, uid, n``."""
     members = nodes.select("uid", F.posexplode("heads").alias("tree", "token")).select(
         "uid", F.xxhash64("tree", "token").alias("key"))
     marks = nodes.select("uid", "mark")
-    small = []
+    every, small = None, None
     for level in range(LEVELS + 1):
         sized = staged(_sized(members), "branches")
         once = sized.where(F.col("n") <= BRANCH).groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key")
-        small.append(join_on(members, once, ["key"]).select("key", "uid"))
+        every = members if every is None else every.unionByName(members)
+        small = once if small is None else small.union(once)
         large = sized.where(F.col("n") > BRANCH).select("key", "n")
-        if large.isEmpty():
-            return small, None
-        large = staged(join_on(members, large, ["key"]), "large")
-        if level == LEVELS:
-            return small, large
+        ended = large.isEmpty()
+        large = None if ended else staged(join_on(members, large, ["key"]), "large")
+        if ended or level == LEVELS:
+            return join_on(every, small, ["key"]).select("key", "uid"), large
         again = F.pmod(F.xxhash64("key", F.lit("again")), F.lit(1000)) < F.lit(int(1e5 / percent) - 1000)
         first = F.pmod(F.xxhash64("key", F.lit(0)), F.lit(TOKENS))
         # Never the first again: a member that is twice in a branch would leave its fingerprint.
@@ -231,26 +241,43 @@ def _dealt(large: DataFrame) -> DataFrame:
 
 
 def _strays(large: DataFrame, parts: DataFrame) -> DataFrame | None:
-    """Members of large branches outside the branch's largest component, against all its members."""
+    """Members of large branches outside the branch's largest component, against all its members. The
+    branches of one largest component are one here: near copies are in all the trees, and meet once."""
     named = staged(
         join_on(large, parts.select(F.col("node").alias("uid"), "component"), ["uid"], "left")
         .withColumn("component", F.coalesce("component", "uid")), "named")
     counts = named.groupBy("key", "component").agg(F.count("*").alias("size"))
     main = counts.groupBy("key").agg(
         F.max_by("component", F.struct("size", "component")).alias("main"), (F.sum("size") - F.max("size")).alias("strays")
-    ).where("strays > 0")
+    ).where("strays > 0").drop("strays")
     if main.isEmpty():
         return None
-    open_ = join_on(named, main, ["key"]).withColumns({
+    merged = staged(join_on(named, main, ["key"]).select(F.col("main").alias("key"), "uid", "component").distinct(), "merged")
+    counts = merged.groupBy("key").agg(F.count("*").alias("n"), F.count_if(F.col("component") != F.col("key")).alias("strays"))
+    open_ = join_on(merged, counts, ["key"]).withColumns({
         "chunks": F.ceil(F.col("strays") / MEETING), "blocks": F.ceil(F.col("n") / MEETING),
     }).withColumns({
         "chunk": F.pmod(F.xxhash64("uid", F.lit("chunk")), F.col("chunks")),
         "block": F.pmod(F.xxhash64("uid", F.lit("part")), F.col("blocks")),
     })
     zero = F.lit(0).cast("long")
-    strays = open_.where("component <> main").withColumn("block", F.explode(F.sequence(zero, F.col("blocks") - 1)))
+    strays = open_.where("component <> key").withColumn("block", F.explode(F.sequence(zero, F.col("blocks") - 1)))
     others = open_.withColumn("chunk", F.explode(F.sequence(zero, F.col("chunks") - 1)))
-    return strays.union(others.select(strays.columns)).select("uid", F.xxhash64("key", "chunk", "block").alias("key")).distinct()
+    return strays.union(others.select(strays.columns)).select(
+        "uid", "component", F.xxhash64("key", "chunk", "block").alias("key")).distinct()
+
+
+def _contracted(parts: DataFrame, more: DataFrame) -> DataFrame:
+    """The components ``parts`` (``node, component``) with more links ``a, b`` between them."""
+    for end in ("a", "b"):
+        more = join_on(more, parts.select(F.col("node").alias(end), "component"), [end], "left") \
+            .withColumn(end, F.coalesce("component", end)).drop("component")
+    across = staged(more.where("a <> b").distinct(), "across")
+    if across.isEmpty():
+        return parts
+    merged = staged(components(across).select(F.col("node").alias("component"), F.col("component").alias("into")), "merged")
+    every = parts.union(merged.select(F.col("component").alias("node"), "component")).distinct()
+    return join_on(every, merged, ["component"], "left").select("node", F.coalesce("into", "component").alias("component"))
 
 
 def near_groups(docs: DataFrame, percent: int = PERCENT, miss: float = MISS) -> DataFrame:
@@ -271,22 +298,21 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, miss: float = MISS) ->
     )
 
     def links(members: DataFrame) -> DataFrame:
-        found = _by_key(join_on(members, nodes.select("uid", "mark"), ["uid"]), _candidates(percent), "key long, uid long")
+        found = _by_key(join_on(members, nodes.select("uid", "mark"), ["uid"]), _candidates(percent),
+                        "key long, uid long, component long")
         found = staged(found.distinct(), "candidates")
         wanted = join_on(rows.select("uid", "doc_id", "raw"), found.select("uid").distinct(), ["uid"])
         full = join_on(texts, wanted, ["doc_id", "raw"]).select("uid", "text")
         full = full.mapInArrow(_sets, "uid long, shingles binary").dropDuplicates(["uid"])
         return staged(_by_key(join_on(found, full, ["uid"]), _verified(percent), "a long, b long"), "verified")
 
-    small, large = _branches(nodes, percent)
-    members = small[0]
-    for more in [*small[1:], *([_dealt(large)] if large is not None else [])]:
-        members = members.union(more)
-    edges = links(members)
-    parts = staged(components(edges), "components")
+    members, large = _branches(nodes, percent)
+    if large is not None:
+        members = members.unionByName(_dealt(large))
+    parts = staged(components(links(members.withColumn("component", F.col("uid")))), "components")
     strays = _strays(large, parts) if large is not None else None
     if strays is not None:
-        parts = staged(components(edges.union(links(strays))), "components")
+        parts = staged(_contracted(parts, links(strays)), "components")
     named = join_on(nodes.select("digest", "uid", "best"), parts.withColumnRenamed("node", "uid"), ["uid"], "left") \
         .withColumn("component", F.coalesce("component", "uid"))
     kept = named.groupBy("component").agg(F.min("best").alias("best"))

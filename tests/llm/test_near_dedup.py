@@ -94,3 +94,29 @@ def test_no_member_is_twice_in_a_branch(spark, monkeypatch):
     _, large = operator._branches(nodes, 85)
     assert large.groupBy("key", "uid").count().where("count > 1").isEmpty()
     assert large.where("n > 2").isEmpty()
+
+
+def test_members_of_a_known_component_are_not_compared_again():
+    """A block of 300 near copies and two strays, one of which is like a member."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**32, operator.TOKENS, dtype=np.uint32)
+    other = rng.integers(0, 2**32, operator.TOKENS, dtype=np.uint32)
+    marks = [base.tobytes()] * 301 + [other.tobytes()]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([5] * 302), pa.array(range(302)), pa.array([0] * 300 + [300, 301]), pa.array(marks, pa.binary())],
+        names=["key", "uid", "component", "mark"])
+    rows = [r for out in operator._candidates(85)([batch]) for r in out.to_pylist()]
+    assert sorted(r["uid"] for r in rows) == list(range(301)) and {r["component"] for r in rows} == {0, 300}
+    apart = batch.set_column(2, "component", pa.array([0] * 301 + [301]))
+    assert sum(out.num_rows for out in operator._candidates(85)([apart])) == 0
+
+
+def test_later_links_join_known_components(spark):
+    parts = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5)], "node long, component long")
+    more = spark.createDataFrame([(2, 6), (9, 8), (1, 2)], "a long, b long")
+    found = operator._contracted(parts, more)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 1), (2, 1), (5, 1), (6, 1), (8, 8), (9, 8)]
+    assert operator._contracted(parts, more.where("a = 1")) is parts
