@@ -3,6 +3,7 @@ import re
 
 import corpora
 import numpy as np
+import pytest
 from punctua.llm import license_scan, line_dedup, secret_scan
 
 PATTERNS = (
@@ -165,3 +166,21 @@ def test_repeated_pages_and_empty_table(spark):
     found = sorted((r.n_lines, r.n_dropped, r.kept_text) for r in line_dedup.drop_boilerplate(pages(spark, rows)).collect())
     assert found == [(1, 0, "three"), (2, 2, ""), (2, 2, ""), (2, 2, "")]
     assert line_dedup.drop_boilerplate(pages(spark, [])).collect() == []
+
+
+def test_the_secret_network_learns_from_every_window(spark, monkeypatch):
+    """No window is left out, however many there are, and slices together learn what one would."""
+    rng = random.Random(31)
+    texts = ["said " + "".join(corpora.word(rng) for _ in range(6)) + " then" for _ in range(500)]
+    found = corpora.frame(spark, texts).mapInArrow(secret_scan._found, secret_scan.FOUND).localCheckpoint()
+    windows = {bytes(c) for r in found.collect() for c in r.around}
+    examples = secret_scan._examples(found).collect()
+    assert {bytes(r.code) for r in examples if not r.label} == windows and len(examples) == 2 * len(windows)
+    monkeypatch.setattr(secret_scan, "SLICE", 200)
+    monkeypatch.setattr(secret_scan, "LEAST_EPOCHS", 8)
+    network = secret_scan.network_of(found)
+    held = [(bytes(r.code), r.label) for r in examples if r.back]
+    chances = network.probabilities(np.frombuffer(b"".join(c for c, _ in held), np.uint8).reshape(-1, secret_scan.LENGTH))
+    made = np.sort(chances[[label > 0 for _, label in held]])
+    assert network.threshold == pytest.approx(made[int((1 - secret_scan.RECALL) * len(made))], rel=1e-9)
+    assert (chances[[not label for _, label in held]] >= network.threshold).mean() <= 0.1
