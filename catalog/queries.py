@@ -755,10 +755,9 @@ def presence_check(spark, sf):
 @query
 def silver_build(spark, sf):
     bronze, root = scratch_path(spark, "bronze"), scratch_path(spark, "warehouse")
-    raw = B.bind(spark, sf, B.BRONZE)
     (
-        raw.hint("rebalance", *[F.col(c) for c in rules.PERIOD])
-        .write.partitionBy(*rules.PERIOD).option("header", True).csv(bronze)
+        B.bronze_by_month(spark, sf).write.partitionBy(*rules.PERIOD).option("header", True)
+        .option("compression", "gzip").option("maxRecordsPerFile", B.ROWS_PER_FLIGHT_FILE).csv(bronze)
     )
     scanned = delimited.scan_flight_csv(spark, bronze, S.FLIGHT_COLUMNS)
     silver_plan.build_silver(scanned, root)
@@ -786,7 +785,7 @@ def lookup_build(spark, sf):
 
 def _built_months(spark, sf):
     root = scratch_path(spark, "warehouse")
-    silver_plan.build_silver(B.bind(spark, sf, B.BRONZE), root)
+    silver_plan.build_silver(B.bronze_by_month(spark, sf), root)
     month_plan.load_star_from(
         spark.read.parquet(f"{root}/{silver_plan.FLIGHTS}"),
         _lookup(spark, sf, "airlines"),

@@ -302,3 +302,24 @@ def report_of_written(words: DataFrame, silver: DataFrame, rules: list[Rule], by
 def valid_unique(flagged: DataFrame, rules: list[Rule], keys: list[str] = S.FLIGHT_BUSINESS_KEY) -> DataFrame:
     """Valid rows, one per business key, without the helper columns."""
     return dedup(drop_flags(split_valid(flagged, rules)[0], rules), keys)
+
+
+KEY_HASH = "key_hash"
+
+
+def repeated_keys(flagged: DataFrame, rules: list[Rule], keys: list[str] = S.FLIGHT_BUSINESS_KEY) -> DataFrame:
+    """``key_hash`` of the business keys that more than one valid row has. Only hashes are shuffled."""
+    hashes = split_valid(flagged, rules)[0].select(F.xxhash64(*keys).alias(KEY_HASH))
+    return hashes.groupBy(KEY_HASH).agg(F.count("*").alias("n")).where("n > 1").select(KEY_HASH)
+
+
+def valid_unique_in_place(
+    flagged: DataFrame, repeated: DataFrame, rules: list[Rule], keys: list[str] = S.FLIGHT_BUSINESS_KEY,
+) -> DataFrame:
+    """The rows of ``valid_unique``, where ``repeated`` (see ``repeated_keys``) fits a broadcast: rows
+    whose key occurs once stay in the tasks that read them, only the others are shuffled. Keys that
+    merely share a hash are told apart by the deduplication of those."""
+    match = F.xxhash64(*[flagged[k] for k in keys]) == repeated[KEY_HASH]
+    once = flagged.join(F.broadcast(repeated), match, "left_anti")
+    several = flagged.join(F.broadcast(repeated), match, "left_semi")
+    return drop_flags(split_valid(once, rules)[0], rules).unionByName(valid_unique(several, rules, keys))

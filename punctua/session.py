@@ -14,6 +14,8 @@ SETTINGS = {
     # columns and 26 rules exceeds that and would run interpreted; with this limit Spark evaluates
     # such a stage through many small compiled methods instead (measured: 2 to 4 times faster).
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A task with rows of a few months writes their files side by side, without sorting its rows by month.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 _shipped: set[str] = set()
 

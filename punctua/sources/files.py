@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from punctua.sources.storage import staged
 
-CSV_PATTERN, ZIP_PATTERN = "*.[cC][sS][vV]", "*.[zZ][iI][pP]"
+CSV_PATTERN, ZIP_PATTERN = "*.[cC][sS][vV]{,.gz}", "*.[zZ][iI][pP]"
 
 
 class UnusableFiles(ValueError):
@@ -110,14 +110,16 @@ def delimited_heads(files: DataFrame) -> DataFrame:
     """Header and presence of a first data row of each delimited file.
 
     Output: ``path, uri, length, header (array), has_rows, decodable``. A byte-order mark is
-    dropped, names are trimmed. Only the first buffer of each file is read; bytes that are no UTF-8
+    dropped, names are trimmed, files named ``.gz`` are decompressed. Only the first buffer of each file is read; bytes that are no UTF-8
     are replaced, as Spark's reader does, and make the file not ``decodable``.
     """
     open_uri = _opener()
 
     def read_heads(batches: Iterable) -> Iterator:
         import csv
+        import gzip
         import io
+        import zlib
 
         import pandas as pd
 
@@ -128,14 +130,15 @@ def delimited_heads(files: DataFrame) -> DataFrame:
                 with open_uri(path) as stream:
                     length = stream.seek(0, 2)
                     stream.seek(0)
-                    text = io.TextIOWrapper(stream, encoding="utf-8-sig", errors="replace", newline="")
+                    plain = gzip.GzipFile(fileobj=stream) if path.endswith(".gz") else stream
+                    text = io.TextIOWrapper(plain, encoding="utf-8-sig", errors="replace", newline="")
                     try:
                         records = (record for record in csv.reader(text) if record)
                         header = next(records, [])
                         first = next(records, None)
                         has_rows = first is not None
                         decodable = not any("\ufffd" in cell for cell in [*header, *(first or [])])
-                    except csv.Error:
+                    except (csv.Error, gzip.BadGzipFile, zlib.error, EOFError):
                         decodable = False
                 rows.append((path, uri, length, normal_header(header), has_rows, decodable))
             yield pd.DataFrame(rows, columns=["path", "uri", "length", "header", "has_rows", "decodable"])

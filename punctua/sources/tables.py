@@ -66,24 +66,26 @@ def unify_months(spark: SparkSession, root: str) -> None:
         file_system.delete(padded, True)
 
 
-def write_periods(df: DataFrame, root: str, one: bool = False) -> None:
+def write_periods(df: DataFrame, root: str, one: bool = False, dealt: bool = False) -> None:
     """Overwrite exactly the periods present in ``df``; all other periods stay as they are.
 
     The rebalance hint lets adaptive execution cut a hot month into several files and merge the
     small ones. ``one`` says that all rows are of one period: they are then dealt out evenly instead
-    of by their period, which would be a single key.
+    of by their period, which would be a single key. ``dealt`` says that every task has rows of few
+    periods as it is: they are written from where they are, without a shuffle.
     """
     unify_months(df.sparkSession, root)
+    if not dealt:
+        df = df.hint("rebalance", *([] if one else [F.col(c) for c in PERIOD_COLUMNS]))
     (
-        df.hint("rebalance", *([] if one else [F.col(c) for c in PERIOD_COLUMNS]))
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PERIOD_COLUMNS)
         .parquet(root)
     )
 
 
-def replace_period(df: DataFrame, root: str, year: int, month: int) -> None:
+def replace_period(df: DataFrame, root: str, year: int, month: int, dealt: bool = False) -> None:
     """Replace one period by the rows of ``df`` for it, also when there are none.
 
     A dynamic overwrite leaves a period untouched when no row arrives. Spark's file names are new
@@ -93,7 +95,7 @@ def replace_period(df: DataFrame, root: str, year: int, month: int) -> None:
     unify_months(spark, root)
     leaf = f"{root}/year={year}/month={month}"
     before = data_files(spark, leaf)
-    write_periods(df.where(period_filter([(year, month)])), root, one=True)
+    write_periods(df.where(period_filter([(year, month)])), root, one=True, dealt=dealt)
     if before and data_files(spark, leaf) == before:
         spark.createDataFrame([], df.drop(*PERIOD_COLUMNS).schema).write.mode("overwrite").parquet(leaf)
 

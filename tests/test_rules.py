@@ -205,3 +205,28 @@ def test_flags_of_many_periods_at_once(spark):
     )
     flags = R.with_flags(df, R.period_rules()).select("valid_partition_date", "valid_month").collect()
     assert all(all(row) for row in flags)
+
+
+def test_rows_whose_key_occurs_once_are_not_shuffled(spark, tmp_path):
+    changes = [{"Flight_Number_Reporting_Airline": n % 40 if n % 9 else None, "TaxiOut": n, "Cancelled": 4 if n % 7 == 0 else 0} for n in range(60)]
+    df, rules = flagged(spark, *changes, {"Origin": None}, {"Origin": None})
+    df.drop(*[r.name for r in rules]).write.parquet(str(tmp_path / "flagged"))
+    stored = spark.read.parquet(str(tmp_path / "flagged"))
+    repeated = R.repeated_keys(stored, rules).localCheckpoint()
+    found = R.valid_unique_in_place(stored, repeated, rules)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, R.valid_unique(stored, rules).collect()))
+    assert 0 < repeated.count() < found.count()
+    once, several = found._jdf.queryExecution().optimizedPlan().toString().split("\n+- ", 1)
+    assert "LeftAnti" in once and "Window" not in once and "Window" in several
+
+
+def test_compressed_files_are_scanned(spark, tmp_path):
+    from punctua.sources import delimited, files
+
+    spark.createDataFrame([("1", "x"), ("2", None)], "b string, a string").coalesce(1).write.option("header", True).option(
+        "compression", "gzip").csv(str(tmp_path / "in"))
+    assert sorted((tuple(r)[:2] for r in delimited.scan_csv(spark, str(tmp_path / "in"), ["a", "b"]).collect()), key=repr, reverse=False) == [("x", "1"), (None, "2")]
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.csv.gz").write_bytes(b"no archive")
+    verdicts = files.profile_files(spark, str(tmp_path / "bad"), ["a"], files.CSV_PATTERN).collect()
+    assert [r.verdict for r in verdicts] == ["undecodable"]
