@@ -12,11 +12,13 @@ others without being near copies are missed more often: 2e-4 by calculation when
 through all ``LEVELS``. Equal branches of different trees are compared once.
 
 A branch that stays large (a large group of near copies agrees in almost every token) is dealt into
-blocks that share random pivots: block members that are alike become linked. Members that are then
-outside the branch's largest component are compared with all of its members, up to ``MEETING`` of
-either side in a block. Branches of one largest component, those that its trees repeat, do so together,
-and members of a component that is known are not compared with one another. So no task holds more than
-a block, and nothing is left out.
+blocks that share random pivots: block members that are alike become linked. A group of near copies is
+in all trees; therefore every document is dealt into blocks of one branch only, its largest. Members of
+any large branch that are then outside the branch's largest component are compared with all of its
+members, up to ``MEETING`` of either side in a block. Branches of one largest component, those that its
+trees repeat, do so together. Small branches come last and compare neither members of a known component
+nor those that have met already. So no task holds more than a block, and nothing is left out.
+Signatures come to a document once per level, not to each of its branches.
 
 Verified links are reduced to stars within each block; components come from star contraction. What
 later links add is contracted on the components found before.
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctua.llm.common import (
-    Sets, WordHashes, attach, components, join_on, key_bounds, mixed, staged_rows, utf8, whole_keys, windows,
+    WordHashes, attach, components, join_on, key_bounds, mixed, staged_rows, utf8, whole_keys, windows,
 )
 from punctua.sources.storage import staged
 
@@ -81,15 +83,28 @@ def least_matches(percent: int) -> int:
     return max(1, math.floor(TOKENS * p - 6 * math.sqrt(TOKENS * p * (1 - p))))
 
 
-def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Whether 100 * intersection >= percent * union, on full sorted sets."""
-    if len(a) > len(b):
-        a, b = b, a
-    if 100 * len(a) < percent * len(b):
-        return False
-    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-    common = int(np.count_nonzero(b[at] == a))
-    return 100 * common >= percent * (len(a) + len(b) - common)
+def _unite(labels: np.ndarray, i: int, near: np.ndarray) -> None:
+    """Give all that carry a label of ``near`` the label of ``i``."""
+    if len(near):
+        labels[np.isin(labels, labels[near])] = labels[i]
+
+
+def linked(full: list[np.ndarray], known: np.ndarray, percent: int) -> np.ndarray:
+    """Labels, equal where ``known`` components and pairs alike on their full sets connect members."""
+    labels = np.unique(known, return_inverse=True)[1]
+    sizes = np.array([len(cells) for cells in full])
+    starts = np.concatenate(([0], np.cumsum(sizes)))
+    distinct, codes = np.unique(np.concatenate(full), return_inverse=True)
+    held = np.zeros(len(distinct), bool)
+    for i in range(len(full) - 1):
+        others = i + 1 + np.flatnonzero(labels[i + 1:] != labels[i])
+        if not len(others):
+            continue
+        held[codes[starts[i]:starts[i + 1]]] = True
+        common = np.add.reduceat(held[codes[starts[i + 1]:]], starts[i + 1:-1] - starts[i + 1], dtype=np.int64)[others - i - 1]
+        held[codes[starts[i]:starts[i + 1]]] = False
+        _unite(labels, i, others[100 * common >= percent * (sizes[i] + sizes[others] - common)])
+    return labels
 
 
 def _signatures(count: int):
@@ -118,8 +133,8 @@ def _signatures(count: int):
 
 
 def _candidates(percent: int):
-    """Of every branch, the groups of members that signatures connect across known components; one row
-    per member."""
+    """Of every branch, the groups of members that signatures connect across known components and sets
+    of members that have met (the same ``met``, an optional column); one row per member."""
     floor = least_matches(percent)
 
     def run(batches) -> Iterator:
@@ -127,19 +142,20 @@ def _candidates(percent: int):
 
         for rows in whole_keys(batches, "key"):
             uids, known = rows.column("uid").to_numpy(), rows.column("component").to_numpy()
+            met = rows.column("met").to_numpy() if "met" in rows.column_names else uids
             marks = np.frombuffer(b"".join(rows.column("mark").to_pylist()), np.uint32).reshape(-1, TOKENS)
             bounds = key_bounds(rows.column("key").to_numpy())
             groups, members, named = [], [], []
             for a, b in zip(bounds, bounds[1:]):
-                sets = Sets(b - a)
+                labels = np.arange(a, b)
                 for i in range(a, b - 1):
-                    others = i + 1 + np.flatnonzero(known[i + 1:b] != known[i])
-                    for j in others[(marks[others] == marks[i]).sum(axis=1) >= floor]:
-                        sets.join(i - a, int(j) - a)
-                by_root: dict[int, dict[int, int]] = {}
-                for i in range(b - a):
-                    by_root.setdefault(sets.find(i), {})[int(uids[a + i])] = int(known[a + i])
-                for component_of in by_root.values():
+                    others = i + 1 + np.flatnonzero(
+                        (known[i + 1:b] != known[i]) & (met[i + 1:b] != met[i]) & (labels[i + 1 - a:] != labels[i - a]))
+                    _unite(labels, i - a, others[(marks[others] == marks[i]).sum(axis=1) >= floor] - a)
+                by_label: dict[int, dict[int, int]] = {}
+                for i, label in enumerate(labels.tolist(), a):
+                    by_label.setdefault(label, {})[int(uids[i])] = int(known[i])
+                for component_of in by_label.values():
                     found = sorted(component_of)
                     if len(found) > 1:
                         name = xxhash.xxh3_64_intdigest(np.array(found, np.int64).tobytes()) - 2**63
@@ -174,15 +190,10 @@ def _verified(percent: int):
             bounds = key_bounds(rows.column("key").to_numpy())
             links = []
             for a, b in zip(bounds, bounds[1:]):
-                sets = Sets(b - a)
                 first: dict[int, int] = {}
-                for i in range(b - a):
-                    sets.join(first.setdefault(int(known[a + i]), i), i)
-                for i in range(b - a):
-                    for j in range(i + 1, b - a):
-                        if sets.find(i) != sets.find(j) and alike(full[a + i], full[a + j], percent):
-                            sets.join(i, j)
-                links += [(int(uids[a + root]), int(uids[a + i])) for i in range(b - a) if (root := sets.find(i)) != i]
+                for i, label in enumerate(linked(full[a:b], known[a:b], percent).tolist(), a):
+                    if (root := first.setdefault(label, i)) != i:
+                        links.append((int(uids[root]), int(uids[i])))
             left, right = zip(*links) if links else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
@@ -217,17 +228,15 @@ def _branches(nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | No
         large = None if ended else staged(join_on(members, large, ["key"]), "large")
         if ended or level == LEVELS:
             return join_on(every, small, ["key"]).select("key", "uid"), large
+        hot = staged(join_on(large.groupBy("uid").agg(F.collect_list("key").alias("keys")), marks, ["uid"]), "hot")
+        marks = hot.select("uid", "mark")
         again = F.pmod(F.xxhash64("key", F.lit("again")), F.lit(1000)) < F.lit(int(1e5 / percent) - 1000)
         first = F.pmod(F.xxhash64("key", F.lit(0)), F.lit(TOKENS))
         # Never the first again: a member that is twice in a branch would leave its fingerprint.
         second = F.pmod(first + 1 + F.pmod(F.xxhash64("key", F.lit(1)), F.lit(TOKENS - 1)), F.lit(TOKENS))
-        chosen = large.select("key", "uid", F.explode(
-            F.when(again, F.array(first, second)).otherwise(F.array(first))).alias("token"))
-        members = staged(
-            join_on(chosen, marks, ["uid"]).select("uid", F.xxhash64(
-                "key", "token", F.substr("mark", (F.col("token") * 4 + 1).cast("int"), F.lit(4))).alias("key")),
-            "members",
-        )
+        members = hot.select("uid", "mark", F.explode("keys").alias("key")).select("uid", "mark", "key", F.explode(
+            F.when(again, F.array(first, second)).otherwise(F.array(first))).alias("token")).select("uid", F.xxhash64(
+                "key", "token", F.substr("mark", (F.col("token") * 4 + 1).cast("int"), F.lit(4))).alias("key"))
     raise AssertionError("unreachable")
 
 
@@ -240,19 +249,33 @@ def _dealt(large: DataFrame) -> DataFrame:
         .select("uid", F.xxhash64("key", "block").alias("key"))
 
 
-def _strays(large: DataFrame, parts: DataFrame) -> DataFrame | None:
-    """Members of large branches outside the branch's largest component, against all its members. The
-    branches of one largest component are one here: near copies are in all the trees, and meet once."""
-    named = staged(
-        join_on(large, parts.select(F.col("node").alias("uid"), "component"), ["uid"], "left")
-        .withColumn("component", F.coalesce("component", "uid")), "named")
+def _first(large: DataFrame) -> DataFrame:
+    """Of every document's large branches the largest, with the number of documents that have it so."""
+    one = staged(large.groupBy("uid").agg(F.max(F.struct("n", "key")).alias("most")).select("uid", "most.key"), "first")
+    return join_on(one, one.groupBy("key").agg(F.count("*").alias("n")), ["key"])
+
+
+def _known(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """``rows`` with the component of their ``uid``, its own where it has none."""
+    return join_on(rows, parts.select(F.col("node").alias("uid"), "component"), ["uid"], "left") \
+        .withColumn("component", F.coalesce("component", "uid"))
+
+
+def _merged(large: DataFrame, parts: DataFrame) -> DataFrame | None:
+    """Large branches with members outside the largest component, as ``key, uid, component``. Those of one
+    largest component, the ``key``, are one here: near copies are in all the trees, and meet once."""
+    named = staged(_known(large, parts), "named")
     counts = named.groupBy("key", "component").agg(F.count("*").alias("size"))
     main = counts.groupBy("key").agg(
         F.max_by("component", F.struct("size", "component")).alias("main"), (F.sum("size") - F.max("size")).alias("strays")
     ).where("strays > 0").drop("strays")
     if main.isEmpty():
         return None
-    merged = staged(join_on(named, main, ["key"]).select(F.col("main").alias("key"), "uid", "component").distinct(), "merged")
+    return staged(join_on(named, main, ["key"]).select(F.col("main").alias("key"), "uid", "component").distinct(), "merged")
+
+
+def _strays(merged: DataFrame) -> DataFrame:
+    """Blocks in which all members outside the component ``key`` meet all members."""
     counts = merged.groupBy("key").agg(F.count("*").alias("n"), F.count_if(F.col("component") != F.col("key")).alias("strays"))
     open_ = join_on(merged, counts, ["key"]).withColumns({
         "chunks": F.ceil(F.col("strays") / MEETING), "blocks": F.ceil(F.col("n") / MEETING),
@@ -264,7 +287,7 @@ def _strays(large: DataFrame, parts: DataFrame) -> DataFrame | None:
     strays = open_.where("component <> key").withColumn("block", F.explode(F.sequence(zero, F.col("blocks") - 1)))
     others = open_.withColumn("chunk", F.explode(F.sequence(zero, F.col("chunks") - 1)))
     return strays.union(others.select(strays.columns)).select(
-        "uid", "component", F.xxhash64("key", "chunk", "block").alias("key")).distinct()
+        "uid", F.xxhash64("key", "chunk", "block").alias("key")).distinct()
 
 
 def _contracted(parts: DataFrame, more: DataFrame) -> DataFrame:
@@ -297,9 +320,14 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, miss: float = MISS) ->
         "nodes",
     )
 
-    def links(members: DataFrame) -> DataFrame:
-        found = _by_key(join_on(members, nodes.select("uid", "mark"), ["uid"]), _candidates(percent),
-                        "key long, uid long, component long")
+    def links(members: DataFrame, parts: DataFrame | None = None, merged: DataFrame | None = None) -> DataFrame:
+        marks = nodes.select("uid", "mark")
+        marks = marks.withColumn("component", F.col("uid")) if parts is None else _known(marks, parts)
+        if merged is not None:
+            # Below all uids, which stand for those that met nobody; of several places one is enough.
+            places = merged.groupBy("uid").agg((-1 - F.min("key")).alias("met"))
+            marks = join_on(marks, places, ["uid"], "left").withColumn("met", F.coalesce("met", "uid"))
+        found = _by_key(join_on(members, marks, ["uid"]), _candidates(percent), "key long, uid long, component long")
         found = staged(found.distinct(), "candidates")
         wanted = join_on(rows.select("uid", "doc_id", "raw"), found.select("uid").distinct(), ["uid"])
         full = join_on(texts, wanted, ["doc_id", "raw"]).select("uid", "text")
@@ -307,14 +335,15 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, miss: float = MISS) ->
         return staged(_by_key(join_on(found, full, ["uid"]), _verified(percent), "a long, b long"), "verified")
 
     members, large = _branches(nodes, percent)
-    if large is not None:
-        members = members.unionByName(_dealt(large))
-    parts = staged(components(links(members.withColumn("component", F.col("uid")))), "components")
-    strays = _strays(large, parts) if large is not None else None
-    if strays is not None:
-        parts = staged(_contracted(parts, links(strays)), "components")
-    named = join_on(nodes.select("digest", "uid", "best"), parts.withColumnRenamed("node", "uid"), ["uid"], "left") \
-        .withColumn("component", F.coalesce("component", "uid"))
+    if large is None:
+        parts = staged(components(links(members)), "components")
+    else:
+        parts = staged(components(links(_dealt(_first(large)))), "components")
+        merged = _merged(large, parts)
+        if merged is not None:
+            parts = staged(_contracted(parts, links(_strays(merged), parts)), "components")
+        parts = staged(_contracted(parts, links(members, parts, merged)), "components")
+    named = _known(nodes.select("digest", "uid", "best"), parts)
     kept = named.groupBy("component").agg(F.min("best").alias("best"))
     by_digest = join_on(named.select("digest", "component"), kept, ["component"]).select(
         "digest", F.col("best.doc_id").alias("component_id"), F.col("best.uid").alias("keep_uid"))

@@ -120,3 +120,62 @@ def test_later_links_join_known_components(spark):
     found = operator._contracted(parts, more)
     assert sorted(tuple(r) for r in found.collect()) == [(1, 1), (2, 1), (5, 1), (6, 1), (8, 8), (9, 8)]
     assert operator._contracted(parts, more.where("a = 1")) is parts
+
+
+def test_a_group_in_all_trees_is_joined_a_few_times_a_document(spark, monkeypatch):
+    """Rows that joins on ``uid`` make for a group of near copies, at two sizes: not one per document, tree and level."""
+    monkeypatch.setattr(operator, "BRANCH", 32)
+    made, join_on = [], operator.join_on
+
+    def counted(left, right, names, how="inner"):
+        out = join_on(left, right, names, how)
+        if names == ["uid"] and how == "inner":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(operator, "join_on", counted)
+    rng = random.Random(12)
+    text = corpora.prose(rng, 200)
+    texts = [text, *corpora.near_copies(rng, text, 399, 2)]
+    rows = {}
+    for size in (200, 400):
+        made.clear()
+        found = operator.near_groups(corpora.frame(spark, texts[:size])).collect()
+        assert {r.component_id for r in found} == {0}
+        rows[size] = sum(made)
+    assert rows[400] <= 20 * 400 and rows[400] <= 2.5 * rows[200], rows
+
+
+def test_links_on_full_sets_match_brute_force():
+    import numpy as np
+
+    rng = np.random.default_rng(13)
+    base = rng.integers(0, 2**63, 300, dtype=np.uint64)
+    full = [np.unique(np.concatenate((rng.permutation(base)[:kept], rng.integers(0, 2**63, 300 - kept, dtype=np.uint64))))
+            for kept in [*rng.integers(200, 300, 60).tolist(), 0, 0]]
+    known = np.arange(62)
+    known[[3, 4]] = 61
+    links = [(3, 61), (4, 61)]
+    for i, a in enumerate(full):
+        for j, b in enumerate(full[:i]):
+            common = len(np.intersect1d(a, b))
+            if 100 * common >= 85 * (len(a) + len(b) - common):
+                links.append((i, j))
+    expected_groups = corpora.components(62, links)
+    labels = operator.linked(full, known, 85).tolist()
+    first = {}
+    assert [first.setdefault(label, i) for i, label in enumerate(labels)] == expected_groups
+    assert 3 < len(set(expected_groups)) < 60
+
+
+def test_members_that_have_met_are_not_compared_again():
+    import pyarrow as pa
+
+    def groups(met):
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array([5] * 4), pa.array(range(4)), pa.array(range(4)), pa.array([bytes(256)] * 4, pa.binary()), pa.array(met)],
+            names=["key", "uid", "component", "mark", "met"])
+        return [r["uid"] for out in operator._candidates(85)([batch]) for r in out.to_pylist()]
+
+    assert groups([-7, -7, -7, -7]) == []
+    assert groups([-7, -7, -7, 3]) == [0, 1, 2, 3]
