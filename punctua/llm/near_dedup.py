@@ -234,9 +234,13 @@ def _branches(nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | No
         first = F.pmod(F.xxhash64("key", F.lit(0)), F.lit(TOKENS))
         # Never the first again: a member that is twice in a branch would leave its fingerprint.
         second = F.pmod(first + 1 + F.pmod(F.xxhash64("key", F.lit(1)), F.lit(TOKENS - 1)), F.lit(TOKENS))
-        members = hot.select("uid", "mark", F.explode("keys").alias("key")).select("uid", "mark", "key", F.explode(
-            F.when(again, F.array(first, second)).otherwise(F.array(first))).alias("token")).select("uid", F.xxhash64(
-                "key", "token", F.substr("mark", (F.col("token") * 4 + 1).cast("int"), F.lit(4))).alias("key"))
+        chosen = hot.select("uid", "mark", F.explode("keys").alias("key")).select("uid", "mark", "key", F.explode(
+            F.when(again, F.array(first, second)).otherwise(F.array(first))).alias("token"))
+        members = staged(
+            chosen.select("uid", F.xxhash64(
+                "key", "token", F.substr("mark", (F.col("token") * 4 + 1).cast("int"), F.lit(4))).alias("key")),
+            "members",
+        )
     raise AssertionError("unreachable")
 
 
