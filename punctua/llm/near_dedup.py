@@ -11,14 +11,18 @@ probability of 0.87, so that pairs of documents that share most of their trees w
 others without being near copies are missed more often: 2e-4 by calculation when all trees go
 through all ``LEVELS``. Equal branches of different trees are compared once.
 
-A branch that stays large (a large group of near copies agrees in almost every token) is dealt into
-blocks that share random pivots: block members that are alike become linked. A group of near copies is
-in all trees; therefore every document is dealt into blocks of one branch only, its largest. Members of
-any large branch that are then outside the branch's largest component are compared with all of its
-members, up to ``MEETING`` of either side in a block. Branches of one largest component, those that its
-trees repeat, do so together. Small branches come last and compare neither members of a known component
-nor those that have met already. So no task holds more than a block, and nothing is left out.
-Signatures come to a document once per level, not to each of its branches.
+A large branch (a large group of near copies agrees in almost every token) is dealt into blocks that
+share random pivots of the branch: block members that are alike become linked. A group of near copies
+is in all trees; therefore every document is dealt into blocks of two branches only, its largest and,
+as that may be one of a common line, its smallest large one. Branches in which one component then holds
+the most, with ``MEETING`` others at most, are settled: they do not branch again, so that a group goes
+through one level and not through all. The others branch again, once a level settles none without being
+dealt, and what is still large after ``LEVELS`` is dealt too and settled whatever it holds. Members of a settled
+branch outside its largest component are compared with all members, up to ``MEETING`` of either side in
+a block. Branches of one largest component, those that its trees repeat, do so together. Small branches
+come last and compare neither members of a known component nor those that have met already. So no task
+holds more than a block, and nothing is left out. Signatures come to a document once per level, not to
+each of its branches.
 
 Verified links are reduced to stars within each block; components come from star contraction. What
 later links add is contracted on the components found before.
@@ -31,7 +35,8 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import xxhash
@@ -212,8 +217,11 @@ def _sized(members: DataFrame) -> DataFrame:
     ).where("n > 1")
 
 
-def _branches(nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | None]:
-    """Small branches ``key, uid`` and, where there are any, those that stay large ``key, uid, n``."""
+def _branches(
+    nodes: DataFrame, percent: int, settle: Callable[[DataFrame], DataFrame | None] | None = None,
+) -> tuple[DataFrame, DataFrame | None]:
+    """Small branches ``key, uid`` and, where there are any, those that stay large ``key, uid, n``.
+    ``settle`` gets the large branches of a level and returns those that are to branch again."""
     members = nodes.select("uid", F.posexplode("heads").alias("tree", "token")).select(
         "uid", F.xxhash64("tree", "token").alias("key"))
     marks = nodes.select("uid", "mark")
@@ -226,7 +234,9 @@ def _branches(nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | No
         large = sized.where(F.col("n") > BRANCH).select("key", "n")
         ended = large.isEmpty()
         large = None if ended else staged(join_on(members, large, ["key"]), "large")
-        if ended or level == LEVELS:
+        if large is not None and settle is not None and level < LEVELS:
+            large = settle(large)
+        if large is None or level == LEVELS:
             return join_on(every, small, ["key"]).select("key", "uid"), large
         hot = staged(join_on(large.groupBy("uid").agg(F.collect_list("key").alias("keys")), marks, ["uid"]), "hot")
         marks = hot.select("uid", "mark")
@@ -245,18 +255,17 @@ def _branches(nodes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | No
 
 
 def _dealt(large: DataFrame) -> DataFrame:
-    """Large branches in blocks; random pivots of the branch are in all of its blocks."""
-    blocks = F.ceil(F.col("n") / BRANCH)
-    own = F.array(F.pmod(F.xxhash64("uid", F.lit("block")), blocks))
-    pivot = F.pmod(F.xxhash64("uid", "key"), F.col("n")) < PIVOTS
-    return large.select("uid", "key", F.explode(F.when(pivot, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(own)).alias("block")) \
-        .select("uid", F.xxhash64("key", "block").alias("key"))
-
-
-def _first(large: DataFrame) -> DataFrame:
-    """Of every document's large branches the largest, with the number of documents that have it so."""
-    one = staged(large.groupBy("uid").agg(F.max(F.struct("n", "key")).alias("most")).select("uid", "most.key"), "first")
-    return join_on(one, one.groupBy("key").agg(F.count("*").alias("n")), ["key"])
+    """Every document in a block of its largest and of its smallest large branch; random pivots of a
+    branch, wherever they are dealt, are in all of its blocks."""
+    place = F.struct("n", "key")
+    first = staged(large.groupBy("uid").agg(F.array_distinct(F.array(F.max(place), F.min(place))).alias("ends"))
+                   .select("uid", F.explode("ends.key").alias("key")), "first")
+    blocks = first.groupBy("key").agg(F.ceil(F.count("*") / BRANCH).alias("blocks"))
+    own = join_on(first, blocks, ["key"]).withColumn("block", F.pmod(F.xxhash64("uid", F.lit("block")), "blocks"))
+    pivots = large.where(F.pmod(F.xxhash64("uid", "key"), "n") < PIVOTS).select("uid", "key")
+    pivots = join_on(pivots, blocks, ["key"]) \
+        .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return own.union(pivots.select(own.columns)).select("uid", F.xxhash64("key", "block").alias("key")).distinct()
 
 
 def _known(rows: DataFrame, parts: DataFrame) -> DataFrame:
@@ -265,17 +274,46 @@ def _known(rows: DataFrame, parts: DataFrame) -> DataFrame:
         .withColumn("component", F.coalesce("component", "uid"))
 
 
-def _merged(large: DataFrame, parts: DataFrame) -> DataFrame | None:
+def _mains(named: DataFrame) -> DataFrame:
+    """The largest component of every branch, as ``key, main``, with its ``size`` and the number of ``strays``."""
+    counts = named.groupBy("key", "component").agg(F.count("*").alias("size"))
+    return counts.groupBy("key").agg(
+        F.max_by("component", F.struct("size", "component")).alias("main"), F.max("size").alias("size"),
+        (F.sum("size") - F.max("size")).alias("strays"))
+
+
+def _settled(large: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Of the large branches those that the known components settle, by their strays ``main, uid``, and
+    the others, if any: ``large`` itself where none is settled. A component meets ``MEETING`` strays of a
+    level at most, so that a member costs no more."""
+    named = staged(_known(large, parts), "named")
+    mains = staged(_mains(named).where((F.col("strays") <= F.col("size")) & (F.col("strays") <= MEETING)), "mains")
+    if mains.isEmpty():
+        return mains.select("main", F.col("key").alias("uid")), large
+    strays = join_on(named.select("key", "uid", "component"), mains.select("key", "main"), ["key"]) \
+        .where("component <> main").select("main", "uid")
+    strays = staged(strays.distinct(), "strays")
+    crowded = strays.groupBy("main").count().where(F.col("count") > MEETING).select("main")
+    settled = join_on(mains.select("key", "main"), crowded, ["main"], "left_anti")
+    others = staged(join_on(large, settled.select("key"), ["key"], "left_anti"), "others")
+    return join_on(strays, crowded, ["main"], "left_anti"), None if others.isEmpty() else others
+
+
+def _gathered(strays: DataFrame, parts: DataFrame) -> DataFrame:
+    """Strays ``main, uid`` with all members of the component that ``main`` now is in, the ``key``, as
+    ``key, uid, component``."""
+    own = join_on(strays, parts.select(F.col("node").alias("main"), F.col("component").alias("key")), ["main"])
+    own = staged(_known(own.select("key", "uid").distinct(), parts).where("component <> key"), "strays")
+    inside = join_on(parts.select(F.col("component").alias("key"), F.col("node").alias("uid")), own.select("key").distinct(), ["key"])
+    return own.select("key", "uid", "component").union(inside.select("key", "uid", F.col("key").alias("component")))
+
+
+def _merged(large: DataFrame, parts: DataFrame) -> DataFrame:
     """Large branches with members outside the largest component, as ``key, uid, component``. Those of one
     largest component, the ``key``, are one here: near copies are in all the trees, and meet once."""
     named = staged(_known(large, parts), "named")
-    counts = named.groupBy("key", "component").agg(F.count("*").alias("size"))
-    main = counts.groupBy("key").agg(
-        F.max_by("component", F.struct("size", "component")).alias("main"), (F.sum("size") - F.max("size")).alias("strays")
-    ).where("strays > 0").drop("strays")
-    if main.isEmpty():
-        return None
-    return staged(join_on(named, main, ["key"]).select(F.col("main").alias("key"), "uid", "component").distinct(), "merged")
+    main = _mains(named).where("strays > 0").select("key", "main")
+    return join_on(named, main, ["key"]).select(F.col("main").alias("key"), "uid", "component")
 
 
 def _strays(merged: DataFrame) -> DataFrame:
@@ -338,15 +376,32 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, miss: float = MISS) ->
         full = full.mapInArrow(_sets, "uid long, shingles binary").dropDuplicates(["uid"])
         return staged(_by_key(join_on(found, full, ["uid"]), _verified(percent), "a long, b long"), "verified")
 
-    members, large = _branches(nodes, percent)
-    if large is None:
-        parts = staged(components(links(members)), "components")
-    else:
-        parts = staged(components(links(_dealt(_first(large)))), "components")
-        merged = _merged(large, parts)
-        if merged is not None:
-            parts = staged(_contracted(parts, links(_strays(merged), parts)), "components")
-        parts = staged(_contracted(parts, links(members, parts, merged)), "components")
+    parts, strays, settling = None, [], True
+
+    def linked_more(members: DataFrame, met: DataFrame | None = None) -> DataFrame:
+        more = links(members, parts, met)
+        return staged(components(more) if parts is None else _contracted(parts, more), "components")
+
+    def settle(large: DataFrame) -> DataFrame | None:
+        nonlocal parts, settling
+        if not settling:
+            return large
+        parts = linked_more(_dealt(large))
+        found, others = _settled(large, parts)
+        strays.append(found)
+        settling = others is not large
+        return others
+
+    members, large = _branches(nodes, percent, settle)
+    if large is not None:
+        parts = linked_more(_dealt(large))
+    meetings = [_gathered(found, parts) for found in strays] + ([] if large is None else [_merged(large, parts)])
+    merged = staged(reduce(DataFrame.union, meetings).distinct(), "merged") if meetings else None
+    if merged is not None and merged.isEmpty():
+        merged = None
+    if merged is not None:
+        parts = linked_more(_strays(merged))
+    parts = linked_more(members, merged)
     named = _known(nodes.select("digest", "uid", "best"), parts)
     kept = named.groupBy("component").agg(F.min("best").alias("best"))
     by_digest = join_on(named.select("digest", "component"), kept, ["component"]).select(

@@ -146,6 +146,61 @@ def test_a_group_in_all_trees_is_joined_a_few_times_a_document(spark, monkeypatc
     assert rows[400] <= 20 * 400 and rows[400] <= 2.5 * rows[200], rows
 
 
+def test_a_group_does_not_go_through_all_levels(spark, monkeypatch):
+    """Rows that joins on ``key`` make for a group of near copies, at two sizes: one level of all trees, not all levels."""
+    monkeypatch.setattr(operator, "BRANCH", 32)
+    made, join_on = [], operator.join_on
+
+    def counted(left, right, names, how="inner"):
+        out = join_on(left, right, names, how)
+        if names == ["key"] and how == "inner":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(operator, "join_on", counted)
+    rng = random.Random(14)
+    text = corpora.prose(rng, 200)
+    texts = [text, *corpora.near_copies(rng, text, 399, 2)]
+    rows = {}
+    for size in (200, 400):
+        made.clear()
+        found = operator.near_groups(corpora.frame(spark, texts[:size])).collect()
+        assert {r.component_id for r in found} == {0}
+        rows[size] = sum(made)
+    assert rows[400] <= 2.5 * operator.trees() * 400 and rows[400] <= 2.5 * rows[200], rows
+
+
+def test_a_group_and_others_that_share_its_branches(spark, monkeypatch):
+    """Near copies within a common passage, and pairs of others that are strays in the group's branches."""
+    monkeypatch.setattr(operator, "BRANCH", 16)
+    monkeypatch.setattr(operator, "PIVOTS", 4)
+    rng = random.Random(15)
+    common = corpora.prose(rng, 90)
+    text = common + " " + corpora.prose(rng, 110)
+    texts = [text, *corpora.near_copies(rng, text, 60, 2)]
+    for _ in range(6):
+        other = common + " " + corpora.prose(rng, 110)
+        texts += corpora.near_copies(rng, other, 3, 2)
+    texts += [common + " " + corpora.prose(rng, rng.randint(60, 110)) for _ in range(40)]
+    rng.shuffle(texts)
+    check(spark, texts)
+
+
+def test_branches_with_a_main_component_are_settled(spark):
+    """Of three large branches one has a main component, one none, and one too many strays."""
+    rows = [(1, u, 12) for u in range(12)] + [(2, u, 6) for u in range(20, 26)] + [(3, u, 8) for u in [*range(30, 34), *range(40, 44)]]
+    large = spark.createDataFrame(rows, "key long, uid long, n long")
+    parts = spark.createDataFrame([(u, 0) for u in range(10)] + [(20, 20), (21, 20)] + [(30, 30), (31, 30)], "node long, component long")
+    strays, others = operator._settled(large, parts)
+    assert sorted(tuple(r) for r in strays.collect()) == [(0, 10), (0, 11)]
+    assert {r.key for r in others.select("key").collect()} == {2, 3} and others.count() == 14
+    strays, others = operator._settled(large.where("key > 1"), parts)
+    assert strays.isEmpty() and others.count() == 14
+    gathered = operator._gathered(spark.createDataFrame([(0, 10), (0, 11)], "main long, uid long"),
+                                  spark.createDataFrame([(0, -1), (1, -1), (11, -1)], "node long, component long"))
+    assert sorted(tuple(r) for r in gathered.collect()) == [(-1, 0, -1), (-1, 1, -1), (-1, 10, 10), (-1, 11, -1)]
+
+
 def test_links_on_full_sets_match_brute_force():
     import numpy as np
 
